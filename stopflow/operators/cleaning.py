@@ -16,9 +16,8 @@ KEY = ["day", "stop", "category"]
 
 def parse_day(c: Column, strict: bool = False) -> Column:
     """ISO dates only. Strict parsing raises; otherwise a bad date is NULL and can be set aside."""
-    pattern = F.lit("yyyy-MM-dd")
     iso = F.when(text.strip(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), text.strip(c))
-    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(iso, pattern)
+    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(iso, "yyyy-MM-dd")
 
 
 def fix_category(c: Column) -> Column:

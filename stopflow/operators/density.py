@@ -2,7 +2,7 @@
 
 Space is cut twice. Cells of side eps / sqrt(d) are so small that all points of
 one lie within eps of each other, so the graph to connect is one of cells, not of
-points. Cells of side eps limit the search to 3^d neighbours; a crowded one is
+points. Squares of side eps or more limit the search to 3^d neighbours; a crowded one is
 split into blocks of bounded size, and each pair of neighbouring blocks is one
 task that returns counts or cell links, never pairs of points.
 """
@@ -17,21 +17,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS
-from stopflow.session import join_lookup, materialize
+from stopflow.session import join_lookup, materialize, renewed
 
 BLOCK = 2000
 
 
+def _place(columns: list[str], origin: dict[str, float], side: float):
+    """Name of the cell of a given side that a point lies in."""
+    return F.concat_ws(",", *[F.floor((F.col(c) - F.lit(origin[c])) / F.lit(side)).cast("string") for c in columns])
+
+
 def _grid(points: DataFrame, columns: list[str], eps: float) -> DataFrame:
+    """Points with their small cell and their search square.
+
+    Any square side from eps up is correct. The smallest multiple is taken that
+    does not scatter the points over very many nearly empty squares.
+    """
+    origin = points.agg(*[F.min(c).alias(c) for c in columns]).first().asDict()
+    sides = [eps * m for m in (1, 2, 4, 8, 16, 32)]
+    spread = points.agg(
+        F.count("*").alias("rows"),
+        *[F.approx_count_distinct(_place(columns, origin, side)).alias(f"s{i}") for i, side in enumerate(sides)],
+    ).first()
+    enough = max(1.0, 16.0 * spread["rows"] / BLOCK)
+    side = next((side for i, side in enumerate(sides) if spread[f"s{i}"] <= enough), sides[-1])
     small = eps / math.sqrt(len(columns)) * (1 - 1e-12)
-    place = lambda side: F.array_join(
-        F.array(*[F.floor(F.col(c) / F.lit(side)).cast("string") for c in columns]), ","
-    )
     return points.select(
         F.col("stop").alias("id"),
         F.array(*columns).alias("x"),
-        place(small).alias("cell"),
-        place(eps).alias("square"),
+        _place(columns, origin, small).alias("cell"),
+        _place(columns, origin, side).alias("square"),
     )
 
 
@@ -68,8 +83,8 @@ def _within(left: pd.DataFrame, right: pd.DataFrame, eps: float) -> np.ndarray:
 
 def _meet(left: DataFrame, right: DataFrame, pairs: DataFrame, function, schema: str) -> DataFrame:
     """Bring each block together with each of its neighbours."""
-    own = left.join(pairs, F.col("block") == F.col("own")).drop("block")
-    other = right.join(pairs, F.col("block") == F.col("other")).drop("block")
+    own = renewed(left.join(pairs, F.col("block") == F.col("own")).drop("block"))
+    other = renewed(right.join(pairs, F.col("block") == F.col("other")).drop("block"))
     return own.groupBy("own", "other").cogroup(other.groupBy("own", "other")).applyInPandas(function, schema)
 
 

@@ -19,7 +19,7 @@ from stopflow.config import DEFAULTS, HOLIDAY, Settings
 from stopflow.functions.dates import weekday_name
 from stopflow.functions.numeric import half_even
 from stopflow.operators.lookups import rounded_prediction
-from stopflow.session import join_lookup
+from stopflow.session import join_lookup, renewed
 
 CHANGEPOINTS = 25
 OUTPUT = (
@@ -156,8 +156,8 @@ def fit_predict(history: DataFrame, targets: DataFrame, holidays: DataFrame, set
         fit = SeriesFit(_epoch(past["day"]), past["n"].to_numpy(float), days_off, settings)
         return pd.concat([wanted[["stop", "day"]], fit.predict(_epoch(wanted["day"]))], axis=1)[columns]
 
-    past = history.select("stop", "day", "n").groupBy("stop")
-    wanted = targets.select("stop", "day").distinct().groupBy("stop")
+    past = renewed(history.select("stop", "day", "n")).groupBy("stop")
+    wanted = renewed(targets.select("stop", "day").distinct()).groupBy("stop")
     return past.cogroup(wanted).applyInPandas(one_stop, OUTPUT)
 
 

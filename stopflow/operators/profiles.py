@@ -78,9 +78,15 @@ def best_kmeans(vectors: DataFrame, k: int, restarts: int = DEFAULTS.kmeans_rest
 
 
 def hierarchical(vectors: DataFrame, k: int, seed: int = DEFAULTS.seed) -> DataFrame:
-    """Top-down hierarchy. Ward's bottom-up merging needs all pairwise distances, this does not."""
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster", minDivisibleClusterSize=1.0).fit(vectors)
-    return model.transform(vectors)
+    """Top-down hierarchy. Ward's bottom-up merging needs all pairwise distances, this does not.
+
+    Spark splits a cluster by a nudge in proportion to its centre, which is zero
+    for standardized data; shifting all points leaves their distances alone.
+    """
+    shifted = vectors.withColumns({f"{c}_shifted": F.col(c) + 10.0 for c in SCALED})
+    shifted = VectorAssembler(inputCols=[f"{c}_shifted" for c in SCALED], outputCol="shifted").transform(shifted)
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="shifted", predictionCol="cluster").fit(shifted)
+    return model.transform(shifted).drop("shifted", *[f"{c}_shifted" for c in SCALED])
 
 
 def pca2(vectors: DataFrame) -> tuple[DataFrame, list[float]]:
@@ -316,7 +322,7 @@ def similar_stops(labelled: DataFrame, k: int = 5) -> DataFrame:
     top = _top_names(labelled, "cluster", k + 1)
     joined = join_lookup(labelled.select("stop", "cluster"), top, "cluster")
     others = F.slice(F.array_remove("top", F.col("stop")), 1, k)
-    return joined.select("stop", "cluster", F.posexplode(others).alias("rank", "similar")).withColumn("rank", F.col("rank") + 1)
+    return joined.select("stop", "cluster", F.posexplode(others).alias("rank", "similar_stop")).withColumn("rank", F.col("rank") + 1)
 
 
 def assign_cluster(requests: DataFrame, labelled: DataFrame, new_profiles: DataFrame, scale: DataFrame, model: KMeansModel) -> DataFrame:

@@ -37,7 +37,7 @@ from stopflow.streaming import refresh
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-STOP, FIRST, LAST = "FRANCE", "1997-07-01", "1997-09-30"
+STOP, FIRST, LAST = "NATION_7", "1997-07-01", "1997-09-30"
 SNAPSHOT = "1999-01-01"
 # The test series average tens of counts a day, not thousands.
 TEST_SETTINGS = replace(DEFAULTS, forecast_min_mean=25.0)

@@ -29,7 +29,7 @@ CTES = {
     "sub": f"""SELECT l.l_orderkey * 8 + l.l_linenumber AS seq,
         CASE WHEN l.l_linenumber = 7 AND l.l_quantity >= 49 THEN '31/12/1999' ELSE strftime(l.l_shipdate, '%Y-%m-%d') END AS day,
         CASE WHEN l.l_linenumber = 2 THEN CAST(n.n_regionkey AS VARCHAR) || '.0' WHEN l.l_linenumber = 5 THEN NULL ELSE CAST(n.n_regionkey AS VARCHAR) END AS carrier,
-        CASE WHEN l.l_linenumber = 3 THEN ' R' || CAST(n.n_nationkey AS VARCHAR) || ' ' ELSE CAST(n.n_nationkey AS VARCHAR) END AS network,
+        CASE WHEN l.l_linenumber = 3 THEN ' R' || CAST(n.n_nationkey AS VARCHAR) || chr(160) ELSE CAST(n.n_nationkey AS VARCHAR) END AS network,
         CASE WHEN l.l_linenumber = 4 THEN CAST(s.s_suppkey AS VARCHAR) || 'D' ELSE CAST(s.s_suppkey AS VARCHAR) END AS stop_code,
         CASE WHEN l.l_linenumber = 6 THEN NULL ELSE CAST(s.s_suppkey AS VARCHAR) END AS zone_id,
         CASE WHEN l.l_linenumber = 1 THEN chr(160) || ' ' || lower(n.n_name) || ' ' WHEN l.l_linenumber = 2 AND l.l_quantity >= 50 THEN NULL ELSE n.n_name END AS stop,
@@ -233,7 +233,7 @@ QUERIES["project_columns"] = sql("vq", f"SELECT {V_COLUMNS} FROM vq")
 QUERIES["flag_defined"] = sql("v", f"SELECT {V_COLUMNS}, category <> 'NON DEFINI' AS is_defined FROM v")
 QUERIES["filter_defined"] = sql("v", f"SELECT {V_COLUMNS} FROM v WHERE category <> 'NON DEFINI'")
 QUERIES["filter_stop_period"] = sql(
-    "v", f"SELECT {V_COLUMNS} FROM v WHERE stop = 'FRANCE' AND day BETWEEN DATE '1997-07-01' AND DATE '1997-09-30'"
+    "v", f"SELECT {V_COLUMNS} FROM v WHERE stop = 'NATION_7' AND day BETWEEN DATE '1997-07-01' AND DATE '1997-09-30'"
 )
 QUERIES["normalize_stop_name"] = sql("sub", f"SELECT stop AS stop_text, upper({strip('stop')}) AS stop, count(*) AS rows FROM sub GROUP BY ALL")
 QUERIES["filter_zscore"] = sql(
@@ -284,7 +284,7 @@ QUERIES["calendar_lag_lookup"] = sql("looked", f"SELECT stop, day, {r('lag1')} A
 QUERIES["asof_last7"] = sql("recent", f"SELECT stop, day, {r('mean7')} AS mean7, {r('std7', 4)} AS std7 FROM recent")
 QUERIES["similar_stops"] = sql(
     "prof",
-    """SELECT stop, cluster, CAST(rank AS INTEGER) AS rank, similar FROM (SELECT a.stop, a.cluster, b.stop AS similar,
+    """SELECT stop, cluster, CAST(rank AS INTEGER) AS rank, similar_stop FROM (SELECT a.stop, a.cluster, b.stop AS similar_stop,
     row_number() OVER (PARTITION BY a.stop ORDER BY b.volume DESC, b.stop) AS rank FROM prof a JOIN prof b ON a.cluster = b.cluster AND a.stop <> b.stop)
     WHERE rank <= 5""",
 )
@@ -327,10 +327,10 @@ QUERIES["undefined_rate"] = sql(
     ORDER BY undefined_pct DESC, stop LIMIT 20""",
 )
 QUERIES["daily_totals"] = sql("totals", f"SELECT day, total, {EN.format('day')} AS weekday_name, isodow(day) >= 6 AS is_weekend FROM totals")
-QUERIES["max_daily_total"] = sql("daily", "SELECT max(n) AS max_total FROM daily WHERE stop = 'FRANCE'")
+QUERIES["max_daily_total"] = sql("daily", "SELECT max(n) AS max_total FROM daily WHERE stop = 'NATION_7'")
 QUERIES["scalar_checks"] = sql(
     "v",
-    """SELECT (SELECT CAST(sum(n) AS BIGINT) FROM v WHERE stop = 'FRANCE' AND day = DATE '1998-07-14') AS total, (SELECT max(day) FROM v) AS last_day""",
+    """SELECT (SELECT CAST(sum(n) AS BIGINT) FROM v WHERE stop = 'NATION_7' AND day = DATE '1998-07-14') AS total, (SELECT max(day) FROM v) AS last_day""",
 )
 QUERIES["category_share"] = sql(
     "v",
@@ -450,7 +450,7 @@ QUERIES["regression_metrics"] = sql(
     {r('1 - sum((n - lag7) * (n - lag7)) / (var_pop(n) * count(*))')} AS r2 FROM feat""",
 )
 QUERIES["list_stops"] = sql("v", "SELECT DISTINCT stop FROM v")
-QUERIES["data_range"] = sql("sd", "SELECT min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days FROM sd WHERE stop = 'FRANCE'")
+QUERIES["data_range"] = sql("sd", "SELECT min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days FROM sd WHERE stop = 'NATION_7'")
 QUERIES["value_counts"] = sql(
     "feat cal_rows",
     """SELECT 'carrier' AS kind, carrier || '=' || CAST(carrier_index AS VARCHAR) AS value, count(*) AS rows FROM feat GROUP BY ALL

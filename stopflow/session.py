@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,18 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "_stopflow_shipped", False):
+        package = Path(__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="stopflow-package-")) / "stopflow"
+        context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+        context._stopflow_shipped = True
+    return spark
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -46,6 +59,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, so that a table can be cogrouped with one derived from it."""
+    return df.toDF(*df.columns)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = 200_000) -> bool:
     """Count no further than the bound."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -95,7 +95,7 @@ def submissions(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
         .alias("day"),
         F.when(line == 2, F.concat(carrier, F.lit(".0"))).when(line == 5, F.lit(None)).otherwise(carrier).alias("carrier"),
-        F.when(line == 3, F.concat(F.lit(" R"), F.col("n_nationkey").cast("string"), F.lit(" ")))
+        F.when(line == 3, F.concat(F.lit(" R"), F.col("n_nationkey").cast("string"), F.lit("\u00a0")))
         .otherwise(F.col("n_nationkey").cast("string"))
         .alias("network"),
         F.when(line == 4, F.concat(F.col("s_suppkey").cast("string"), F.lit("D")))
@@ -147,7 +147,7 @@ def event_submissions(spark: SparkSession, folder: str) -> DataFrame:
     """The event stream seen as submitted validation rows."""
     return table(spark, folder, "events").select(
         F.col("event_id").alias("seq"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
         F.to_date("ts").alias("day"),
         F.col("user_id").cast("string").alias("stop"),
         F.col("event_type").alias("category"),
@@ -158,7 +158,7 @@ def event_submissions(spark: SparkSession, folder: str) -> DataFrame:
 def write_quarter_files(spark: SparkSession, folder: str, target: str) -> dict[str, str]:
     """Submissions as four semicolon files whose columns are in two different orders."""
     rows = submissions(spark, folder)
-    quarter = F.quarter(F.coalesce(F.try_to_date("day", F.lit("yyyy-MM-dd")), F.lit("1999-12-31").cast("date")))
+    quarter = F.quarter(F.coalesce(F.try_to_date("day", "yyyy-MM-dd"), F.lit("1999-12-31").cast("date")))
     names = list(RAW_HEADER)
     swapped = [*names[:4], "LIBELLE_ARRET", "ID_ZDC", *names[6:]]
     renamed = rows.select("seq", quarter.alias("quarter"), *[F.col(b).alias(a) for a, b in RAW_HEADER.items()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.config import CATEGORIES, CATEGORY_FIXES, SUBMISSION_DEFAULTS, UNDEFINED, VALIDATIONS
@@ -146,13 +146,13 @@ def dedup_report(rows: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def load_order(rows: DataFrame, order: list[str], keys: list[str] = KEY) -> DataFrame:
-    """Rank each row among the rows of its key.
+def sort_load(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows by day and stop, then in a total order.
 
-    Only for reports: `deduplicate` finds the first row without ranking all of them.
+    The range sort also cuts inside a hot (day, stop), because the rest of the
+    order takes part in the ranges. `deduplicate` does not need it.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("position", rank)
+    return rows.orderBy("day", "stop", *order)
 
 
 def stack(parts: dict[str, DataFrame]) -> DataFrame:

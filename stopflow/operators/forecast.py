@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from stopflow.config import DEFAULTS, HOLIDAY, Settings
 from stopflow.functions.dates import weekday_name
 from stopflow.functions.numeric import half_even
+from stopflow.functions.quantiles import running_totals, with_slices
 from stopflow.operators.lookups import rounded_prediction
 from stopflow.session import join_lookup, renewed
 
@@ -64,10 +65,14 @@ def forecast_eligibility(daily: DataFrame, settings: Settings = DEFAULTS) -> Dat
 
 def big_mid_small(daily: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Largest, middle and smallest eligible stop by volume."""
-    order = Window.orderBy(F.desc("volume"), "stop")
-    ranked = eligible_stops(daily, settings).withColumns(
-        {"position": F.row_number().over(order) - 1, "count": F.count("*").over(Window.partitionBy())}
+    stops = eligible_stops(daily, settings).withColumn("value", -F.col("volume").cast("double")).persist()
+    counts = stops.groupBy("value").agg(F.count("*").alias("rows"))
+    before = running_totals(with_slices(counts), [], "value", ["rows"]).select(
+        "value", "rows_before", F.col("rows_total").alias("count")
     )
+    # Only stops of equal volume share a window.
+    among_equals = F.row_number().over(Window.partitionBy("value").orderBy("stop")) - 1
+    ranked = stops.join(before, "value").withColumn("position", F.col("rows_before") + among_equals)
     size = (
         F.when(F.col("position") == 0, F.lit("big"))
         .when(F.col("position") == F.floor(F.col("count") / 2), F.lit("middle"))

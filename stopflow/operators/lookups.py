@@ -24,12 +24,14 @@ def distinct_pairs(requests: DataFrame) -> DataFrame:
 def _history_at(pairs: DataFrame, history: DataFrame) -> DataFrame:
     """Pairs of known stops with everything history says about them, in one shuffle by stop.
 
-    Pairs and history are stacked and read in date order. History rows carry the
+    Only the history of stops asked for is shuffled. Pairs and history are stacked and read in date order. History rows carry the
     statistics of the seven rows ending with themselves; a pair takes the last
     ones strictly before its day. Requests sort before history of the same day,
     and occupy no place in the seven-row frames because those are computed on
     history alone.
     """
+    asked_stops = pairs.select("stop").distinct()
+    history = join_lookup(history, asked_stops, "stop", "left_semi")
     stats = F.struct(F.avg("n").over(in_order(LAST7)).alias("mean7"), F.stddev_samp("n").over(in_order(LAST7)).alias("std7"))
     past = history.select(
         "stop",

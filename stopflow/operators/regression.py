@@ -72,7 +72,7 @@ def estimators(settings: Settings = DEFAULTS, forest_trees: int = 100, forest_de
         "linear": LinearRegression(solver="normal", regParam=0.0, **common),
         "tree": DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=5, maxBins=128, **trees),
         "forest": RandomForestRegressor(
-            numTrees=forest_trees, maxDepth=forest_depth, minInstancesPerNode=3, featureSubsetStrategy="all", maxBins=128, **trees
+            numTrees=forest_trees, maxDepth=forest_depth, minInstancesPerNode=3, featureSubsetStrategy="all", maxBins=64, **trees
         ),
         "boosted": GBTRegressor(
             maxIter=rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=64, **trees

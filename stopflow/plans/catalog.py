@@ -37,7 +37,7 @@ from stopflow.streaming import refresh
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-STOP, FIRST, LAST = "NATION_7", "1997-07-01", "1997-09-30"
+STOP, FIRST, LAST = "NATION_3", "1997-07-01", "1997-09-30"
 SNAPSHOT = "1999-01-01"
 # The test series average tens of counts a day, not thousands.
 TEST_SETTINGS = replace(DEFAULTS, forecast_min_mean=25.0)
@@ -292,7 +292,7 @@ def filter_zscore(spark, folder):
 
 @query
 def detector_agreement(spark, folder):
-    labelled, _ = pipelines.isolation_labels(_stored_features(spark, folder))
+    labelled, _ = pipelines.isolation_labels(_features(spark, folder))
     return anomaly.detector_agreement(labelled)
 
 
@@ -529,7 +529,7 @@ def forecast_eligibility(spark, folder):
 
 @query
 def anomaly_summary(spark, folder):
-    labelled, _ = pipelines.isolation_labels(_stored_features(spark, folder))
+    labelled, _ = pipelines.isolation_labels(_features(spark, folder))
     return tidy(anomaly.anomaly_summary(labelled))
 
 
@@ -651,7 +651,7 @@ def extreme_zscores(spark, folder):
 
 @query
 def lowest_forest_scores(spark, folder):
-    labelled, _ = pipelines.isolation_labels(_stored_features(spark, folder))
+    labelled, _ = pipelines.isolation_labels(_features(spark, folder))
     return tidy(anomaly.lowest_scores(labelled.select("stop", "day", "n", "z", "score")))
 
 
@@ -662,8 +662,7 @@ def big_mid_small_sample(spark, folder):
 
 @query
 def sort_load(spark, folder):
-    """Position of each row among those of its key, the order in which the load keeps them."""
-    return cleaning.load_order(tables.sequenced_validations(spark, folder), FIRST_ORDER)
+    return cleaning.sort_load(tables.sequenced_validations(spark, folder), FIRST_ORDER)
 
 
 @query
@@ -722,9 +721,7 @@ def impute_train_median(spark, folder):
 
 
 def _train_test(spark: SparkSession, folder: str, leak_free: bool = False):
-    train, test, _ = regression.temporal_split(_stored_features(spark, folder, leak_free))
-    train, test = regression.impute(train, test)
-    return train.persist(), test.persist()
+    return pipelines.training_sides(_stored_features(spark, folder, leak_free))
 
 
 def _small_models() -> dict:
@@ -815,14 +812,13 @@ def learning_curve(spark, folder):
 
 @query
 def isolation_forest(spark, folder):
-    labelled, _ = pipelines.isolation_labels(_stored_features(spark, folder))
+    labelled, _ = pipelines.isolation_labels(_features(spark, folder))
     return tidy(labelled.select("stop", "day", "n", "z", "norm", "gap", "score", "is_isolated"))
 
 
 @query
 def detect_anomaly(spark, folder):
-    table = _stored_features(spark, folder)
-    _, forest = pipelines.isolation_labels(table)
+    table, forest = pipelines.isolation_labels(_features(spark, folder))
     observed = _requests(spark, folder).select("request_id", "stop", "n").where(F.col("n") >= 0)
     inputs = anomaly.observed_inputs(observed, table.select("stop", "day", "n"), exploration.stop_moments(table))
     return tidy(anomaly.detect(inputs, forest).select("request_id", "stop", "n", "is_isolated", "score", "z", "mean", "message"))

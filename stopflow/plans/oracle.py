@@ -233,7 +233,7 @@ QUERIES["project_columns"] = sql("vq", f"SELECT {V_COLUMNS} FROM vq")
 QUERIES["flag_defined"] = sql("v", f"SELECT {V_COLUMNS}, category <> 'NON DEFINI' AS is_defined FROM v")
 QUERIES["filter_defined"] = sql("v", f"SELECT {V_COLUMNS} FROM v WHERE category <> 'NON DEFINI'")
 QUERIES["filter_stop_period"] = sql(
-    "v", f"SELECT {V_COLUMNS} FROM v WHERE stop = 'NATION_7' AND day BETWEEN DATE '1997-07-01' AND DATE '1997-09-30'"
+    "v", f"SELECT {V_COLUMNS} FROM v WHERE stop = 'NATION_3' AND day BETWEEN DATE '1997-07-01' AND DATE '1997-09-30'"
 )
 QUERIES["normalize_stop_name"] = sql("sub", f"SELECT stop AS stop_text, upper({strip('stop')}) AS stop, count(*) AS rows FROM sub GROUP BY ALL")
 QUERIES["filter_zscore"] = sql(
@@ -327,10 +327,10 @@ QUERIES["undefined_rate"] = sql(
     ORDER BY undefined_pct DESC, stop LIMIT 20""",
 )
 QUERIES["daily_totals"] = sql("totals", f"SELECT day, total, {EN.format('day')} AS weekday_name, isodow(day) >= 6 AS is_weekend FROM totals")
-QUERIES["max_daily_total"] = sql("daily", "SELECT max(n) AS max_total FROM daily WHERE stop = 'NATION_7'")
+QUERIES["max_daily_total"] = sql("daily", "SELECT max(n) AS max_total FROM daily WHERE stop = 'NATION_3'")
 QUERIES["scalar_checks"] = sql(
     "v",
-    """SELECT (SELECT CAST(sum(n) AS BIGINT) FROM v WHERE stop = 'NATION_7' AND day = DATE '1998-07-14') AS total, (SELECT max(day) FROM v) AS last_day""",
+    """SELECT (SELECT CAST(sum(n) AS BIGINT) FROM v WHERE stop = 'NATION_3' AND day = DATE '1998-07-14') AS total, (SELECT max(day) FROM v) AS last_day""",
 )
 QUERIES["category_share"] = sql(
     "v",
@@ -450,7 +450,7 @@ QUERIES["regression_metrics"] = sql(
     {r('1 - sum((n - lag7) * (n - lag7)) / (var_pop(n) * count(*))')} AS r2 FROM feat""",
 )
 QUERIES["list_stops"] = sql("v", "SELECT DISTINCT stop FROM v")
-QUERIES["data_range"] = sql("sd", "SELECT min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days FROM sd WHERE stop = 'NATION_7'")
+QUERIES["data_range"] = sql("sd", "SELECT min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days FROM sd WHERE stop = 'NATION_3'")
 QUERIES["value_counts"] = sql(
     "feat cal_rows",
     """SELECT 'carrier' AS kind, carrier || '=' || CAST(carrier_index AS VARCHAR) AS value, count(*) AS rows FROM feat GROUP BY ALL
@@ -509,7 +509,7 @@ QUERIES["big_mid_small_sample"] = sql(
     WHERE p IN (0, c // 2, c - 1)""",
 )
 _FIRST = """row_number() OVER (PARTITION BY day, stop, category ORDER BY seq, carrier, network, stop_code, zone_id, n)"""
-QUERIES["sort_load"] = sql("vq", f"SELECT seq, {V_COLUMNS}, CAST({_FIRST} AS INTEGER) AS position FROM vq")
+QUERIES["sort_load"] = sql("vq", f"SELECT seq, {V_COLUMNS} FROM vq")
 QUERIES["union_quarters"] = sql(
     "v",
     " UNION ALL ".join(f"SELECT {V_COLUMNS}, 'T{q}' AS source FROM v WHERE quarter(day) = {q}" for q in range(1, 5)),

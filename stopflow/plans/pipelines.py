@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, Settings
 from stopflow.operators import anomaly, cleaning, density, features, profiles, regression
-from stopflow.session import materialize
+from stopflow.session import materialize, spread
 from stopflow.sources import readers, sinks
 
 
@@ -26,7 +26,7 @@ def prepare_features(spark: SparkSession, rows: DataFrame, calendar_path: str |
 
 
 def isolation_labels(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, anomaly.IsolationForest]:
-    """Grow a forest on stored features, score every row once, cut at the exact quantile."""
+    """Grow a forest on a feature table, score every row once, cut at the exact quantile."""
     inputs = materialize(anomaly.with_inputs(table), "inputs")
     forest = anomaly.grow_forest(inputs, ["stop", "day"], settings)
     scored = materialize(forest.score(inputs), "scores")
@@ -36,7 +36,7 @@ def isolation_labels(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[D
 
 def segment_stops(vectors: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Two- and five-way segmentation with named clusters."""
-    out = vectors
+    out = vectors.persist()
     for k, name in ((2, profiles.name_two), (5, profiles.name_five)):
         model = profiles.best_kmeans(vectors, k, settings.kmeans_restarts, settings.seed)
         labelled = model.transform(vectors)
@@ -67,11 +67,17 @@ def compare_clusterings(vectors: DataFrame, k: int, settings: Settings = DEFAULT
     return vectors.sparkSession.createDataFrame(rows, f"algorithm string, clusters bigint, noise bigint, {profiles.QUALITY}")
 
 
+def training_sides(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """Stored features split by day, gaps filled, kept for the passes of training."""
+    train, test, _ = regression.temporal_split(spread(table), settings.train_share)
+    train, test = regression.impute(train, test)
+    return train.persist(), test.persist()
+
+
 def train_traffic(table: DataFrame, settings: Settings = DEFAULTS, **sizes) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Split, impute, fit and compare the four short-term models."""
-    train, test, _ = regression.temporal_split(table, settings.train_share)
-    train, test = regression.impute(train, test)
-    return regression.compare_models(train.persist(), test.persist(), regression.estimators(settings, **sizes), settings)
+    train, test = training_sides(table, settings)
+    return regression.compare_models(train, test, regression.estimators(settings, **sizes), settings)
 
 
 def save_model(model: PipelineModel, codes: DataFrame, path: str) -> None:

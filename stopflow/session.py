@@ -59,6 +59,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A stored table read in few pieces, redistributed so that training uses every core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def renewed(df: DataFrame) -> DataFrame:
     """The same columns under new identities, so that a table can be cogrouped with one derived from it."""
     return df.toDF(*df.columns)
@@ -87,7 +93,6 @@ def join_lookup(
     lookup = lookup.persist()
     if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), keys, how)
-    lookup.unpersist()
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopflow.config import RAW_HEADER, UNDEFINED
+from stopflow.session import materialize
 from stopflow.sources.sinks import write_raw
 
 
@@ -162,6 +163,7 @@ def write_quarter_files(spark: SparkSession, folder: str, target: str) -> dict[s
     names = list(RAW_HEADER)
     swapped = [*names[:4], "LIBELLE_ARRET", "ID_ZDC", *names[6:]]
     renamed = rows.select("seq", quarter.alias("quarter"), *[F.col(b).alias(a) for a, b in RAW_HEADER.items()])
+    renamed = materialize(renamed, "submissions")
     paths = {}
     for number in range(1, 5):
         order = names if number % 2 else swapped

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from stopflow.operators.cleaning import accepted, rejected, with_reason
 from stopflow.operators.features import build_features
+from stopflow.session import join_lookup
 
 
 def submitted_stream(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -52,4 +53,4 @@ def refreshed_features(table: DataFrame, batches: list[int], calendar: DataFrame
     Lags, medians and maxima of a stop depend on that stop alone.
     """
     touched = table.where(F.col("batch").isin(batches)).select("stop").distinct()
-    return build_features(table.join(touched, "stop", "left_semi"), calendar, codes)
+    return build_features(join_lookup(table, touched, "stop", "left_semi"), calendar, codes)

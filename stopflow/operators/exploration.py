@@ -237,8 +237,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def list_stops(rows: DataFrame) -> DataFrame:
-    return rows.select("stop").where(F.col("stop").isNotNull()).distinct().orderBy("stop")
+def list_values(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct values of each column in order, with how many there are."""
+    pairs = rows.unpivot([], columns, "kind", "value").where(F.col("value").isNotNull()).distinct()
+    counts = pairs.groupBy("kind").agg(F.count("*").alias("values"))
+    # One row per column asked for.
+    return pairs.join(F.broadcast(counts), "kind").orderBy("kind", "value")
 
 
 def data_range(daily: DataFrame, stop: str) -> DataFrame:

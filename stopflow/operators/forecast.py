@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stopflow.config import DEFAULTS, HOLIDAY, Settings
 from stopflow.functions.dates import weekday_name
 from stopflow.functions.numeric import half_even
-from stopflow.functions.quantiles import running_totals, with_slices
+from stopflow.functions.quantiles import exact_quantile, running_totals, with_slices
 from stopflow.operators.lookups import rounded_prediction
 from stopflow.session import join_lookup, renewed
 
@@ -53,13 +53,16 @@ def eligible_stops(daily: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
 def forecast_eligibility(daily: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Eligible and excluded stops by reason, and the median history and traffic."""
     long, busy = _enough(settings)
-    return per_stop(daily).agg(
+    stops = per_stop(daily).persist()
+    medians = {c: exact_quantile(stops, c, 0.5) for c in ("days", "mean")}
+    whole = lambda c: F.floor(F.lit(medians[c]).cast("double")).cast("bigint")
+    return stops.agg(
         F.count("*").alias("stops"),
         F.count_if(long & busy).alias("eligible"),
         F.count_if(~long).alias("too_short"),
         F.count_if(long & ~busy).alias("too_quiet"),
-        F.floor(F.median("days")).cast("bigint").alias("median_days"),
-        F.floor(F.median("mean")).cast("bigint").alias("median_mean"),
+        whole("days").alias("median_days"),
+        whole("mean").alias("median_mean"),
     )
 
 

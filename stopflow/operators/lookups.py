@@ -114,10 +114,9 @@ def request_features(pairs: DataFrame, history: DataFrame, calendar: DataFrame |
 def answer(requests: DataFrame, features: DataFrame) -> DataFrame:
     """Attach per-pair results to every request; unknown stops keep NULLs.
 
-    The (stop, day) table has at most one row per pair, so a repeated pair is
-    split by adaptive skew handling on the request side.
+    One pair may be asked for in a third of the requests; `join_lookup` spreads it.
     """
-    return requests.join(features, ["stop", "day"], "left")
+    return join_lookup(requests, features, ["stop", "day"])
 
 
 def score_against_history(observed: DataFrame, moments: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def best_kmeans(vectors: DataFrame, k: int, restarts: int = DEFAULTS.kmeans_rest
     def fit(i: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + i, featuresCol="vector", predictionCol="cluster", maxIter=50).fit(vectors)
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         models = list(pool.map(fit, range(restarts)))
     return min(models, key=lambda m: m.summary.trainingCost)
 
@@ -215,9 +215,10 @@ def _silhouette_squared(points: DataFrame) -> DataFrame:
 
 def cluster_quality(labelled: DataFrame) -> DataFrame:
     """All four measures in one row; noise (label -1) is left out."""
-    kept = labelled.where(F.col("cluster") != -1)
+    kept = labelled.where(F.col("cluster") != -1).select("cluster", *SCALED).persist()
     parts = [silhouette(kept), davies_bouldin(kept), calinski_harabasz(kept), inertia(kept)]
     values = {k: v for part in parts for k, v in part.first().asDict().items()}
+    kept.unpersist()
     return labelled.sparkSession.createDataFrame([values], QUALITY)
 
 

@@ -88,7 +88,7 @@ def _labelled_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """Supplier profiles labelled by region, a known five-way segmentation."""
     daily = _supplier_daily(spark, folder)
     labels = daily.groupBy("stop").agg(F.min("carrier").cast("int").alias("cluster"))
-    return profiles.stop_profile(daily).join(labels, "stop")
+    return profiles.stop_profile(daily).join(labels, "stop").persist()
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -547,7 +547,7 @@ def regression_metrics(spark, folder):
 
 @query
 def list_stops(spark, folder):
-    return exploration.list_stops(tables.validations(spark, folder))
+    return exploration.list_values(tables.validations(spark, folder).select("stop", "category"), ["stop", "category"])
 
 
 @query

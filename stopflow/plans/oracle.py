@@ -449,7 +449,11 @@ QUERIES["regression_metrics"] = sql(
     f"""SELECT {r('sqrt(avg((n - lag7) * (n - lag7)))')} AS rmse, {r('avg(abs(n - lag7))')} AS mae,
     {r('1 - sum((n - lag7) * (n - lag7)) / (var_pop(n) * count(*))')} AS r2 FROM feat""",
 )
-QUERIES["list_stops"] = sql("v", "SELECT DISTINCT stop FROM v")
+QUERIES["list_stops"] = sql(
+    "v",
+    """SELECT kind, value, count(*) OVER (PARTITION BY kind) AS "values" FROM (SELECT DISTINCT 'stop' AS kind, stop AS value FROM v
+    UNION ALL SELECT DISTINCT 'category', category FROM v)""",
+)
 QUERIES["data_range"] = sql("sd", "SELECT min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days FROM sd WHERE stop = 'NATION_3'")
 QUERIES["value_counts"] = sql(
     "feat cal_rows",

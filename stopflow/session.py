@@ -81,7 +81,7 @@ def join_lookup(
     keys: str | list[str],
     how: str = "left",
     max_rows: int = 200_000,
-    salts: int = 16,
+    salts: int = 32,
 ) -> DataFrame:
     """Join rows to a table holding one row per key, whatever the size and skew.
 

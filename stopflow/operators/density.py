@@ -150,9 +150,11 @@ def density_clusters(
     links = materialize(_meet(marked, cores, pairs, link, "core boolean, a string, b string").distinct(), "links")
     nodes = cores.select(F.col("cell").alias("node")).distinct()
     labels = connect(links.where("core"), nodes)
-    numbers = labels.select("label").distinct()
-    numbers = numbers.withColumn("cluster", F.row_number().over(Window.orderBy("label")) - 1)
-    cells = materialize(join_lookup(labels, numbers, "label").select(F.col("node").alias("b"), "cluster"), "cells")
+    labels = labels.withColumnRenamed("node", "cell")
+    # Clusters are numbered by their first core point; one row per cluster is ranked.
+    first = join_lookup(cores.select("id", "cell"), labels, "cell").groupBy("label").agg(F.min("id").alias("first"))
+    numbers = first.select("label", (F.row_number().over(Window.orderBy("first")) - 1).alias("cluster"))
+    cells = materialize(join_lookup(labels, numbers, "label").select(F.col("cell").alias("b"), "cluster"), "cells")
     core_cluster = join_lookup(cores.select("id", F.col("cell").alias("b")), cells, "b").select("id", "cluster")
     border = links.where(~F.col("core")).join(cells, "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
     found = core_cluster.unionByName(border).withColumnRenamed("id", "stop")

@@ -244,12 +244,17 @@ def backtest_metrics(predicted: DataFrame) -> DataFrame:
     )
 
 
+def hold_out(history: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Everything but the last rows of each stop, and those rows."""
+    newest = Window.partitionBy("stop").orderBy(F.desc("day"))
+    ranked = history.withColumn("age", F.row_number().over(newest))
+    return ranked.where(F.col("age") > rows).drop("age"), ranked.where(F.col("age") <= rows).drop("age")
+
+
 def forecast_backtest(daily: DataFrame, holidays: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Hold out each eligible stop's last rows, fit on the rest and measure."""
     history, _ = _eligible_history(daily, settings)
-    newest = Window.partitionBy("stop").orderBy(F.desc("day"))
-    ranked = history.select("stop", "day", "n", F.row_number().over(newest).alias("age"))
-    train, test = (ranked.where(F.col("age") > settings.forecast_holdout), ranked.where(F.col("age") <= settings.forecast_holdout))
+    train, test = hold_out(history.select("stop", "day", "n"), settings.forecast_holdout)
     predicted = fit_predict(train, test, holidays, settings).join(test, ["stop", "day"])
     return backtest_metrics(predicted)
 

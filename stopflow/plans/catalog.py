@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.config import DEFAULTS, DRIFT_SETS, FEATURES, PROFILE_MEASURES
+from stopflow.config import DEFAULTS, DRIFT_SETS, PROFILE_MEASURES
 from stopflow.functions import text
 from stopflow.operators import (
     anomaly,
@@ -202,16 +202,16 @@ def model_store(spark, folder):
 
 @query
 def run_metrics_table(spark, folder):
+    """Runs of the naive model that repeats the count of seven rows earlier."""
     path = scratch_path(spark, "runs")
     train, test, cut = regression.temporal_split(_stored_features(spark, folder))
-    train, test = regression.impute(train, test)
-    estimator = regression.estimators()["linear"]
-    fitted = regression.fit_model(train, estimator)
     for side, rows in (("train", train), ("test", test)):
-        values = regression.regression_metrics(fitted.transform(rows)).first().asDict()
-        params = {"features": len(FEATURES), "split_day": cut, "side": side}
-        sinks.append_run(sinks.run_metrics(spark, f"linear-{side}", "linear", params, values), path)
-    return spark.read.parquet(path)
+        values = regression.regression_metrics(rows.withColumn("prediction", F.col("lag7"))).first().asDict()
+        params = {"features": 1, "split_day": cut, "side": side}
+        sinks.append_run(sinks.run_metrics(spark, f"naive-{side}", "naive", params, values), path)
+    metric = F.when(F.col("kind") == "metric", F.col("value").try_cast("double"))
+    param = F.when(F.col("kind") == "param", F.col("value"))
+    return tidy(spark.read.parquet(path).select("run", "model", "kind", "name", metric.alias("metric"), param.alias("param")))
 
 
 @query
@@ -923,6 +923,14 @@ def forecast_backtest(spark, folder):
     return tidy(forecast.forecast_backtest(daily, _holidays(spark, folder), TEST_SETTINGS))
 
 
+@query
+def backtest_metrics(spark, folder):
+    """The backtest measures of a naive forecast: each held-out row predicted by the last one before."""
+    train, test = forecast.hold_out(_daily(spark, folder).select("stop", "day", "n"), DEFAULTS.forecast_holdout)
+    last = train.groupBy("stop").agg(F.max_by("n", "day").cast("double").alias("yhat"))
+    return tidy(forecast.backtest_metrics(test.join(last, "stop")))
+
+
 @query
 def projection_check(spark, folder):
     daily = materialize(_daily(spark, folder), "daily")

@@ -583,23 +583,94 @@ QUERIES["detect_zscore"] = sql(
       SELECT stop, avg(n) AS mean, stddev_samp(n) AS std, avg(n) FILTER (newest <= 7) AS recent_mean
       FROM (SELECT *, row_number() OVER (PARTITION BY stop ORDER BY day DESC) AS newest FROM sd) GROUP BY stop) m ON q.stop = m.stop)""",
 )
-_DRIFT = ["n", "weekday", "is_weekend", "month", "lag1", "lag7", "mean7", "std7", "congestion"]
-QUERIES["drift_distances"] = sql(
+_CUT = "DATE '1999-01-01'"
+_SPLIT = """(SELECT day FROM (SELECT day, row_number() OVER (ORDER BY day) AS p, count(*) OVER () AS c FROM (SELECT DISTINCT day FROM feat))
+    WHERE p = floor(c * 0.8) + 1)"""
+QUERIES["model_store"] = sql(
+    "feat",
+    f"""SELECT carrier, carrier_index, count(*) AS rows, CAST(0 AS DOUBLE) AS largest_difference FROM feat
+    WHERE day >= {_SPLIT} GROUP BY carrier, carrier_index""",
+)
+QUERIES["run_metrics_table"] = sql(
     "feat",
-    """SELECT w.feature, w.reference_rows, w.current_rows, round(w.move / greatest(s.spread, 0.001), 6) AS wasserstein, round(w.ks, 6) AS ks, round(w.js, 6) AS js FROM (
-    SELECT feature, CAST(max(rt) AS BIGINT) AS reference_rows, CAST(max(ct) AS BIGINT) AS current_rows, sum(abs(rc / rt - cc / ct) * (coalesce(nx, value) - value)) AS move,
-      max(abs(rc / rt - cc / ct)) AS ks,
+    f"""SELECT 'naive-' || side AS run, 'naive' AS model, kind, name, round(metric, 6) + 0.0 AS metric, param FROM (
+    SELECT side, unnest(['metric', 'metric', 'metric', 'param', 'param', 'param']) AS kind,
+      unnest(['rmse', 'mae', 'r2', 'features', 'split_day', 'side']) AS name,
+      unnest([sqrt(avg((n - lag7) * (n - lag7))), avg(abs(n - lag7)), 1 - sum((n - lag7) * (n - lag7)) / (var_pop(n) * count(*)), NULL, NULL, NULL]) AS metric,
+      unnest([NULL, NULL, NULL, '1', CAST(any_value(cut) AS VARCHAR), side]) AS param
+    FROM (SELECT *, {_SPLIT} AS cut, CASE WHEN day < {_SPLIT} THEN 'train' ELSE 'test' END AS side FROM feat) GROUP BY side)""",
+)
+QUERIES["backtest_metrics"] = sql(
+    "sd",
+    f"""SELECT stop, count(*) AS held_out, {r('avg(abs(n - yhat))')} AS mae, {r('avg(abs(n - yhat) / n) FILTER (n > 0) * 100')} AS mape FROM (
+    SELECT stop, n, age, max(CASE WHEN age = 31 THEN n END) OVER (PARTITION BY stop) AS yhat
+    FROM (SELECT *, row_number() OVER (PARTITION BY stop ORDER BY day DESC) AS age FROM sd)) WHERE age <= 30 GROUP BY stop""",
+)
+
+
+def _long(relation: str, columns: list[str], side: str, digits: int = 9) -> str:
+    """(feature, is_ref, value) of a relation."""
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {side} AS is_ref, round(CAST({c} AS DOUBLE), {digits}) AS value FROM {relation}" for c in columns
+    )
+
+
+def _distances(long: str) -> str:
+    return f"""SELECT w.feature, w.reference_rows, w.current_rows, w.move / greatest(s.spread, 0.001) AS wasserstein, w.ks, w.js FROM (
+    SELECT feature, CAST(max(rt) AS BIGINT) AS reference_rows, CAST(max(ct) AS BIGINT) AS current_rows,
+      sum(abs(rc / rt - cc / ct) * (coalesce(nx, value) - value)) AS move, max(abs(rc / rt - cc / ct)) AS ks,
       sqrt(greatest(sum((CASE WHEN ref > 0 THEN (ref / rt) * ln((ref / rt) / ((ref / rt + cur / ct) / 2)) ELSE 0 END
         + CASE WHEN cur > 0 THEN (cur / ct) * ln((cur / ct) / ((ref / rt + cur / ct) / 2)) ELSE 0 END) / 2), 0)) AS js
-    FROM (SELECT feature, value, ref, cur, sum(ref) OVER w AS rc, sum(cur) OVER w AS cc, sum(ref) OVER (PARTITION BY feature) AS rt, sum(cur) OVER (PARTITION BY feature) AS ct,
-        lead(value) OVER (PARTITION BY feature ORDER BY value) AS nx
-      FROM (SELECT feature, value, count(*) FILTER (day < DATE '1999-01-01') AS ref, count(*) FILTER (day >= DATE '1999-01-01') AS cur FROM long GROUP BY feature, value)
+    FROM (SELECT feature, value, ref, cur, sum(ref) OVER w AS rc, sum(cur) OVER w AS cc, sum(ref) OVER (PARTITION BY feature) AS rt,
+        sum(cur) OVER (PARTITION BY feature) AS ct, lead(value) OVER (PARTITION BY feature ORDER BY value) AS nx
+      FROM (SELECT feature, value, count(*) FILTER (is_ref) AS ref, count(*) FILTER (NOT is_ref) AS cur FROM ({long}) GROUP BY feature, value)
       WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)) GROUP BY feature) w
-    JOIN (SELECT feature, stddev_pop(value) AS spread FROM long WHERE day < DATE '1999-01-01' GROUP BY feature) s ON w.feature = s.feature""",
-).replace(
-    "\nSELECT w.feature",
-    ", long AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, day, round(CAST({c} AS DOUBLE), 9) AS value FROM feat" for c in _DRIFT) + ")\nSELECT w.feature",
-    1,
+    JOIN (SELECT feature, stddev_pop(value) AS spread FROM ({long}) WHERE is_ref GROUP BY feature) s ON w.feature = s.feature"""
+
+
+_TRAFFIC = ["n", "weekday", "is_weekend", "month", "lag1", "lag7", "mean7", "std7", "congestion"]
+_FEAT_LONG = _long("feat", _TRAFFIC, f"day < {_CUT}")
+QUERIES["drift_distances"] = sql(
+    "feat",
+    f"""SELECT feature, reference_rows, current_rows, {r('wasserstein')} AS wasserstein, {r('ks')} AS ks, {r('js')} AS js
+    FROM ({_distances(_FEAT_LONG)})""",
+)
+_HALF_PROFILE = """SELECT stop, {side} AS is_ref, weekday_mean, weekend_mean, CASE WHEN weekday_mean > 0 THEN weekend_mean / weekday_mean ELSE 0 END AS weekend_ratio,
+    volume, coalesce(CASE WHEN m > 0 THEN sd / m ELSE 0 END, 0) AS variation FROM (
+    SELECT stop, coalesce(avg(n) FILTER (isodow(day) < 6), 0) AS weekday_mean, coalesce(avg(n) FILTER (isodow(day) >= 6), 0) AS weekend_mean,
+      CAST(sum(n) AS BIGINT) AS volume, avg(n) AS m, stddev_samp(n) AS sd FROM sds WHERE {where} GROUP BY stop)"""
+_PROFILES = f"({_HALF_PROFILE.format(side='true', where=f'day < {_CUT}')} UNION ALL {_HALF_PROFILE.format(side='false', where=f'day >= {_CUT}')})"
+_VERDICT = """SELECT feature, CASE WHEN feature = 'is_weekend' THEN js > 0.1 WHEN reference_rows > 1000 THEN wasserstein > 0.1 ELSE p < 0.05 END AS drifted FROM (
+    SELECT *, CASE WHEN lam < 0.2 THEN 1 ELSE greatest(least(2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * lam * lam))), 1), 0) END AS p
+    FROM (SELECT *, (sz + 0.12 + 0.11 / sz) * ks AS lam FROM (SELECT *, sqrt(reference_rows * current_rows / (reference_rows + current_rows)) AS sz FROM ({distances}))))"""
+_FEAT_VERDICT = _VERDICT.format(distances=_distances(_FEAT_LONG))
+_PROFILE_VERDICT = _VERDICT.format(distances=_distances(_long(_PROFILES, PROFILE_MEASURES, "is_ref", 12)))
+
+
+def _report(name: str, verdicts: str, where: str = "true") -> str:
+    return f"""SELECT '{name}' AS model, CASE WHEN count(*) FILTER (drifted) / count(*) > 0.3 THEN 'DRIFT' ELSE 'OK' END AS status,
+    count(*) FILTER (drifted) AS drifted, count(*) AS features, {r('count(*) FILTER (drifted) / count(*)')} AS share FROM ({verdicts}) WHERE {where}"""
+
+
+QUERIES["drift_report"] = sql(
+    "feat sds",
+    " UNION ALL ".join(
+        [
+            _report("traffic", _FEAT_VERDICT),
+            _report("anomaly", _FEAT_VERDICT, "feature IN ('n', 'mean7', 'std7', 'congestion')"),
+            _report("clustering", _PROFILE_VERDICT),
+            "SELECT 'missing', 'REFERENCE MISSING', NULL, NULL, NULL",
+        ]
+    ),
+)
+QUERIES["density_clusters"] = sql(
+    "scaled",
+    f"""SELECT stop, CAST(coalesce(min(cluster), -1) AS INTEGER) AS cluster FROM (
+    WITH near AS (SELECT p.stop AS a, q.stop AS b FROM scaled p, scaled q WHERE {_D('p.{}_scaled', 'q.{}_scaled')} <= 0.8 * 0.8),
+    core AS (SELECT a FROM near GROUP BY a HAVING count(*) >= 5),
+    reach AS (WITH RECURSIVE walk AS (SELECT a, a AS b FROM core UNION SELECT w.a, n.b FROM walk w JOIN near n ON w.b = n.a WHERE n.b IN (SELECT a FROM core)) SELECT * FROM walk),
+    numbered AS (SELECT a, dense_rank() OVER (ORDER BY first) - 1 AS cluster FROM (SELECT a, min(b) AS first FROM reach GROUP BY a))
+    SELECT s.stop, k.cluster FROM scaled s LEFT JOIN (SELECT n.a AS stop, m.cluster FROM near n JOIN numbered m ON n.b = m.a) k ON s.stop = k.stop) GROUP BY stop""",
 )
 QUERIES["incremental_refresh"] = """SELECT CAST(user_id AS VARCHAR) AS stop, count(*) AS rows, count(DISTINCT CAST(ts AS DATE)) AS days
   FROM (SELECT DISTINCT event_id, ts, user_id, event_type FROM events) GROUP BY user_id"""

@@ -65,13 +65,13 @@ def add_date_parts(df: DataFrame) -> DataFrame:
 def add_calendar_flags(df: DataFrame, calendar: DataFrame | None) -> DataFrame:
     """Holiday and vacation flags; all false without a calendar or outside its range.
 
-    `calendar` has one row per day, so it is a small table by nature; the join
-    still checks before broadcasting it.
+    `calendar` has one row per day, 366 a year at most, so it may be broadcast
+    without counting it.
     """
     if calendar is None:
         return df.withColumns({"is_holiday": F.lit(False), "is_vacation": F.lit(False)})
     flags = ["is_holiday", "is_vacation"]
-    joined = join_lookup(df, calendar.select("day", *flags), "day")
+    joined = df.join(F.broadcast(calendar.select("day", *flags)), "day", "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(False)) for c in flags})
 
 

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFILE_NAMES_K5
 from stopflow.functions.dates import is_weekend
 from stopflow.functions.numeric import half_even, ratio_or_zero
-from stopflow.session import fits_broadcast, join_lookup
+from stopflow.session import join_lookup, renewed
 
 SCALED = [f"{c}_scaled" for c in PROFILE_MEASURES]
-EXACT_SILHOUETTE_ROWS = 20_000
+EXACT_SILHOUETTE_ROWS = 200_000
+SILHOUETTE_BLOCK = 2000
 QUALITY = "silhouette double, distance string, davies_bouldin double, calinski_harabasz double, inertia double"
 
 
@@ -156,42 +157,53 @@ def davies_bouldin(labelled: DataFrame) -> DataFrame:
 def silhouette(labelled: DataFrame, exact_rows: int = EXACT_SILHOUETTE_ROWS) -> DataFrame:
     """Mean silhouette, with the distance used.
 
-    Euclidean silhouette has no form cheaper than all distances. Up to
-    `exact_rows` profiles the table travels to every task (a few hundred kB) and
-    each task reduces its rows' distances at once. Beyond, distances are squared
-    Euclidean, which needs only each cluster's size, sum and sum of squares.
+    Euclidean silhouette has no form cheaper than all distances, so it is taken
+    up to `exact_rows` profiles, block against block. Beyond, distances are
+    squared Euclidean, which needs only each cluster's size, sum and sum of squares.
     """
-    points = labelled.select("cluster", *SCALED)
-    if fits_broadcast(points, exact_rows):
-        return _silhouette_euclidean(points)
-    return _silhouette_squared(points)
-
-
-def _silhouette_euclidean(points: DataFrame) -> DataFrame:
-    everyone = points.toPandas()
-    labels, code = np.unique(everyone["cluster"].to_numpy(), return_inverse=True)
-    matrix = everyone[SCALED].to_numpy(float)
-    member = np.eye(len(labels))[code]
-    size = member.sum(axis=0)
-
-    @F.pandas_udf("double")
-    def width(cluster: pd.Series, *columns: pd.Series) -> pd.Series:
-        mine = np.column_stack([c.to_numpy(float) for c in columns])
-        own = np.searchsorted(labels, cluster.to_numpy())
-        out = np.empty(len(mine))
-        for at in range(0, len(mine), 512):
-            block, c = mine[at : at + 512], own[at : at + 512]
-            total = np.sqrt(((block[:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2)) @ member
-            rows = np.arange(len(block))
-            inside = total[rows, c] / np.maximum(size[c] - 1, 1)
-            mean = total / size
-            mean[rows, c] = np.inf
-            outside = mean.min(axis=1)
-            out[at : at + 512] = np.where(size[c] > 1, (outside - inside) / np.maximum(inside, outside), 0.0)
-        return pd.Series(out)
-
-    scored = points.select(width("cluster", *SCALED).alias("width"))
-    return scored.agg(F.avg("width").alias("silhouette"), F.lit("euclidean").alias("distance"))
+    points = labelled.select("stop", "cluster", *SCALED)
+    rows = points.count()
+    return _silhouette_euclidean(points, rows) if rows <= exact_rows else _silhouette_squared(points)
+
+
+def _silhouette_euclidean(points: DataFrame, rows: int) -> DataFrame:
+    """Each pair of blocks is one task that returns, per row, its total distance to every cluster."""
+    blocks = rows // SILHOUETTE_BLOCK + 1
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    placed = points.withColumn("own", F.pmod(F.xxhash64("stop"), F.lit(blocks)).cast("int"))
+    left = renewed(placed.withColumn("other", every)).groupBy("own", "other")
+    right = renewed(placed.withColumnRenamed("own", "other").withColumn("own", every)).groupBy("own", "other")
+
+    def distances(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if mine.empty or theirs.empty:
+            return pd.DataFrame(columns=["stop", "cluster", "near", "total", "members"])
+        a, b = mine[SCALED].to_numpy(float), theirs[SCALED].to_numpy(float)
+        squared = np.zeros((len(a), len(b)))
+        for i in range(a.shape[1]):
+            squared += (a[:, i, None] - b[None, :, i]) ** 2
+        labels, code = np.unique(theirs["cluster"].to_numpy(), return_inverse=True)
+        member = np.eye(len(labels))[code]
+        total = np.sqrt(squared) @ member
+        return pd.DataFrame(
+            {
+                "stop": np.repeat(mine["stop"].to_numpy(object), len(labels)),
+                "cluster": np.repeat(mine["cluster"].to_numpy(), len(labels)),
+                "near": np.tile(labels, len(mine)),
+                "total": total.ravel(),
+                "members": np.tile(member.sum(axis=0).astype("int64"), len(mine)),
+            }
+        )
+
+    parts = left.cogroup(right).applyInPandas(distances, "stop string, cluster int, near int, total double, members bigint")
+    sums = parts.groupBy("stop", "cluster", "near").agg(F.sum("total").alias("total"), F.sum("members").alias("members"))
+    is_own = F.col("near") == F.col("cluster")
+    widths = sums.groupBy("stop").agg(
+        F.max(F.when(is_own, F.col("total") / F.greatest(F.col("members") - 1, F.lit(1)))).alias("a"),
+        F.min(F.when(~is_own, F.col("total") / F.col("members"))).alias("b"),
+        F.max(F.when(is_own, F.col("members"))).alias("size"),
+    )
+    width = F.when(F.col("size") > 1, F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))).otherwise(0.0)
+    return widths.agg(F.avg(width).alias("silhouette"), F.lit("euclidean").alias("distance"))
 
 
 def _silhouette_squared(points: DataFrame) -> DataFrame:
@@ -215,7 +227,7 @@ def _silhouette_squared(points: DataFrame) -> DataFrame:
 
 def cluster_quality(labelled: DataFrame) -> DataFrame:
     """All four measures in one row; noise (label -1) is left out."""
-    kept = labelled.where(F.col("cluster") != -1).select("cluster", *SCALED).persist()
+    kept = labelled.where(F.col("cluster") != -1).select("stop", "cluster", *SCALED).persist()
     parts = [silhouette(kept), davies_bouldin(kept), calinski_harabasz(kept), inertia(kept)]
     values = {k: v for part in parts for k, v in part.first().asDict().items()}
     kept.unpersist()

@@ -516,10 +516,16 @@ def cluster_means_scaled(spark, folder):
 
 @query
 def histogram(spark, folder):
-    counts = exploration.histogram(tables.validations(spark, folder), "n", 100).withColumn("measure", F.lit("n"))
-    scored = features.add_congestion(_daily(spark, folder))
-    scores = exploration.histogram(scored, "congestion", 50).withColumn("measure", F.lit("congestion"))
-    return tidy(counts.unionByName(scores))
+    rows = tables.validations(spark, folder)
+    scored = features.zscores(features.add_congestion(features.stop_day(rows))).persist()
+    measures = [
+        (rows, "n", 100),
+        (exploration.active_days(tables.supplier_validations(spark, folder)), "active_days", 30),
+        (scored, "z", 100),
+        (scored, "congestion", 50),
+    ]
+    parts = {column: exploration.histogram(df, column, bins) for df, column, bins in measures}
+    return tidy(cleaning.stack(parts).withColumnRenamed("source", "measure"))
 
 
 @query

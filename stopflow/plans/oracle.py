@@ -428,8 +428,16 @@ def _histogram(relation: str, column: str, bins: int) -> str:
 
 
 QUERIES["histogram"] = sql(
-    "v z",
-    f"SELECT 'n' AS measure, * FROM ({_histogram('v', 'n', 100)}) UNION ALL SELECT 'congestion', * FROM ({_histogram('z', 'congestion', 50)})",
+    "v z vs",
+    " UNION ALL ".join(
+        f"SELECT '{column}' AS measure, * FROM ({_histogram(relation, column, bins)})"
+        for relation, column, bins in [
+            ("v", "n", 100),
+            ("(SELECT count(DISTINCT day) AS active_days FROM vs GROUP BY stop)", "active_days", 30),
+            ("z", "z", 100),
+            ("z", "congestion", 50),
+        ]
+    ),
 )
 QUERIES["forecast_eligibility"] = sql(
     "per_stop",

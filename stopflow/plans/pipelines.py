@@ -58,7 +58,7 @@ def compare_clusterings(vectors: DataFrame, k: int, settings: Settings = DEFAULT
     }
     rows = []
     for name, labelled in candidates.items():
-        labelled = labelled.select("cluster", *profiles.SCALED).persist()
+        labelled = labelled.select("stop", "cluster", *profiles.SCALED).persist()
         clusters = labelled.where(F.col("cluster") != -1).select("cluster").distinct().count()
         noise = labelled.where(F.col("cluster") == -1).count()
         quality = profiles.cluster_quality(labelled).first().asDict() if clusters >= 2 else {}

@@ -35,7 +35,9 @@ def brute_silhouette(points, labels):
     return sum(widths) / len(widths)
 
 
-def test_silhouettes(spark):
+@pytest.mark.parametrize("block", [2000, 9])
+def test_silhouettes(spark, monkeypatch, block):
+    monkeypatch.setattr(profiles, "SILHOUETTE_BLOCK", block)
     df = random_profiles(spark).persist()
     rows = df.collect()
     exact = profiles.silhouette(df).first()

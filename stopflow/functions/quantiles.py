@@ -27,7 +27,8 @@ def slice_edges(df: DataFrame, column: str, rows: int) -> list[float]:
 def with_slice(df: DataFrame, column: str, edges: list[float], name: str = "_slice") -> DataFrame:
     """Number of the slice a value lies in; equal values share a slice."""
     if not edges:
-        return df.withColumn(name, F.lit(0.0))
+        # NaN sorts last, in a slice of its own.
+        return df.withColumn(name, F.when(F.isnan(column), 1.0).otherwise(0.0))
     splits = [float("-inf"), *edges, float("inf")]
     return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df)
 

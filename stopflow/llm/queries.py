@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, packing, quality, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, packing, pii, quality, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -17,6 +17,13 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    counts = [pii.of_kind("_base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.spelled("_base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.spelled("_spans").alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.drop_frequent_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

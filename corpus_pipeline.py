@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import line_dedup, packing, quality
+from stopflow.llm import line_dedup, ngram_join, packing, pii, quality
 from stopflow.llm.common import Stored, table
 
 
@@ -31,6 +31,16 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _renewed(done.drop("n_lines", "n_dropped"), "kept")
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8 or more, one per group stays: that of the smallest id."""
+    return ngram_join.keep_one(docs, words=5, percent=80)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to the names of their kinds."""
+    return _renewed(pii.redact(docs), "_redacted")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left, in sequences of 2048."""
     return packing.pack_documents(docs)
@@ -39,6 +49,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", keep_good),
     ("line dedup", drop_common_lines),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("PII", redact),
     ("best-fit packing", pack),
 ]
 
@@ -49,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = Stored(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
+        docs = Stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower()).df
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from stopflow.session import scratch_path
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -59,7 +61,13 @@ class Stored:
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
         schema = df.schema
-        df.write.parquet(self.path)
+        # The shuffle files that only this write needed go when it ends, not when the driver collects its garbage.
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         self.df = self.spark.read.schema(schema).parquet(self.path)
 
     def remove(self) -> None:

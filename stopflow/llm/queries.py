@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, ngram_join, packing, pii, quality, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, pii.spelled("_spans").alias("spans"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(table(spark, folder, "documents"), keep_bytes=False)
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.drop_frequent_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

@@ -1,16 +1,16 @@
 """Exact n-gram Jaccard join with a token-group matrix.
 
 A document is the set of its distinct word n-grams. Equal sets are one class.
-Similar classes are partitioned into groups: classes that share one of three
-minima are verified against the smallest of them, and what links is a group.
+Similar classes are partitioned into groups: classes that share one of a few
+minima are verified against the most typical of them, and what links is a group.
 Each group stores the union of its members' leading tokens, which makes the
 columns of a token-group matrix. A query class's overlap with a group's union
 bounds its overlap with every member from above, and only groups that reach
 the bound are opened; there members are compared by the same count and the
 remaining pairs by their whole sets.
 
-Leading tokens: in an order common to all, with tokens that are frequent among
-leading tokens last, the first n - ceil(t n) + extra tokens of a set of size n.
+Leading tokens: in an order common to all, with tokens that are frequent in
+the corpus last, the first n - ceil(t n) + extra tokens of a set of size n.
 Two sets with Jaccard similarity t or more share at least `extra` of them, so
 no pair is lost. The order only decides how much work there is.
 
@@ -33,13 +33,13 @@ from stopflow.llm.common import Stored, connected_components, map_batches
 WORDS, PERCENT = 4, 85
 #: Leading tokens that linked sets share at least.
 EXTRA = 4
-#: A token is frequent from so many leading occurrences; at most MOST tokens are, as the bound rises with the table.
+#: A token is frequent from so many documents; at most MOST tokens are, as the bound rises with the table.
 FREQUENT, MOST = 24, 1_000_000
 #: Members compared with one leader in one run.
 RUN = 256
 
 _K = np.uint64(0x9E3779B97F4A7C15)
-_TURNS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+_TURNS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5, 0x9FB21C651E98DF25)
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -64,27 +64,29 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def _among(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), dtype=bool)
+    return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
+
+
 def leading(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The leading tokens of a sorted set; `frequent` is sorted."""
     least = needed(len(tokens), percent)
     many = len(tokens) - least + min(EXTRA, least)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        last = frequent[at] == tokens
-        tokens = np.concatenate([tokens[~last], tokens[last]])
-    return tokens[:many]
+    last = _among(tokens, frequent)
+    return np.concatenate([tokens[~last], tokens[last]])[:many]
 
 
 def _signed(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
 
-def _frequent_tokens(docs: DataFrame, words: int, percent: int) -> np.ndarray:
-    """Tokens that lead in many documents: at most MOST, since each needs its share of all occurrences."""
+def _frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
+    """Tokens of many documents: at most MOST, since each needs its share of all their occurrences."""
 
     def start():
-        none = np.zeros(0, dtype=np.uint64)
-        return lambda texts: ([t for text in texts for t in _signed(leading(shingles(text, words), none, percent))],)
+        return lambda texts: (np.concatenate([shingles(text, words) for text in texts]).view(np.int64),)
 
     counts = map_batches(docs.select("text"), [("token", "long")], start).groupBy("token").agg(F.count("*").alias("n"))
     counts = Stored(counts.where(F.col("n") >= FREQUENT), "token-counts")
@@ -96,25 +98,27 @@ def _frequent_tokens(docs: DataFrame, words: int, percent: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, print, minima, tokens) for every row of docs."""
-    sent = docs.sparkSession.sparkContext.broadcast(_frequent_tokens(docs, words, percent))
+    """(doc_id, n, print, typical, rare, minima, tokens) for every row of docs; typical: the thousandths of its tokens that are frequent."""
+    sent = docs.sparkSession.sparkContext.broadcast(_frequent_tokens(docs, words))
 
     def start():
         frequent = sent.value
 
         def work(ids, texts):
-            out = [[] for _ in range(5)]
+            out = [[] for _ in range(7)]
             for doc, text in zip(ids, texts):
                 tokens = shingles(text, words)
+                rare = int((~_among(tokens, frequent)).sum())
+                typical = 1000 - 1000 * rare // max(1, len(tokens))
                 minima = [int((tokens * np.uint64(turn)).view(np.int64).min()) for turn in _TURNS] if len(tokens) else []
-                row = (doc, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), minima, _signed(leading(tokens, frequent, percent)))
+                row = (doc, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), typical, rare, minima, _signed(leading(tokens, frequent, percent)))
                 for column, value in zip(out, row):
                     column.append(value)
             return out
 
         return work
 
-    schema = [("doc_id", "long"), ("n", "long"), ("print", "binary"), ("minima", "array<long>"), ("tokens", "array<long>")]
+    schema = [("doc_id", "long"), ("n", "long"), ("print", "binary"), ("typical", "int"), ("rare", "int"), ("minima", "array<long>"), ("tokens", "array<long>")]
     return map_batches(docs.select("doc_id", "text"), schema, start)
 
 
@@ -150,6 +154,47 @@ def _linked(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     return rows.mapInArrow(verify, "leader long, member long")
 
 
+def _opened(entries: DataFrame, percent: int, frequent: bool) -> DataFrame:
+    """(leader, member): pairs of different groups that reach the bounds, by the groups' token unions, then by member.
+
+    A linking pair shares s (n + k) tokens or more, s being t / (1 + t). Either
+    it shares rare leading tokens: then at most the shared ones and what is not
+    rare and leading (`room`), on either side. Or it shares none of these: then
+    at most the frequent tokens (`common`) of either side, among them the
+    leading ones. Lists of rare tokens are short; the second bound is checked
+    inside the joins on frequent ones.
+    """
+    t = percent / 100
+    need = lambda n, k: F.lit(t / (1 + t) - 1e-9) * (F.col(n) + F.col(k))
+    matrix = entries.groupBy("token", "g").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("wide"), F.max("common").alias("full")
+    )
+    asked = entries.select("q", "n", "room", "common", F.col("g").alias("own"), "token")
+    members = entries.select(F.col("q").alias("m"), F.col("n").alias("k"), F.col("room").alias("m_room"), F.col("common").alias("m_common"), "g", "token")
+    fits = lambda n, least, most: (F.col(most) >= F.col(n) * (t - 1e-9)) & (F.col(n) >= F.col(least) * (t - 1e-9))
+    # One of a linking pair's two directions suffices: the query is the one in the later group.
+    near = (F.col("own") > F.col("g")) & fits("n", "least", "most")
+    both = fits("n", "k", "k")
+    if frequent:
+        near &= (F.col("common") >= need("n", "least")) & (F.col("full") >= need("n", "least"))
+        both &= (F.col("common") >= need("n", "k")) & (F.col("m_common") >= need("n", "k"))
+        extra = lambda n, k: F.col("c") >= F.least(F.lit(EXTRA), F.ceil(F.col(n) * (t - 1e-9)), F.ceil(F.col(k) * (t - 1e-9)))
+        reaches, links = extra("n", "least"), extra("n", "k")
+    else:
+        reaches = (F.col("c") + F.col("room") >= need("n", "least")) & (F.col("c") + F.col("wide") >= need("n", "least"))
+        links = (F.col("c") + F.col("room") >= need("n", "k")) & (F.col("c") + F.col("m_room") >= need("n", "k"))
+    opened = (
+        asked.join(matrix, "token").where(near)
+        .groupBy("q", "n", "room", "g").agg(F.count("*").alias("c"), F.min("least").alias("least"), F.max("wide").alias("wide"))
+        .where(reaches).select("q", "g")
+    )
+    return (
+        asked.join(opened, "q").join(members, ["g", "token"]).where(both)
+        .groupBy("q", "m", "n", "k", "room", "m_room").agg(F.count("*").alias("c"))
+        .where(links).select(F.col("q").alias("leader"), F.col("m").alias("member"))
+    )
+
+
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of docs (doc_id, text).
 
@@ -162,37 +207,27 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         index.where("n > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "ngram-classes"
     ).df
     reps = Stored(index.join(classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").dropDuplicates(["print"]), "ngram-reps").df
-    keys = reps.select("doc_id", F.posexplode("minima").alias("turn", "key"))
-    leaders = keys.groupBy("turn", "key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("c")).where("c > 1")
+    # A leader has the largest share of tokens that others have too: of the copies of a text, the one nearest to it.
+    keys = reps.select("doc_id", "typical", F.posexplode("minima").alias("turn", "key"))
+    first_of = F.min(F.struct((-F.col("typical")).alias("t"), "doc_id")).alias("one")
+    leaders = keys.groupBy("turn", "key").agg(first_of, F.count("*").alias("c")).where("c > 1").select("turn", "key", F.col("one.doc_id").alias("leader"))
     close = keys.join(leaders, ["turn", "key"]).where("doc_id <> leader").select("leader", F.col("doc_id").alias("member")).distinct()
     first = Stored(_linked(docs, close, words, percent), "ngram-links").df
     stars = connected_components(first.select(F.col("leader").alias("a"), F.col("member").alias("b")))
 
-    grouped = reps.select("doc_id", "n", "tokens").join(stars.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        F.col("doc_id").alias("q"), "n", F.coalesce("component", "doc_id").alias("g"), "tokens"
+    grouped = reps.join(stars.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        F.col("doc_id").alias("q"),
+        "n",
+        F.coalesce("component", "doc_id").alias("g"),
+        (F.col("n") - F.least("rare", F.size("tokens"))).alias("room"),
+        (F.col("n") - F.col("rare")).alias("common"),
+        F.posexplode("tokens").alias("at", "token"),
+        "rare",
     )
-    entries = Stored(grouped.select("q", "n", "g", F.explode("tokens").alias("token")), "ngram-entries").df
+    entries = Stored(grouped.withColumn("frequent", F.col("at") >= F.col("rare")).drop("at", "rare"), "ngram-entries").df
     shared = entries.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("token")
     entries = Stored(entries.join(shared, "token", "left_semi"), "ngram-shared").df
-    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    asked = entries.select("q", "n", F.col("g").alias("own"), "token")
-    # One of a linking pair's two directions suffices: the query is the one in the later group.
-    t = F.lit(percent / 100 - 1e-9)
-    share = lambda n: F.least(F.lit(EXTRA), F.ceil(F.col(n) * t))
-    opened = (
-        asked.join(matrix, "token").where((F.col("own") > F.col("g")) & (F.col("most") >= F.col("n") * t) & (F.col("n") >= F.col("least") * t))
-        .groupBy("q", "n", "g").agg(F.count("*").alias("c"), F.min("least").alias("least"))
-        .where(F.col("c") >= F.least(share("n"), share("least")))
-        .select("q", "g")
-    )
-    members = entries.select(F.col("q").alias("m"), F.col("n").alias("k"), "g", "token")
-    pairs = (
-        asked.join(opened, "q").join(members, ["g", "token"])
-        .where((F.col("k") >= F.col("n") * t) & (F.col("n") >= F.col("k") * t))
-        .groupBy("q", "m", "n", "k").agg(F.count("*").alias("c"))
-        .where(F.col("c") >= F.least(share("n"), share("k")))
-        .select(F.col("q").alias("leader"), F.col("m").alias("member"))
-    )
+    pairs = _opened(entries.where("not frequent"), percent, False).unionByName(_opened(entries.where("frequent"), percent, True)).distinct()
     second = Stored(_linked(docs, Stored(pairs, "ngram-pairs").df, words, percent), "ngram-links").df
     links = first.unionByName(second).select(F.col("leader").alias("a"), F.col("member").alias("b"))
     components = connected_components(links)

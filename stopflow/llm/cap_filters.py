@@ -6,9 +6,9 @@ inner product with a direction is a sum of two, and the directions above the
 cap's height are listed by sorting one half's sums and cutting the list for
 each word of the other. Vectors meet in the filters they share and are
 verified there by their exact cosine. The number of directions follows the
-number of vectors and the height follows from the wished number of shared
-filters of a pair right at the threshold, so that buckets stay small and the
-recall stays the same at every size.
+number of vectors, and the height is calibrated on simulated pairs right at the
+threshold, so that buckets stay small and the recall stays the same at every
+size.
 """
 
 from __future__ import annotations
@@ -24,53 +24,56 @@ from pyspark.sql import functions as F
 from stopflow.llm.common import Stored, connected_components
 
 COSINE = 0.9
-#: Filters that a pair at the threshold shares on average: a Poisson estimate of a miss is exp(-8).
-SHARED = 8.0
+#: Share of pairs right at the threshold that must meet in a filter, and the simulated pairs it is calibrated on.
+RECALL, PAIRS = 0.95, 600
 #: Rows of a filter that one run compares; larger filters are cut into blocks of rows, compared block by block.
 BLOCK = 2_048
 
 
-def _tail(t: float) -> float:
-    return 0.5 * math.erfc(t / math.sqrt(2))
-
-
-def cap_height(directions: int, cosine: float, shared: float) -> float:
-    """The height (in standard deviations) at which a pair at `cosine` shares so many of the directions on average."""
-    spread = math.sqrt(1 - cosine * cosine)
-
-    def both(t: float) -> float:
-        z = np.linspace(t, t + 8, 400)
-        density = np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
-        return float((density * np.array([_tail((t - cosine * x) / spread) for x in z])).sum() * (z[1] - z[0]))
-
-    low, high = -2.0, 8.0
-    for _ in range(50):
-        middle = (low + high) / 2
-        low, high = (middle, high) if directions * both(middle) > shared else (low, middle)
-    return low
-
-
 class ProductCode:
     """Random directions, the same for every task from the same seed."""
 
-    def __init__(self, dimension: int, words: int, height: float, seed: int = 7):
+    def __init__(self, dimension: int, words: int, cosine: float = COSINE, recall: float = RECALL, seed: int = 7):
         random = np.random.default_rng([seed, dimension])
         self.rotation = np.linalg.qr(random.standard_normal((dimension, dimension)))[0]
         self.half = max(1, dimension // 2)
         parts = [self.half, dimension - self.half] if dimension > 1 else [1]
         self.codes = []
         for part in parts:
-            code = random.standard_normal((words, part))
-            self.codes.append(code / np.linalg.norm(code, axis=1, keepdims=True) * math.sqrt(part / dimension))
-        self.words, self.height = words, height / math.sqrt(dimension)
+            self.codes.append(random.standard_normal((words, part)))
+        self.words = words
+        self.height = self._calibrated(cosine, recall, random)
+
+    def _sums(self, rows: np.ndarray) -> list[np.ndarray]:
+        turned = rows @ self.rotation
+        return [turned[:, : self.half] @ self.codes[0].T, *([turned[:, self.half :] @ self.codes[1].T] if len(self.codes) > 1 else [])]
+
+    def _calibrated(self, cosine: float, recall: float, random) -> float:
+        """The height at which this share of random pairs right at the threshold has a direction in common.
+
+        A pair's height is the greatest, over directions, of the lesser of its
+        two inner products; with long codes it is sought among the best words
+        of each half, which can only lower it.
+        """
+        u, w = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in random.standard_normal((2, PAIRS, self.rotation.shape[0])))
+        w = w - (w * u).sum(axis=1, keepdims=True) * u
+        w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+        heights = []
+        for one, two in zip(zip(*self._sums(u)), zip(*self._sums(cosine * u + math.sqrt(1 - cosine * cosine) * w))):
+            best = [np.argsort(-(a + b))[:256] for a, b in zip(one, two)]
+            a, b = ([x[i] for x, i in zip(side, best)] for side in (one, two))
+            if len(a) == 1:
+                heights.append(np.minimum(a[0], b[0]).max())
+            else:
+                heights.append(np.minimum(a[0][:, None] + a[1], b[0][:, None] + b[1]).max())
+        return float(np.quantile(heights, 1 - recall))
 
     def decode(self, rows: np.ndarray) -> list[np.ndarray]:
         """All directions above the height for each unit row, ascending."""
-        turned = rows @ self.rotation
-        first = turned[:, : self.half] @ self.codes[0].T
-        if len(self.codes) == 1:
+        first, *rest = self._sums(rows)
+        if not rest:
             return [np.flatnonzero(row >= self.height) for row in first]
-        second = turned[:, self.half :] @ self.codes[1].T
+        second = rest[0]
         order = np.argsort(-second, axis=1)
         out = []
         for a, b, by in zip(first, second, order):
@@ -116,7 +119,7 @@ def _verify(ids, sizes, sides, rows, listed, bucket: int, cross: bool, cosine: f
     return ids, counted @ sizes, label
 
 
-def link_vectors(vectors: DataFrame, cosine: float = COSINE, shared: float = SHARED) -> DataFrame:
+def link_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of vectors (vec_id, embedding).
 
     Vectors that are null, empty, zero or hold null or non-finite components
@@ -124,14 +127,14 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, shared: float = SHA
     are one class, compared once and counted by its size. A hub filter is cut
     into blocks of rows; nothing is capped.
     """
-    rows = vectors.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    rows = vectors.select("vec_id", F.col("embedding").alias("v"))
+    kind = rows.schema["v"].dataType.simpleString()
     sound = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     sound = F.coalesce(sound & F.col("vec_id").isNotNull(), F.lit(False))
     classes = Stored(
         rows.where(sound).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "vector-classes"
     ).df
-    words = max(16, math.ceil(math.sqrt(1.3 * max(1, classes.count()))))
-    height = cap_height(words * words, cosine, shared)
+    words = max(64, math.ceil(math.sqrt(1.3 * max(1, classes.count()))))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, ProductCode] = {}
@@ -139,7 +142,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, shared: float = SHA
             size = np.array([len(v) for v in batch.column(2).to_pylist()])
             for d in np.unique(size):
                 if d not in codes:
-                    codes[d] = ProductCode(int(d), words, height)
+                    codes[d] = ProductCode(int(d), words, cosine, recall)
                 at = np.flatnonzero(size == d)
                 part = batch.take(pa.array(at))
                 listed = codes[d].decode(_units(part.column(2)))
@@ -149,7 +152,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, shared: float = SHA
                 )
 
     assigned = Stored(
-        classes.select("rep", "size", "v").mapInArrow(assign, "rep long, size long, v array<double>, listed array<long>"), "vector-filters"
+        classes.select("rep", "size", "v").mapInArrow(assign, f"rep long, size long, v {kind}, listed array<long>"), "vector-filters"
     ).df
     entries = assigned.withColumn("d", F.size("v")).withColumn("f", F.explode("listed"))
     many = entries.groupBy("d", "f").agg(F.count("*").alias("n")).where("n > 1").withColumn("c", F.ceil(F.col("n") / BLOCK).cast("int"))

@@ -693,9 +693,9 @@ def incremental_refresh(spark, folder):
     root = scratch_path(spark, "refresh")
     arriving = tables.event_submissions(spark, folder)
     for _ in range(2):
-        arriving.repartition(4).write.mode("append").parquet(f"{root}/in")
+        arriving.write.mode("append").parquet(f"{root}/in")
     stream = refresh.submitted_stream(spark, f"{root}/in", arriving.schema, files_per_batch=4)
-    refresh.run_refresh(stream, f"{root}/table", f"{root}/quarantine", f"{root}/checkpoint", ["seq"], lateness="400 days")
+    refresh.run_refresh(stream, f"{root}/table", f"{root}/quarantine", f"{root}/checkpoint", ["seq"])
     taken = spark.read.parquet(f"{root}/table")
     return taken.groupBy("stop").agg(F.count("*").alias("rows"), F.countDistinct("day").alias("days"))
 

@@ -40,9 +40,11 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; only when none is named, a temporary one."""
+    """The shared folder named by the cluster; in local mode, when none is named, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="stopflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -15,31 +15,39 @@ def submitted_stream(spark: SparkSession, folder: str, schema: StructType, files
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def run_refresh(
-    stream: DataFrame,
-    table: str,
-    quarantine: str,
-    checkpoint: str,
-    key: list[str],
-    event_time: str = "ts",
-    lateness: str = "7 days",
-) -> None:
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _unseen(batch: DataFrame, path: str, number: int, key: list[str]) -> DataFrame:
+    """Rows whose key is in no other batch of the stored table."""
+    if not _exists(batch.sparkSession, path):
+        return batch
+    other = batch.sparkSession.read.parquet(path).where(F.col("batch") != number).select(*key)
+    return batch.join(other, key, "left_anti").select(*batch.columns)
+
+
+def run_refresh(stream: DataFrame, table: str, quarantine: str, checkpoint: str, key: list[str]) -> None:
     """Take in everything available, then stop.
 
-    A row seen again within the lateness is dropped by its key. Batches are
-    written under their batch number, so a batch repeated after a failure
-    replaces its own output instead of adding to it.
+    A row goes to the table or to the quarantine once, by its key, however late
+    it comes: keys are compared with what is stored, not with a watermark.
+    Batches are written under their batch number, so a batch repeated after a
+    failure replaces its own output instead of adding to it.
     """
-    unique = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(key)
 
     def take_in(batch: DataFrame, number: int) -> None:
-        checked = with_reason(batch).persist()
+        unique = batch.dropDuplicates(key)
+        for path in (table, quarantine):
+            unique = _unseen(unique, path, number, key)
+        checked = with_reason(unique).persist()
         accepted(checked).write.mode("overwrite").parquet(f"{table}/batch={number}")
         rejected(checked).write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
         checked.unpersist()
 
     query = (
-        unique.writeStream.foreachBatch(take_in)
+        stream.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

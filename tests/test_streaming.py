@@ -42,3 +42,21 @@ def test_refresh_takes_each_row_once_and_continues(spark, tmp_path):
     whole = build_features(table, None, codes).where("stop = 'A'")
     assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.select(*part.columns).collect()))
     assert {r["stop"] for r in part.collect()} == {"A"} and part.where(F.col("lag1") == 20.0).count() >= 1
+
+
+def test_late_rows_arrive_whatever_their_time(spark, tmp_path):
+    """Newest first, and every file twice: all rows are in the table or in quarantine, once."""
+    schema = spark.createDataFrame([], SCHEMA).schema
+    start = dt.datetime(2025, 1, 1)
+    for begin in range(900, -1, -100):
+        rows = []
+        for seq in range(begin, begin + 100):
+            when = start + dt.timedelta(days=seq)
+            rows.append((seq, when, when.date(), "100", "110", "1", 1, "A", "Imagine R", -1 if seq % 50 == 0 else 1))
+        for _ in range(2):
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    places = [str(tmp_path / p) for p in ("table", "quarantine", "checkpoint")]
+    refresh.run_refresh(refresh.submitted_stream(spark, str(tmp_path / "in"), schema, 5), *places, ["seq"])
+    taken = [r["seq"] for r in spark.read.parquet(places[0]).collect()]
+    aside = [r["seq"] for r in spark.read.parquet(places[1]).collect()]
+    assert sorted(taken + aside) == list(range(1000)) and len(aside) == 20

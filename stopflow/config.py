@@ -136,6 +136,9 @@ DRIFT_SETS = {
     "clustering": PROFILE_MEASURES,
 }
 
+#: The test of numeric features of each set: many days or few stops.
+DRIFT_TESTS = {"traffic": "wasserstein", "anomaly": "wasserstein", "clustering": "kolmogorov-smirnov"}
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -160,7 +163,6 @@ class Settings:
     drift_share: float = 0.3
     drift_distance: float = 0.1
     drift_p_value: float = 0.05
-    drift_small_sample: int = 1000
     kmeans_restarts: int = 10
     seed: int = 42
     density_eps: float = 0.8

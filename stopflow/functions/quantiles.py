@@ -12,12 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 1024
 
 
 def slice_edges(df: DataFrame, column: str, rows: int) -> list[float]:
     """Cut points giving slices of about ROWS_PER_SLICE rows; empty for small data."""
-    slices = min(MAX_SLICES, rows // ROWS_PER_SLICE + 1)
+    slices = rows // ROWS_PER_SLICE + 1
     if slices == 1:
         return []
     marks = [i / slices for i in range(1, slices)]
@@ -37,8 +36,8 @@ def running_totals(df: DataFrame, groups: list[str], column: str, sums: list[str
     """Per group, add `<s>_before` (total of s over smaller values), `<s>_total` and `next_value`.
 
     `df` has one row per (groups, column) and a `_slice`. The totals of whole
-    slices are a table of at most MAX_SLICES rows per group, for a few named groups,
-    so it is broadcast.
+    slices are a table of one row per group and million rows, joined on the keys by
+    which the windows inside a slice are dealt anyway.
     """
     keys = [*groups, "_slice"]
     in_order = Window.partitionBy(*groups).orderBy("_slice")
@@ -53,7 +52,7 @@ def running_totals(df: DataFrame, groups: list[str], column: str, sums: list[str
     )
     inside = Window.partitionBy(*keys).orderBy(column)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    out = df.join(F.broadcast(slices), keys)
+    out = df.join(slices, keys)
     out = out.withColumns(
         {
             "next_value": F.coalesce(F.lead(column).over(inside), F.col("next_first")),

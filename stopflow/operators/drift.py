@@ -71,18 +71,33 @@ def ks_p_value(distance, a, b):
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.least(2 * series, F.lit(1.0)), F.lit(0.0)))
 
 
-def drifted_features(distances: DataFrame, categorical: list[str], settings: Settings = DEFAULTS) -> DataFrame:
-    """Which test applies to each feature and whether it signals drift."""
-    is_category = F.col("feature").isin(categorical) if categorical else F.lit(False)
-    small = F.col("reference_rows") <= settings.drift_small_sample
-    test = F.when(is_category, F.lit("jensen-shannon")).when(small, F.lit("kolmogorov-smirnov")).otherwise(F.lit("wasserstein"))
-    p_value = ks_p_value(F.col("ks"), F.col("reference_rows").cast("double"), F.col("current_rows").cast("double"))
-    score = F.when(is_category, F.col("js")).when(small, p_value).otherwise(F.col("wasserstein"))
-    drifted = F.when(is_category | ~small, score > settings.drift_distance).otherwise(score < settings.drift_p_value)
-    return distances.select("feature", test.alias("test"), score.alias("score"), drifted.alias("drifted"))
-
-
-def drift_report(name: str, reference: DataFrame | None, current: DataFrame | None, features: list[str], settings: Settings = DEFAULTS) -> DataFrame:
+def drifted_features(distances: DataFrame, categorical: list[str], test: str = "wasserstein", settings: Settings = DEFAULTS) -> DataFrame:
+    """Whether each feature drifted: categorical ones by Jensen-Shannon distance, the others by `test`.
+
+    `test` is "wasserstein" or "kolmogorov-smirnov", whatever the number of rows.
+    """
+    if test not in ("wasserstein", "kolmogorov-smirnov"):
+        raise ValueError(f"unknown test {test!r}")
+    by_distance = (F.col("feature").isin(categorical) if categorical else F.lit(False)) | F.lit(test == "wasserstein")
+    name = F.when(F.col("feature").isin(categorical), F.lit("jensen-shannon")).otherwise(F.lit(test)) if categorical else F.lit(test)
+    measures = {
+        "jensen-shannon": F.col("js"),
+        "wasserstein": F.col("wasserstein"),
+        "kolmogorov-smirnov": ks_p_value(F.col("ks"), F.col("reference_rows").cast("double"), F.col("current_rows").cast("double")),
+    }
+    score = F.coalesce(*[F.when(name == key, value) for key, value in measures.items()])
+    drifted = F.when(by_distance, score > settings.drift_distance).otherwise(score < settings.drift_p_value)
+    return distances.select("feature", name.alias("test"), score.alias("score"), drifted.alias("drifted"))
+
+
+def drift_report(
+    name: str,
+    reference: DataFrame | None,
+    current: DataFrame | None,
+    features: list[str],
+    test: str = "wasserstein",
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
     """One verdict row: DRIFT when more than the tolerated share of features drifted."""
     present = reference if reference is not None else current
     spark = present.sparkSession
@@ -93,7 +108,7 @@ def drift_report(name: str, reference: DataFrame | None, current: DataFrame | No
         return spark.createDataFrame([(name, "CURRENT DATA MISSING", None, None, None)], schema)
     shared = [c for c in features if c in reference.columns and c in current.columns]
     categorical = [c for c, kind in reference.dtypes if kind == "boolean"]
-    verdicts = drifted_features(drift_distances(reference, current, shared), categorical, settings)
+    verdicts = drifted_features(drift_distances(reference, current, shared), categorical, test, settings)
     share = F.col("drifted") / F.col("features")
     return verdicts.agg(F.count_if("drifted").alias("drifted"), F.count("*").alias("features")).select(
         F.lit(name).alias("model"),
@@ -104,6 +119,9 @@ def drift_report(name: str, reference: DataFrame | None, current: DataFrame | No
     )
 
 
-def drift_reports(pairs: dict[str, tuple[DataFrame, DataFrame, list[str]]], settings: Settings = DEFAULTS) -> DataFrame:
-    parts = [drift_report(name, a, b, features, settings) for name, (a, b, features) in pairs.items()]
+def drift_reports(
+    sets: dict[str, tuple[DataFrame | None, DataFrame | None, list[str], str]], settings: Settings = DEFAULTS
+) -> DataFrame:
+    """One verdict per (reference, current, features, test)."""
+    parts = [drift_report(name, *given, settings) for name, given in sets.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFILE_NAMES_K5
 from stopflow.functions.dates import is_weekend
 from stopflow.functions.numeric import half_even, ratio_or_zero
-from stopflow.session import join_lookup, renewed
+from stopflow.session import join_lookup
 
 SCALED = [f"{c}_scaled" for c in PROFILE_MEASURES]
-EXACT_SILHOUETTE_ROWS = 200_000
-SILHOUETTE_BLOCK = 2000
-QUALITY = "silhouette double, distance string, davies_bouldin double, calinski_harabasz double, inertia double"
+QUALITY = "silhouette double, davies_bouldin double, calinski_harabasz double, inertia double"
 
 
 def stop_profile(daily: DataFrame) -> DataFrame:
@@ -154,75 +152,19 @@ def davies_bouldin(labelled: DataFrame) -> DataFrame:
     return packed.withColumn("others", other).select(worst.alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
-def silhouette(labelled: DataFrame, exact_rows: int = EXACT_SILHOUETTE_ROWS) -> DataFrame:
-    """Mean silhouette, with the distance used.
+def silhouette(labelled: DataFrame) -> DataFrame:
+    """Mean silhouette over squared Euclidean distances, the same at every size.
 
-    Euclidean silhouette has no form cheaper than all distances, so it is taken
-    up to `exact_rows` profiles, block against block. Beyond, distances are
-    squared Euclidean, which needs only each cluster's size, sum and sum of squares.
+    A profile's mean distance to a cluster follows from the cluster's size, sum
+    and sum of squares, so no distances between profiles are taken. A cluster
+    of one profile has width 0.
     """
-    points = labelled.select("stop", "cluster", *SCALED)
-    rows = points.count()
-    return _silhouette_euclidean(points, rows) if rows <= exact_rows else _silhouette_squared(points)
-
-
-def _silhouette_euclidean(points: DataFrame, rows: int) -> DataFrame:
-    """Each pair of blocks is one task that returns, per row, its total distance to every cluster."""
-    blocks = rows // SILHOUETTE_BLOCK + 1
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    placed = points.withColumn("own", F.pmod(F.xxhash64("stop"), F.lit(blocks)).cast("int"))
-    left = renewed(placed.withColumn("other", every)).groupBy("own", "other")
-    right = renewed(placed.withColumnRenamed("own", "other").withColumn("own", every)).groupBy("own", "other")
-
-    def distances(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if mine.empty or theirs.empty:
-            return pd.DataFrame(columns=["stop", "cluster", "near", "total", "members"])
-        a, b = mine[SCALED].to_numpy(float), theirs[SCALED].to_numpy(float)
-        squared = np.zeros((len(a), len(b)))
-        for i in range(a.shape[1]):
-            squared += (a[:, i, None] - b[None, :, i]) ** 2
-        labels, code = np.unique(theirs["cluster"].to_numpy(), return_inverse=True)
-        member = np.eye(len(labels))[code]
-        total = np.sqrt(squared) @ member
-        return pd.DataFrame(
-            {
-                "stop": np.repeat(mine["stop"].to_numpy(object), len(labels)),
-                "cluster": np.repeat(mine["cluster"].to_numpy(), len(labels)),
-                "near": np.tile(labels, len(mine)),
-                "total": total.ravel(),
-                "members": np.tile(member.sum(axis=0).astype("int64"), len(mine)),
-            }
-        )
-
-    parts = left.cogroup(right).applyInPandas(distances, "stop string, cluster int, near int, total double, members bigint")
-    sums = parts.groupBy("stop", "cluster", "near").agg(F.sum("total").alias("total"), F.sum("members").alias("members"))
-    is_own = F.col("near") == F.col("cluster")
-    widths = sums.groupBy("stop").agg(
-        F.max(F.when(is_own, F.col("total") / F.greatest(F.col("members") - 1, F.lit(1)))).alias("a"),
-        F.min(F.when(~is_own, F.col("total") / F.col("members"))).alias("b"),
-        F.max(F.when(is_own, F.col("members"))).alias("size"),
-    )
-    width = F.when(F.col("size") > 1, F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))).otherwise(0.0)
-    return widths.agg(F.avg(width).alias("silhouette"), F.lit("euclidean").alias("distance"))
-
-
-def _silhouette_squared(points: DataFrame) -> DataFrame:
-    norm = sum((F.col(c) * F.col(c) for c in SCALED), F.lit(0.0))
-    moments = points.groupBy("cluster").agg(
-        F.count("*").alias("size"),
-        F.sum(norm).alias("norms"),
-        F.array(*[F.sum(c) for c in SCALED]).alias("sums"),
-    )
-    table = moments.agg(F.collect_list(F.struct("cluster", "size", "norms", "sums")).alias("clusters")).first()["clusters"]
-    total = {}
-    for m in table:
-        dot = sum((F.col(c) * F.lit(s) for c, s in zip(SCALED, m["sums"])), F.lit(0.0))
-        total[m["cluster"]] = (norm * m["size"] - 2 * dot + m["norms"], m["size"])
-    inside = F.coalesce(*[F.when(F.col("cluster") == k, t / max(n - 1, 1)) for k, (t, n) in total.items()])
-    outside = F.least(*[F.when(F.col("cluster") != k, t / n) for k, (t, n) in total.items()])
-    single = F.coalesce(*[F.when(F.col("cluster") == k, F.lit(n == 1)) for k, (_, n) in total.items()])
-    width = F.when(single, 0.0).otherwise((outside - inside) / F.greatest(inside, outside))
-    return points.agg(F.avg(width).alias("silhouette"), F.lit("squared euclidean").alias("distance"))
+    points = labelled.select("cluster", *SCALED)
+    if points.agg(F.countDistinct("cluster")).first()[0] < 2:
+        return labelled.sparkSession.createDataFrame([(None,)], "silhouette double")
+    vectors = VectorAssembler(inputCols=SCALED, outputCol="vector").transform(points)
+    value = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster").evaluate(vectors)
+    return labelled.sparkSession.createDataFrame([(value,)], "silhouette double")
 
 
 def cluster_quality(labelled: DataFrame) -> DataFrame:
@@ -234,7 +176,7 @@ def cluster_quality(labelled: DataFrame) -> DataFrame:
     return labelled.sparkSession.createDataFrame([values], QUALITY)
 
 
-def choose_k(vectors: DataFrame, ks=range(2, 11), restarts: int = 3) -> DataFrame:
+def choose_k(vectors: DataFrame, ks=range(2, 11), restarts: int = DEFAULTS.kmeans_restarts) -> DataFrame:
     """Quality for each k, with the best k by each criterion marked."""
     vectors = vectors.persist()
     spark = vectors.sparkSession

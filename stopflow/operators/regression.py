@@ -195,20 +195,24 @@ def top_factors(rows: DataFrame, nodes: DataFrame, k: int = 3, columns: list[str
     )
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
-    """Rise of the RMSE when one feature is replaced by another row's value.
+def paired_with_donors(rows: DataFrame, columns: list[str], bucket_rows: int = 1000) -> DataFrame:
+    """Each row with another row's values as `<column>_other`.
 
-    Each feature is shuffled by ranking the rows of a day by two different
-    hashes, a shuffle inside groups of one row per stop and day.
+    Rows of all stops and days are spread by a hash over buckets of about
+    `bucket_rows`; inside a bucket two further hashes give a row's position and
+    its donor's, so every row gives its values once and no order is global.
     """
-    a = Window.partitionBy("month_key").orderBy(F.xxhash64("stop", "day"))
-    b = Window.partitionBy("month_key").orderBy(F.xxhash64("day", "stop", F.lit("other")))
-    keyed = rows.withColumn("month_key", F.concat_ws("|", "day", F.pmod(F.xxhash64("stop"), F.lit(64)).cast("string")))
-    base = keyed.withColumn("position", F.row_number().over(a))
-    donor = keyed.withColumn("position", F.row_number().over(b)).select(
-        "month_key", "position", *[F.col(c).alias(f"{c}_other") for c in columns]
-    )
-    paired = base.join(donor, ["month_key", "position"]).persist()
+    buckets = rows.count() // bucket_rows + 1
+    keyed = rows.withColumn("_bucket", F.pmod(F.xxhash64("stop", "day"), F.lit(buckets)))
+    placed = lambda salt: F.row_number().over(Window.partitionBy("_bucket").orderBy(F.xxhash64(F.lit(salt), "stop", "day"), "stop", "day"))
+    base = keyed.withColumn("_position", placed("receives"))
+    donor = keyed.withColumn("_position", placed("gives")).select("_bucket", "_position", *[F.col(c).alias(f"{c}_other") for c in columns])
+    return base.join(donor, ["_bucket", "_position"]).drop("_bucket", "_position")
+
+
+def permutation_importance(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
+    """Rise of the RMSE when one feature is replaced by another row's value."""
+    paired = paired_with_donors(rows, columns).persist()
     before = regression_metrics(model.transform(paired)).first()["rmse"]
     out = []
     for c in columns:

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.config import DEFAULTS, DRIFT_SETS, PROFILE_MEASURES
+from stopflow.config import DEFAULTS, DRIFT_SETS, DRIFT_TESTS, PROFILE_MEASURES
 from stopflow.functions import text
 from stopflow.operators import (
     anomaly,
@@ -152,9 +152,10 @@ def write_features(spark, folder):
 @query
 def append_batches(spark, folder):
     path = scratch_path(spark, "table")
-    rows = tables.validations(spark, folder)
-    for region in ("0", "1", "2", "3", "4"):
-        sinks.append_rows(rows.where(F.col("carrier") == region), path)
+    rows = materialize(tables.validations(spark, folder), "batches")
+    lot = F.pmod(F.xxhash64(*rows.columns), F.lit(5))
+    for number in range(5):
+        sinks.append_rows(rows.where(lot == number), path)
     return _totals(readers.read_table(spark, path), "carrier")
 
 
@@ -674,7 +675,8 @@ def sort_load(spark, folder):
 @query
 def union_quarters(spark, folder):
     rows = tables.validations(spark, folder)
-    return cleaning.stack({f"T{q}": rows.where(F.quarter("day") == q) for q in range(1, 5)})
+    parts = {f"T{q}": rows.where(F.quarter("day") == q) for q in range(1, 5)}
+    return cleaning.stack({**parts, "undated": rows.where(F.col("day").isNull())})
 
 
 @query
@@ -859,7 +861,7 @@ def cluster_quality(spark, folder):
 
 @query
 def choose_k(spark, folder):
-    return tidy(profiles.choose_k(_vectors(spark, folder), restarts=2))
+    return tidy(profiles.choose_k(_vectors(spark, folder)))
 
 
 @query
@@ -959,10 +961,7 @@ def drift_distances(spark, folder):
 def drift_report(spark, folder):
     before, after = _snapshots(_stored_features(spark, folder))
     old, new = (profiles.stop_profile(part) for part in _snapshots(_supplier_daily(spark, folder)))
-    pairs = {
-        "traffic": (before, after, DRIFT_SETS["traffic"]),
-        "anomaly": (before, after, DRIFT_SETS["anomaly"]),
-        "clustering": (old, new, DRIFT_SETS["clustering"]),
-        "missing": (None, new, DRIFT_SETS["clustering"]),
-    }
-    return tidy(drift.drift_reports(pairs))
+    sides = {"traffic": (before, after), "anomaly": (before, after), "clustering": (old, new)}
+    sets = {name: (*pair, DRIFT_SETS[name], DRIFT_TESTS[name]) for name, pair in sides.items()}
+    sets["missing"] = (None, new, DRIFT_SETS["clustering"], DRIFT_TESTS["clustering"])
+    return tidy(drift.drift_reports(sets))

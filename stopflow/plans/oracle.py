@@ -524,7 +524,8 @@ _FIRST = """row_number() OVER (PARTITION BY day, stop, category ORDER BY seq, ca
 QUERIES["sort_load"] = sql("vq", f"SELECT seq, {V_COLUMNS} FROM vq")
 QUERIES["union_quarters"] = sql(
     "v",
-    " UNION ALL ".join(f"SELECT {V_COLUMNS}, 'T{q}' AS source FROM v WHERE quarter(day) = {q}" for q in range(1, 5)),
+    " UNION ALL ".join(f"SELECT {V_COLUMNS}, 'T{q}' AS source FROM v WHERE quarter(day) = {q}" for q in range(1, 5))
+    + f" UNION ALL SELECT {V_COLUMNS}, 'undated' AS source FROM v WHERE day IS NULL",
 )
 QUERIES["dedup_keep_first"] = sql("vq", f"SELECT seq, {V_COLUMNS} FROM (SELECT *, {_FIRST} AS p FROM vq) WHERE p = 1")
 QUERIES["dedup_report"] = sql(
@@ -563,10 +564,10 @@ QUERIES["standardize"] = sql("scaled", "SELECT stop, " + ", ".join(f"{r(f'{c}_sc
 _D = lambda a, b: " + ".join(f"({a.format(c)} - {b.format(c)}) * ({a.format(c)} - {b.format(c)})" for c in PROFILE_MEASURES)
 QUERIES["cluster_quality"] = sql(
     "scaled centers",
-    f"""SELECT {r('sil')} AS silhouette, 'euclidean' AS distance, {r('db')} AS davies_bouldin, {r('ch')} AS calinski_harabasz, {r('inertia')} AS inertia FROM
+    f"""SELECT {r('sil')} AS silhouette, {r('db')} AS davies_bouldin, {r('ch')} AS calinski_harabasz, {r('inertia')} AS inertia FROM
     (SELECT avg(CASE WHEN size > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) AS sil FROM (
       SELECT stop, max(CASE WHEN own THEN total / greatest(members - 1, 1) END) AS a, min(CASE WHEN NOT own THEN total / members END) AS b, max(CASE WHEN own THEN members END) AS size FROM (
-        SELECT p.stop, p.cluster = q.cluster AS own, q.cluster, sum(sqrt({_D('p.{}_scaled', 'q.{}_scaled')})) AS total, count(*) AS members FROM scaled p, scaled q GROUP BY p.stop, p.cluster, q.cluster)
+        SELECT p.stop, p.cluster = q.cluster AS own, q.cluster, sum({_D('p.{}_scaled', 'q.{}_scaled')}) AS total, count(*) AS members FROM scaled p, scaled q GROUP BY p.stop, p.cluster, q.cluster)
       GROUP BY stop)),
     (SELECT avg(worst) AS db FROM (SELECT x.cluster, max((x.spread + y.spread) / sqrt({_D('x.{}_center', 'y.{}_center')})) AS worst
       FROM (SELECT c.*, s.spread FROM centers c JOIN (SELECT p.cluster, avg(sqrt({_D('p.{}_scaled', 'k.{}_center')})) AS spread FROM scaled p JOIN centers k ON p.cluster = k.cluster GROUP BY p.cluster) s ON c.cluster = s.cluster) x,
@@ -648,11 +649,11 @@ _HALF_PROFILE = """SELECT stop, {side} AS is_ref, weekday_mean, weekend_mean, CA
     SELECT stop, coalesce(avg(n) FILTER (isodow(day) < 6), 0) AS weekday_mean, coalesce(avg(n) FILTER (isodow(day) >= 6), 0) AS weekend_mean,
       CAST(sum(n) AS BIGINT) AS volume, avg(n) AS m, stddev_samp(n) AS sd FROM sds WHERE {where} GROUP BY stop)"""
 _PROFILES = f"({_HALF_PROFILE.format(side='true', where=f'day < {_CUT}')} UNION ALL {_HALF_PROFILE.format(side='false', where=f'day >= {_CUT}')})"
-_VERDICT = """SELECT feature, CASE WHEN feature = 'is_weekend' THEN js > 0.1 WHEN reference_rows > 1000 THEN wasserstein > 0.1 ELSE p < 0.05 END AS drifted FROM (
+_VERDICT = """SELECT feature, CASE WHEN feature = 'is_weekend' THEN js > 0.1 WHEN {named} THEN wasserstein > 0.1 ELSE p < 0.05 END AS drifted FROM (
     SELECT *, CASE WHEN lam < 0.2 THEN 1 ELSE greatest(least(2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * lam * lam))), 1), 0) END AS p
     FROM (SELECT *, (sz + 0.12 + 0.11 / sz) * ks AS lam FROM (SELECT *, sqrt(reference_rows * current_rows / (reference_rows + current_rows)) AS sz FROM ({distances}))))"""
-_FEAT_VERDICT = _VERDICT.format(distances=_distances(_FEAT_LONG))
-_PROFILE_VERDICT = _VERDICT.format(distances=_distances(_long(_PROFILES, PROFILE_MEASURES, "is_ref", 12)))
+_FEAT_VERDICT = _VERDICT.format(distances=_distances(_FEAT_LONG), named="true")
+_PROFILE_VERDICT = _VERDICT.format(distances=_distances(_long(_PROFILES, PROFILE_MEASURES, "is_ref", 12)), named="false")
 
 
 def _report(name: str, verdicts: str, where: str = "true") -> str:

@@ -42,11 +42,20 @@ def test_shifted_snapshot_drifts(spark):
     assert row["status"] == "DRIFT" and row["share"] == 1.0
 
 
-def test_small_snapshots_use_the_p_value(spark):
-    old, same, new = frame(spark, rows=300), frame(spark, rows=300, seed=5), frame(spark, 1.0, 300, 6)
-    for other, drifted in ((same, False), (new, True)):
-        rows = drift.drifted_features(drift.drift_distances(old, other, ["a"]), []).collect()
-        assert rows[0]["test"] == "kolmogorov-smirnov" and rows[0]["drifted"] == drifted
+@pytest.mark.parametrize("rows", [300, 3000])
+@pytest.mark.parametrize("test", ["wasserstein", "kolmogorov-smirnov"])
+def test_the_named_test_is_used_at_every_size(spark, rows, test):
+    old, new = frame(spark, rows=rows), frame(spark, 1.0, rows, 6)
+    for other, drifted in ((old, False), (new, True)):
+        found = drift.drifted_features(drift.drift_distances(old, other, ["a", "flag"]), ["flag"], test).collect()
+        got = {r["feature"]: r for r in found}
+        assert got["a"]["test"] == test and got["a"]["drifted"] == drifted
+        assert got["flag"]["test"] == "jensen-shannon" and not got["flag"]["drifted"]
+
+
+def test_unknown_test_is_refused(spark):
+    with pytest.raises(ValueError):
+        drift.drifted_features(drift.drift_distances(frame(spark), frame(spark), ["a"]), [], "guess")
 
 
 def test_missing_snapshots_are_reported(spark):

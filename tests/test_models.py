@@ -130,3 +130,17 @@ def test_model_store_round_trip(spark, table, forest, tmp_path):
     assert stored_codes.collect() == codes.collect()
     a, b = (m.transform(table).agg(F.sum("prediction")).first()[0] for m in (model, stored))
     assert a == pytest.approx(b)
+
+
+def test_donors_are_other_rows_and_each_gives_once(table):
+    paired = regression.paired_with_donors(table.withColumn("own", F.concat_ws("|", "stop", "day")), ["own"], bucket_rows=100).collect()
+    assert len(paired) == table.count() == len({r["own_other"] for r in paired})
+    assert sum(r["own"] == r["own_other"] for r in paired) < 0.1 * len(paired)
+
+
+def test_a_feature_constant_within_a_day_has_importance(table):
+    """The weekday decides the count: all rows of a day share it, yet losing it must cost."""
+    by_day = table.withColumn("weekday", F.dayofweek("day").cast("double")).withColumn("n", 100 * F.col("weekday") + F.col("lag7"))
+    model = regression.fit_model(by_day, regression.estimators(forest_trees=5, forest_depth=5, memory_mb=256)["forest"])
+    rise = {r["feature"]: r["rmse_rise"] for r in regression.permutation_importance(model, by_day).collect()}
+    assert rise["weekday"] > 50 and rise["weekday"] == max(rise.values())

@@ -3,7 +3,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import functions as F
 
 from stopflow.config import PROFILE_MEASURES, PROFILE_NAMES_K5
@@ -24,7 +23,7 @@ def brute_silhouette(points, labels):
     for i, p in enumerate(points):
         mean = {}
         for c in set(labels):
-            others = [math.dist(p, q) for j, q in enumerate(points) if labels[j] == c and j != i]
+            others = [math.dist(p, q) ** 2 for j, q in enumerate(points) if labels[j] == c and j != i]
             if others:
                 mean[c] = sum(others) / len(others)
         if labels[i] not in mean:
@@ -35,19 +34,18 @@ def brute_silhouette(points, labels):
     return sum(widths) / len(widths)
 
 
-@pytest.mark.parametrize("block", [2000, 9])
-def test_silhouettes(spark, monkeypatch, block):
-    monkeypatch.setattr(profiles, "SILHOUETTE_BLOCK", block)
-    df = random_profiles(spark).persist()
+def test_silhouette_equals_all_distances(spark):
+    df = random_profiles(spark)
+    alone = df.limit(1).withColumns({"stop": F.lit("ALONE"), "cluster": F.lit(7)})
+    df = df.unionByName(alone).persist()
     rows = df.collect()
-    exact = profiles.silhouette(df).first()
-    assert exact["distance"] == "euclidean"
     want = brute_silhouette([[r[c] for c in profiles.SCALED] for r in rows], [r["cluster"] for r in rows])
-    assert exact["silhouette"] == pytest.approx(want)
-    squared = profiles.silhouette(df, exact_rows=10).first()
-    assert squared["distance"] == "squared euclidean"
-    spark_value = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster").evaluate(profiles.with_vector(df))
-    assert squared["silhouette"] == pytest.approx(spark_value)
+    assert profiles.silhouette(df).first()["silhouette"] == pytest.approx(want)
+
+
+def test_one_cluster_has_no_silhouette(spark):
+    df = random_profiles(spark).withColumn("cluster", F.lit(0))
+    assert profiles.silhouette(df).first()["silhouette"] is None
 
 
 def test_five_names_follow_the_rules(spark):

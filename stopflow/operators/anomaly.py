@@ -215,16 +215,24 @@ def anomaly_by_weekday(anomalies: DataFrame) -> DataFrame:
 def observed_inputs(observed: DataFrame, daily: DataFrame, moments: DataFrame) -> DataFrame:
     """Forest inputs of observed (stop, n) rows, from the stop's history."""
     scored = score_against_history(observed, moments)
-    recent = join_lookup(scored, last7_mean(daily), "stop", "inner")
+    recent = join_lookup(scored, last7_mean(daily), "stop")
     return recent.withColumn("gap", F.col("n") - F.col("recent_mean"))
 
 
 def z_verdict(limit: float = DEFAULTS.z_message):
     """The side, rounded z and rounded mean shown with a verdict."""
-    side = F.when(F.col("z") < -limit, F.lit("low")).when(F.col("z") > limit, F.lit("high")).otherwise(F.lit("normal"))
+    side = F.when(F.col("z") < -limit, F.lit("low")).when(F.col("z") > limit, F.lit("high")).when(F.col("z").isNotNull(), F.lit("normal"))
     return [side.alias("side"), half_even(F.col("z"), 2).alias("z"), half_even(F.col("mean"), 0).alias("mean")]
 
 
+def detect_all(observed: DataFrame, forest: IsolationForest, limit: float = DEFAULTS.z_message) -> DataFrame:
+    """One verdict per row of `observed_inputs`; rows that cannot be judged keep NULLs and a status."""
+    count = F.when(F.col("n").isNull(), F.lit("count missing")).when(F.col("n") < 0, F.lit("count negative"))
+    asked = observed.withColumn("status", F.coalesce(F.when(F.col("status") == "ok", count), "status"))
+    able = F.col("status") == "ok"
+    return detect(asked.where(able), forest, limit).unionByName(asked.where(~able), allowMissingColumns=True)
+
+
 def detect(observed: DataFrame, forest: IsolationForest, limit: float = DEFAULTS.z_message) -> DataFrame:
     """Verdict and message for observed rows carrying z, norm, gap and mean."""
     labelled = forest.label(forest.score(observed))

@@ -275,13 +275,14 @@ def centered_mean7(rows: DataFrame) -> DataFrame:
 
 
 def date_position(requests: DataFrame, first_day, last_day) -> DataFrame:
-    """Whether a requested day lies inside the known range and how far past its end."""
+    """Whether a requested day lies inside the known range and how far past its end; a missing day is said to be."""
     past = F.datediff("day", F.lit(last_day))
     return requests.withColumns(
         {
-            "position": F.when(F.col("day") < F.lit(first_day), F.lit("before"))
+            "position": F.when(F.col("day").isNull(), F.lit("day missing"))
+            .when(F.col("day") < F.lit(first_day), F.lit("before"))
             .when(past > 0, F.lit("after"))
             .otherwise(F.lit("inside")),
-            "days_past_end": F.greatest(past, F.lit(0)),
+            "days_past_end": F.when(F.col("day").isNotNull(), F.greatest(past, F.lit(0))),
         }
     )

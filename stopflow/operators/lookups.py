@@ -120,11 +120,16 @@ def answer(requests: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def score_against_history(observed: DataFrame, moments: DataFrame) -> DataFrame:
-    """Observed counts with the stop's mean, z-score and share of its maximum."""
-    joined = join_lookup(observed, moments, "stop", "inner")
+    """Observed counts with the stop's mean, z-score, share of its maximum and a status.
+
+    Every row is answered: one of a missing or unknown stop has NULL figures and says so.
+    """
+    joined = join_lookup(observed, moments, "stop")
+    known = F.col("mean").isNotNull()
+    status = F.when(F.col("stop").isNull(), F.lit("stop missing")).when(known, F.lit("ok")).otherwise(F.lit("unknown stop"))
     z = F.when(F.col("std") > 0, (F.col("n") - F.col("mean")) / F.col("std")).otherwise(F.lit(0.0))
     norm = F.when(F.col("max") > 0, F.col("n") / F.col("max")).otherwise(F.lit(0.0))
-    return joined.withColumns({"z": z, "norm": norm})
+    return joined.withColumns({"z": F.when(known, z), "norm": F.when(known, norm), "status": status})
 
 
 def last7_mean(history: DataFrame) -> DataFrame:

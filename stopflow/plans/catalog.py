@@ -311,7 +311,7 @@ def incomplete_stops(spark, folder):
 @query
 def date_position(spark, folder):
     known = tables.validations(spark, folder).agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
-    dated = _requests(spark, folder).select("request_id", "stop", "day").where(F.col("day").isNotNull())
+    dated = _requests(spark, folder).select("request_id", "stop", "day")
     return exploration.date_position(dated, known["a"], known["b"])
 
 
@@ -373,7 +373,7 @@ def similar_stops(spark, folder):
 def score_against_history(spark, folder):
     observed = _requests(spark, folder).select("request_id", "stop", "n")
     scored = lookups.score_against_history(observed, exploration.stop_moments(_daily(spark, folder)).drop("min"))
-    return tidy(scored.select("request_id", "stop", "n", "mean", "z", "norm"))
+    return tidy(scored.select("request_id", "stop", "n", "status", "mean", "z", "norm"))
 
 
 # -- aggregations --------------------------------------------------------------------
@@ -827,9 +827,10 @@ def isolation_forest(spark, folder):
 @query
 def detect_anomaly(spark, folder):
     table, forest = pipelines.isolation_labels(_features(spark, folder))
-    observed = _requests(spark, folder).select("request_id", "stop", "n").where(F.col("n") >= 0)
+    observed = _requests(spark, folder).select("request_id", "stop", "n")
     inputs = anomaly.observed_inputs(observed, table.select("stop", "day", "n"), exploration.stop_moments(table))
-    return tidy(anomaly.detect(inputs, forest).select("request_id", "stop", "n", "is_isolated", "score", "z", "mean", "message"))
+    verdicts = anomaly.detect_all(inputs, forest)
+    return tidy(verdicts.select("request_id", "stop", "n", "status", "is_isolated", "score", "z", "mean", "message"))
 
 
 @query
@@ -838,7 +839,7 @@ def detect_zscore(spark, folder):
     daily = _daily(spark, folder)
     observed = _requests(spark, folder).select("request_id", "stop", "n")
     inputs = anomaly.observed_inputs(observed, daily, exploration.stop_moments(daily))
-    return tidy(inputs.select("request_id", "stop", "n", *anomaly.z_verdict(), "gap"))
+    return tidy(inputs.select("request_id", "stop", "n", "status", *anomaly.z_verdict(), "gap"))
 
 
 @query

@@ -249,8 +249,8 @@ QUERIES["incomplete_stops"] = sql(
 )
 QUERIES["date_position"] = sql(
     "req v",
-    """SELECT request_id, stop, day, CASE WHEN day < a THEN 'before' WHEN day > b THEN 'after' ELSE 'inside' END AS position,
-    CAST(greatest(day - b, 0) AS INTEGER) AS days_past_end FROM req, (SELECT min(day) AS a, max(day) AS b FROM v) e WHERE day IS NOT NULL""",
+    """SELECT request_id, stop, day, CASE WHEN day IS NULL THEN 'day missing' WHEN day < a THEN 'before' WHEN day > b THEN 'after' ELSE 'inside' END AS position,
+    CASE WHEN day IS NOT NULL THEN CAST(greatest(day - b, 0) AS INTEGER) END AS days_past_end FROM req, (SELECT min(day) AS a, max(day) AS b FROM v) e""",
 )
 QUERIES["classify_day_type"] = sql(
     "cal",
@@ -290,9 +290,10 @@ QUERIES["similar_stops"] = sql(
 )
 QUERIES["score_against_history"] = sql(
     "req sd",
-    f"""SELECT q.request_id, q.stop, q.n, {r('m.mean')} AS mean, {r('CASE WHEN m.std > 0 THEN (q.n - m.mean) / m.std ELSE 0 END')} AS z,
-    {r('CASE WHEN m.mx > 0 THEN q.n / m.mx ELSE 0 END')} AS norm
-    FROM req q JOIN (SELECT stop, avg(n) AS mean, stddev_samp(n) AS std, max(n) AS mx FROM sd GROUP BY stop) m ON q.stop = m.stop""",
+    f"""SELECT q.request_id, q.stop, q.n, CASE WHEN q.stop IS NULL THEN 'stop missing' WHEN m.stop IS NULL THEN 'unknown stop' ELSE 'ok' END AS status,
+    {r('m.mean')} AS mean, {r('CASE WHEN m.stop IS NULL THEN NULL WHEN m.std > 0 THEN (q.n - m.mean) / m.std ELSE 0 END')} AS z,
+    {r('CASE WHEN m.stop IS NULL THEN NULL WHEN m.mx > 0 THEN q.n / m.mx ELSE 0 END')} AS norm
+    FROM req q LEFT JOIN (SELECT stop, avg(n) AS mean, stddev_samp(n) AS std, max(n) AS mx FROM sd GROUP BY stop) m ON q.stop = m.stop""",
 )
 
 # -- aggregations --------------------------------------------------------------------
@@ -586,9 +587,10 @@ QUERIES["name_clusters"] = sql(
 QUERIES["holiday_frame"] = sql("cal_rows", "SELECT 'ferie' AS holiday, day, 0 AS lower_window, 0 AS upper_window FROM cal_rows WHERE type = 'ferie'")
 QUERIES["detect_zscore"] = sql(
     "req sd",
-    f"""SELECT request_id, stop, n, {r('round_even(z, 2)')} AS z, CASE WHEN z < -2 THEN 'low' WHEN z > 2 THEN 'high' ELSE 'normal' END AS side,
+    f"""SELECT request_id, stop, n, status, {r('round_even(z, 2)')} AS z, CASE WHEN z IS NULL THEN NULL WHEN z < -2 THEN 'low' WHEN z > 2 THEN 'high' ELSE 'normal' END AS side,
     {r('round_even(mean, 0)')} AS mean, {r('n - recent_mean')} AS gap FROM (
-    SELECT q.request_id, q.stop, q.n, m.mean, m.recent_mean, CASE WHEN m.std > 0 THEN (q.n - m.mean) / m.std ELSE 0 END AS z FROM req q JOIN (
+    SELECT q.request_id, q.stop, q.n, CASE WHEN q.stop IS NULL THEN 'stop missing' WHEN m.stop IS NULL THEN 'unknown stop' ELSE 'ok' END AS status, m.mean, m.recent_mean,
+      CASE WHEN m.stop IS NULL THEN NULL WHEN m.std > 0 THEN (q.n - m.mean) / m.std ELSE 0 END AS z FROM req q LEFT JOIN (
       SELECT stop, avg(n) AS mean, stddev_samp(n) AS std, avg(n) FILTER (newest <= 7) AS recent_mean
       FROM (SELECT *, row_number() OVER (PARTITION BY stop ORDER BY day DESC) AS newest FROM sd) GROUP BY stop) m ON q.stop = m.stop)""",
 )

@@ -85,4 +85,4 @@ def test_scores_guard_zero_spread_and_zero_maximum(spark):
     moments = spark.createDataFrame([("Z", 0.0, 0.0, 0), ("A", 10.0, 5.0, 20)], "stop string, mean double, std double, max bigint")
     observed = spark.createDataFrame([("Z", 3), ("A", 20), ("X", 1)], "stop string, n bigint")
     got = {r["stop"]: (r["z"], r["norm"]) for r in lookups.score_against_history(observed, moments).collect()}
-    assert got == {"Z": (0.0, 0.0), "A": (2.0, 1.0)}
+    assert got == {"Z": (0.0, 0.0), "A": (2.0, 1.0), "X": (None, None)}

@@ -10,7 +10,8 @@ CHECKS = {
     "anomaly_summary": lambda df: df.first()["consensus"] <= min(df.first()["isolated"], df.first()["beyond_z"]),
     "detector_agreement": lambda df: {r["detector"] for r in df.collect()} <= {"both", "z-score only", "forest only"},
     "lowest_forest_scores": lambda df: df.count() == 10,
-    "detect_anomaly": lambda df: df.where("message IS NULL OR score IS NULL").count() == 0,
+    "detect_anomaly": lambda df: df.where("(status = 'ok') <> (message IS NOT NULL AND score IS NOT NULL)").count() == 0
+    and {"ok", "unknown stop", "count negative"} == {r["status"] for r in df.select("status").distinct().collect()},
     "kmeans_profiles": lambda df: df.select("cluster_k5").distinct().count() == df.select("profile_k5").distinct().count() == 5,
     "choose_k": lambda df: [r["k"] for r in df.orderBy("k").collect()] == list(range(2, 11)),
     "assign_cluster": lambda df: df.where("cluster IS NULL").count() == 0,

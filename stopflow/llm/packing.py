@@ -85,7 +85,9 @@ class WordIds:
             if SIGMA not in text and is_normalized("NFC", text):
                 text = text.lower()  # as the tokenizer does, so that fewer words differ
             lines.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        new = {word for line in lines for word in line if word not in known}
+        # Each distinct word is looked up once in the large table; the texts' words in one that stays in the cache.
+        words = set().union(*lines)
+        new = words.difference(known)
         plain = {word for word in new if PLAIN.fullmatch(word)}
         cut = {word: [word] if word.isalpha() else PIECES.findall(word) for word in plain}
         pieces = {piece for parts in cut.values() for piece in parts if piece not in known}
@@ -96,9 +98,8 @@ class WordIds:
         once = {}
         for word in new - plain:
             (known if len(word) <= LONGEST else once)[word] = self._one(word)
-        if once:
-            return [b"".join([known[w] if w in known else once[w] for w in line]) for line in lines]
-        return [b"".join([known[w] for w in line]) for line in lines]
+        here = {word: known[word] if word in known else once[word] for word in words}
+        return [b"".join([here[word] for word in line]) for line in lines]
 
 
 @lru_cache(maxsize=1)

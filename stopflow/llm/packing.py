@@ -35,6 +35,8 @@ from stopflow.llm.common import Stored, map_batches
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END = 2048, 0
 REMEMBERED, LONGEST = 1_000_000, 64
+#: Texts encoded at once: few enough that their words stay in a core's cache between the steps.
+TOGETHER = 32
 #: Lower-case words of printable ASCII and western letters, and the tokenizer's pre-tokens within them.
 PLAIN = re.compile("[!-@\\[-~\u00df-\u00f6\u00f8-\u00ff]{1,64}")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
@@ -85,9 +87,7 @@ class WordIds:
             if SIGMA not in text and is_normalized("NFC", text):
                 text = text.lower()  # as the tokenizer does, so that fewer words differ
             lines.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        # Each distinct word is looked up once in the large table; the texts' words in one that stays in the cache.
-        words = set().union(*lines)
-        new = words.difference(known)
+        new = {word for line in lines for word in line if word not in known}
         plain = {word for word in new if PLAIN.fullmatch(word)}
         cut = {word: [word] if word.isalpha() else PIECES.findall(word) for word in plain}
         pieces = {piece for parts in cut.values() for piece in parts if piece not in known}
@@ -98,8 +98,9 @@ class WordIds:
         once = {}
         for word in new - plain:
             (known if len(word) <= LONGEST else once)[word] = self._one(word)
-        here = {word: known[word] if word in known else once[word] for word in words}
-        return [b"".join([here[word] for word in line]) for line in lines]
+        if once:
+            return [b"".join([known[w] if w in known else once[w] for w in line]) for line in lines]
+        return [b"".join([known[w] for w in line]) for line in lines]
 
 
 @lru_cache(maxsize=1)
@@ -121,8 +122,8 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
         def work(ids, texts):
             out = [[] for _ in range(6)]
-            for begin in range(0, len(ids), 256):
-                for doc, packed in zip(ids[begin : begin + 256], coder.encode([t or "" for t in texts[begin : begin + 256]])):
+            for begin in range(0, len(ids), TOGETHER):
+                for doc, packed in zip(ids[begin : begin + TOGETHER], coder.encode([t or "" for t in texts[begin : begin + TOGETHER]])):
                     packed += end
                     for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
                         part = packed[at : at + 4 * capacity]

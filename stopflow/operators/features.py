@@ -42,12 +42,12 @@ def stop_day(rows: DataFrame) -> DataFrame:
     """(stop, day, n and codes) over defined categories; rows without stop or day are left out.
 
     The codes are the smallest ones seen, so that the result does not depend on
-    row order. Minima of text are combined by sorting inside each task, still
-    before the one shuffle; where the codes are not used, Spark prunes them and
-    the aggregation is a hash one.
+    row order. Minima of text need a sort, so the raw rows are first summed per
+    stop, day and codes by a hash aggregation; only what is left is sorted.
     """
     defined = filter_defined(rows).where(F.col("stop").isNotNull() & F.col("day").isNotNull())
-    return defined.groupBy("stop", "day").agg(F.sum("n").alias("n"), *[F.min(c).alias(c) for c in CODES])
+    summed = defined.groupBy("stop", "day", *CODES).agg(F.sum("n").alias("n"))
+    return summed.groupBy("stop", "day").agg(F.sum("n").alias("n"), *[F.min(c).alias(c) for c in CODES])
 
 
 def pivot_category(rows: DataFrame, categories: list[str] = CATEGORIES) -> DataFrame:

@@ -72,29 +72,18 @@ def renewed(df: DataFrame) -> DataFrame:
     return df.toDF(*df.columns)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = 200_000) -> bool:
-    """Count no further than the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: str | list[str],
-    how: str = "left",
-    max_rows: int = 200_000,
-    salts: int = 32,
+    rows: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left", max_rows: int = 200_000
 ) -> DataFrame:
     """Join rows to a table holding one row per key, whatever the size and skew.
 
     The lookup is broadcast only once counted to be within `max_rows`. Beyond
-    that it is repeated once per salt and the rows of a hot key are spread over
-    `salts` tasks (rows should carry an id: equal rows share a salt).
+    that both sides are dealt by the keys; the partition of a hot key is split
+    by adaptive execution on the side of the rows, and only the lookup's rows of
+    that partition are read more than once.
     """
     keys = [keys] if isinstance(keys, str) else keys
     lookup = lookup.persist()
-    if fits_broadcast(lookup, max_rows):
+    if lookup.count() <= max_rows:
         return rows.join(F.broadcast(lookup), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(lookup.hint("merge"), keys, how)

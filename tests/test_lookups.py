@@ -70,7 +70,7 @@ def test_every_request_is_answered(spark, history):
     assert joined.where("lag1 IS NULL").select("stop").distinct().collect()[0]["stop"] == "UNKNOWN"
 
 
-def test_large_lookup_is_salted_with_the_same_result(spark):
+def test_large_lookup_gives_the_same_result_without_copies_of_it(spark):
     from stopflow.session import join_lookup
 
     rows = spark.range(1000).select("id", F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 50).alias("k"))
@@ -79,6 +79,8 @@ def test_large_lookup_is_salted_with_the_same_result(spark):
         small = join_lookup(rows, lookup, "k", how)
         large = join_lookup(rows, lookup, "k", how, max_rows=3)
         assert sorted(map(repr, small.collect())) == sorted(map(repr, large.select(*small.columns).collect()))
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Generate" not in plan and "BroadcastHashJoin" not in plan
 
 
 def test_scores_guard_zero_spread_and_zero_maximum(spark):

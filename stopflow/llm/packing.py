@@ -87,7 +87,9 @@ class WordIds:
             if SIGMA not in text and is_normalized("NFC", text):
                 text = text.lower()  # as the tokenizer does, so that fewer words differ
             lines.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        new = {word for line in lines for word in line if word not in known}
+        found = [list(map(known.get, line)) for line in lines]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
+        new = {line[i] for line, holes in zip(lines, gaps) for i in holes}
         plain = {word for word in new if PLAIN.fullmatch(word)}
         cut = {word: [word] if word.isalpha() else PIECES.findall(word) for word in plain}
         pieces = {piece for parts in cut.values() for piece in parts if piece not in known}
@@ -98,9 +100,10 @@ class WordIds:
         once = {}
         for word in new - plain:
             (known if len(word) <= LONGEST else once)[word] = self._one(word)
-        if once:
-            return [b"".join([known[w] if w in known else once[w] for w in line]) for line in lines]
-        return [b"".join([known[w] for w in line]) for line in lines]
+        for line, row, holes in zip(lines, found, gaps):
+            for i in holes:
+                row[i] = known[line[i]] if line[i] in known else once[line[i]]
+        return [b"".join(row) for row in found]
 
 
 @lru_cache(maxsize=1)

@@ -159,8 +159,10 @@ def _opened(entries: DataFrame, percent: int, frequent: bool) -> DataFrame:
 
     A linking pair shares s (n + k) tokens or more, s being t / (1 + t). Either
     it shares rare leading tokens: then at most the shared ones and what is not
-    rare and leading (`room`), on either side. Or it shares none of these: then
-    at most the frequent tokens (`common`) of either side, among them the
+    rare and leading (`room`) on the side whose rare leading list ends earlier
+    in the common order. On the other side, leading tokens may be shared that
+    do not lead here, so the larger room counts. Or it shares none of these:
+    then at most the frequent tokens (`common`) of either side, among them the
     leading ones. Lists of rare tokens are short; the second bound is checked
     inside the joins on frequent ones.
     """
@@ -181,8 +183,8 @@ def _opened(entries: DataFrame, percent: int, frequent: bool) -> DataFrame:
         extra = lambda n, k: F.col("c") >= F.least(F.lit(EXTRA), F.ceil(F.col(n) * (t - 1e-9)), F.ceil(F.col(k) * (t - 1e-9)))
         reaches, links = extra("n", "least"), extra("n", "k")
     else:
-        reaches = (F.col("c") + F.col("room") >= need("n", "least")) & (F.col("c") + F.col("wide") >= need("n", "least"))
-        links = (F.col("c") + F.col("room") >= need("n", "k")) & (F.col("c") + F.col("m_room") >= need("n", "k"))
+        reaches = F.col("c") + F.greatest("room", "wide") >= need("n", "least")
+        links = F.col("c") + F.greatest("room", "m_room") >= need("n", "k")
     opened = (
         asked.join(matrix, "token").where(near)
         .groupBy("q", "n", "room", "g").agg(F.count("*").alias("c"), F.min("least").alias("least"), F.max("wide").alias("wide"))

@@ -207,6 +207,28 @@ def test_ngram_join(docs, texts, empty, words, percent):
     assert ngram_join.keep_one(docs, words, percent).count() == len({root(i) for i in range(len(sets))}) + 1
 
 
+def test_ngram_join_of_frequent_shingles_and_unequal_sizes(spark):
+    """Pairs 10% apart in size: most shingles are frequent, and not all rare ones of the larger set lead."""
+    source = random.Random(5)
+    words = lambda n: [source.choice(WORDS) for _ in range(n)]
+    common, filler = words(783), words(500)
+    texts = [common + filler + words(1) for _ in range(30)]
+    for _ in range(8):
+        rare = words(220)
+        texts += [common + rare, common + rare[:120]]
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in texts]
+    least = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 85 * len(a | b):
+                x, y = sorted((least[i], least[j]))
+                least = [x if c == y else c for c in least]
+    assert least[30:] == [i - i % 2 for i in range(30, 46)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    rows = by_id(ngram_join.similar_documents(docs).collect())
+    assert [rows[i]["component_id"] for i in range(len(sets))] == least
+
+
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

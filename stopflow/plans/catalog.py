@@ -732,14 +732,9 @@ def _train_test(spark: SparkSession, folder: str, leak_free: bool = False):
     return pipelines.training_sides(_stored_features(spark, folder, leak_free))
 
 
-def _small_models() -> dict:
-    """The four candidates at a size for the small test tables."""
-    return regression.estimators(forest_trees=20, forest_depth=8, rounds=20, memory_mb=512)
-
-
 def _fitted(spark: SparkSession, folder: str, name: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     train, test = _train_test(spark, folder)
-    return regression.fit_model(train, _small_models()[name]), train, test
+    return regression.fit_model(train, regression.estimators()[name]), train, test
 
 
 @query
@@ -769,7 +764,7 @@ def boosted_trees(spark, folder):
 @query
 def model_comparison(spark, folder):
     train, test = _train_test(spark, folder)
-    table, _ = regression.compare_models(train, test, _small_models())
+    table, _ = regression.compare_models(train, test, regression.estimators())
     return tidy(table)
 
 
@@ -793,7 +788,7 @@ def predict_traffic(spark, folder):
 @query
 def feature_attribution(spark, folder):
     train, _ = _train_test(spark, folder)
-    models = regression.estimators(forest_trees=10, forest_depth=6, rounds=10, memory_mb=512)
+    models = regression.estimators()
     fitted = {name: regression.fit_model(train, models[name]) for name in ("forest", "boosted")}
     impurity = regression.impurity_importance(fitted).withColumn("method", F.concat(F.lit("impurity "), F.col("model"))).drop("model")
     nodes = trees.node_table(fitted["forest"].stages[-1])
@@ -807,8 +802,7 @@ def feature_attribution(spark, folder):
 @query
 def top_factors(spark, folder):
     train, test = _train_test(spark, folder)
-    models = regression.estimators(forest_trees=10, forest_depth=6, memory_mb=512)
-    nodes = trees.node_table(regression.fit_model(train, models["forest"]).stages[-1])
+    nodes = trees.node_table(regression.fit_model(train, regression.estimators()["forest"]).stages[-1])
     return tidy(regression.top_factors(test, nodes))
 
 

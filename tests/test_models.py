@@ -1,5 +1,7 @@
+import contextlib
 import itertools
 import math
+from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stopflow.config import FEATURES
 from stopflow.operators import regression, trees
-from stopflow.plans import pipelines
+from stopflow.plans import catalog, pipelines
 
 
 @pytest.fixture(scope="module")
@@ -144,3 +146,28 @@ def test_a_feature_constant_within_a_day_has_importance(table):
     model = regression.fit_model(by_day, regression.estimators(forest_trees=5, forest_depth=5, memory_mb=256)["forest"])
     rise = {r["feature"]: r["rmse_rise"] for r in regression.permutation_importance(model, by_day).collect()}
     assert rise["weekday"] > 50 and rise["weekday"] == max(rise.values())
+
+
+@pytest.mark.parametrize(
+    "name, kinds",
+    [
+        ("random_forest", {"forest"}),
+        ("boosted_trees", {"boosted"}),
+        ("model_comparison", {"linear", "tree", "forest", "boosted"}),
+        ("predict_traffic", {"forest"}),
+        ("learning_curve", {"boosted"}),
+        ("feature_attribution", {"forest", "boosted"}),
+        ("top_factors", {"forest"}),
+    ],
+)
+def test_queries_fit_the_published_sizes_once(spark, folder, monkeypatch, name, kinds):
+    """Nothing is fitted here: only the estimators that a query would fit are looked at."""
+    asked = []
+    monkeypatch.setattr(catalog, "_train_test", lambda *_: (MagicMock(), MagicMock()))
+    monkeypatch.setattr(regression, "fit_model", lambda train, estimator: asked.append(estimator) or MagicMock())
+    with contextlib.suppress(Exception):  # what follows the fits gets no model
+        catalog.QUERIES[name](spark, folder)
+    plain = lambda estimator: {p.name: v for p, v in estimator.extractParamMap().items()}
+    published = regression.estimators()
+    assert (published["forest"].getNumTrees(), published["forest"].getMaxDepth(), published["boosted"].getMaxIter()) == (100, 15, 300)
+    assert sorted(map(str, map(plain, asked))) == sorted(str(plain(published[kind])) for kind in kinds)

@@ -3,12 +3,16 @@
 Strict patterns give base spans, which always stay. Generators of high recall
 propose further, possibly overlapping spans: spelled-out mail addresses, and
 numbers in any grouping. A candidate is described by a few small whole numbers
-of format and context. All candidates of the corpus are counted per distinct
-description and label (does a base span cover it?), which is a table of bounded
-size; boosted trees are fitted on these counts, so that no row is left out. A
-threshold is calibrated on documents set apart: the lowest score from which on
-the wanted share of candidates is covered. Candidates above it that no base
-span touches are added.
+of format and context that do not give the base format away: a leading plus is
+not told, and mails are described as if written with @ and dots. Positive
+examples are candidates that a base span touches, negative ones those on a
+pattern match that failed its check (Luhn, digits, octets) and untouched ones
+without a word of their kind before them. Untouched candidates after such a
+word may be what the patterns miss and are no examples. The examples are
+counted per distinct description and label, which is a table of bounded size;
+boosted trees are fitted on these counts. A threshold is calibrated on
+documents set apart: the lowest score from which on the wanted share of
+examples is positive. Candidates above it that no base span touches are added.
 """
 
 from __future__ import annotations
@@ -35,8 +39,10 @@ LOOSE = {
 }
 #: Words before a candidate that say what it is.
 CONTEXT = {1: r"(?i)(call|tel|phone|fon|mobil|fax)[^0-9]*$", 2: r"(?i)(mail|contact|write)[^0-9]*$", 3: r"(?i)(card|visa|credit|karte|carte)[^0-9]*$", 4: r"(?i)(\bip\b|host|server|addr)[^0-9]*$"}
+#: The context that goes with a source: mails, numbers.
+OWN_CONTEXT = {0: 2, 1: 1}
 #: Values each description number can take: their product bounds the table of counts.
-SIZES = {"source": 2, "digits": 8, "dots": 5, "blanks": 3, "plus": 2, "at": 3, "context": 5, "length": 4}
+SIZES = {"source": 2, "digits": 8, "dots": 5, "blanks": 3, "context": 5, "length": 4}
 ROUNDS, RATE, PRECISION = 30, 0.3, 0.98
 
 _SPANS = "array<struct<start:int,end:int,match:string,before:string>>"
@@ -89,6 +95,12 @@ def _passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _failed_spans(kind: str) -> Column:
+    """Matches of the strict pattern that do not pass its check."""
+    failing = F.filter(f"_{kind}", lambda span: ~_passes(kind, span["match"]))
+    return F.transform(failing, lambda span: F.struct(span["start"].alias("start"), span["end"].alias("end")))
+
+
 def _base_spans(at: int, kind: str) -> Column:
     passing = F.filter(f"_{kind}", lambda span: _passes(kind, span["match"]))
     return F.transform(
@@ -108,6 +120,11 @@ def _bucket(value: Column, *bounds: int) -> Column:
 
 def _described(span: Column, source: int) -> Column:
     match, before = span["match"], span["before"]
+    if source == 0:  # spelled-out mails as if written with signs
+        match = F.regexp_replace(match, r" ?(?:@|\(at\)|\[at\]) ?| at ", "@")
+        match = F.regexp_replace(match, r" ?\(dot\) ?| ?\[dot\] ?| dot ", ".")
+    else:
+        match = F.regexp_replace(match, r"^\+", "")
     context = F.lit(0)
     for number, pattern in reversed(CONTEXT.items()):
         context = F.when(before.rlike(pattern), number).otherwise(context)
@@ -118,8 +135,6 @@ def _described(span: Column, source: int) -> Column:
         _bucket(F.length(_digits(match)), 1, 7, 10, 14, 16, 17, 20).alias("digits"),
         F.least(F.length(match) - F.length(F.translate(match, ".", "")), F.lit(4)).alias("dots"),
         F.when(match.rlike("[-()/]"), 2).when(F.contains(match, F.lit(" ")), 1).otherwise(0).alias("blanks"),
-        F.when(match.startswith("+"), 1).otherwise(0).alias("plus"),
-        F.when(F.contains(match, F.lit("@")), 1).when(match.rlike("[A-Za-z]"), 2).otherwise(0).alias("at"),
         context.alias("context"),
         _bucket(F.length(match), 10, 16, 24).alias("length"),
     )
@@ -141,7 +156,9 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     candidates = F.concat(
         F.transform("_mails", lambda span: _described(span, 0)), F.transform("_numbers", lambda span: _described(span, 1))
     )
-    return out.withColumn("_candidates", candidates).drop("_clean", "_mails", "_numbers", *[f"_{kind}" for kind in KINDS])
+    out = out.withColumn("_failed", F.concat(*[_failed_spans(kind) for kind in KINDS if kind != "email"]))
+    marked = F.transform(candidates, lambda c: c.withField("fails", _touched(c, F.col("_failed"))))
+    return out.withColumn("_candidates", marked).drop("_failed", "_clean", "_mails", "_numbers", *[f"_{kind}" for kind in KINDS])
 
 
 def _touched(candidate: Column, base: Column) -> Column:
@@ -221,12 +238,17 @@ def fit(cells: list[dict], rounds: int = ROUNDS, rate: float = RATE, precision:
 
 
 def train(found: DataFrame) -> BoostedTrees:
-    """Fit on all candidates of a table from `with_candidates` that still has doc_id."""
+    """Fit on all examples of a table from `with_candidates` that still has doc_id."""
     flat = found.select("doc_id", "_base", F.explode("_candidates").alias("c")).select(
         *[F.col("c")[name].alias(name) for name in SIZES],
+        F.col("c")["fails"].alias("fails"),
         _touched(F.col("c"), F.col("_base")).cast("long").alias("y"),
         F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0, F.lit(False)).cast("int").alias("aside"),
     )
+    own = F.lit(False)
+    for source, context in OWN_CONTEXT.items():
+        own = own | ((F.col("source") == source) & (F.col("context") == context))
+    flat = flat.where((F.col("y") == 1) | F.col("fails") | ~own)
     cells = flat.groupBy(*SIZES, "aside").agg(F.count("*").alias("n"), F.sum("y").alias("covered")).collect()
     return fit([cell.asDict() for cell in sorted(cells)])
 

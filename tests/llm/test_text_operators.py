@@ -271,6 +271,21 @@ def test_pii(spark, docs, texts, empty):
     assert pii.find(empty).count() == 0 and pii.redact(empty).count() == 0
 
 
+def test_planted_mails_and_phones_without_base_format_are_added(spark):
+    texts, planted = [], {}
+    for i in range(400):
+        texts += [f"please call +49 30 {1234567 + i} today", f"mail bob{i}@host.com please", f"order 4111 2222 3333 {4000 + i} sent", f"sold 20 1{i:03} {100000 + i} pieces", f"about {1000000 + i} rows"]
+    for i in range(40):
+        for kind, span, text in (("email", f"jane{i} (at) host (dot) com", "contact {} now"), ("email", f"joe{i} at host dot org", "mail {} now"), ("phone", f"030 {1234567 + i}", "call {} now")):
+            start = text.index("{")
+            planted[len(texts)] = (start, start + len(span), kind)
+            texts.append(text.format(span))
+    rows = by_id(pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    for i in range(len(texts)):
+        added = {(s["start"], s["end"], s["kind"]) for s in rows[i]["_spans"]} - {(s["start"], s["end"], s["kind"]) for s in rows[i]["_base"]}
+        assert added == ({planted[i]} if i in planted else set()), texts[i]
+
+
 def test_boosted_candidates_learn_format():
     cells = [
         {**dict.fromkeys(pii.SIZES, 0), "digits": d, "context": c, "aside": a, "n": 50, "covered": 50 * (d == 3 and c == 1)}

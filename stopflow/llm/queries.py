@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, pii, quality, suffix_dedup, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -54,6 +54,16 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    without_breaks = merkle.leaf_digest(text=F.replace("text", F.lit("\n"), F.lit("")))
+    proofs = merkle.manifest(table(spark, folder, "documents"), F.when(tampered, without_breaks))
+    siblings = F.sha2(merkle.siblings(F.col("before"), F.col("after")).cast("binary"), 256)
+    found = merkle.folded(F.coalesce("changed", "leaf"), F.col("before"), F.col("after"))
+    done = proofs.select("doc_id", "leaf", "subroot", "root", siblings.alias("proof_sha256"), found.alias("folded_root"))
+    return done.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     name: query
     for name, query in sorted(globals().items(), key=lambda item: item[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, pii, quality, suffix_dedup, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, periodic_runs, pii, quality, suffix_dedup, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -54,6 +54,23 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, folder, "documents"), alter=periodic_runs.planted)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    length, start, period = longest["length"], -longest["col2"], -longest["col3"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     without_breaks = merkle.leaf_digest(text=F.replace("text", F.lit("\n"), F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, periodic_runs, pii, quality, suffix_dedup, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, periodic_runs, pii, quality, suffix_dedup, suffix_shards, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -81,6 +81,19 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return done.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_shards.find_benchmark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = suffix_shards.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     name: query
     for name, query in sorted(globals().items(), key=lambda item: item[0])

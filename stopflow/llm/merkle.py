@@ -99,19 +99,21 @@ def _in_blocks(nodes: DataFrame, *columns: str) -> DataFrame:
     return dealt.select("g", "block", *columns)
 
 
-def _tree(digests: list[str], total: int) -> list[list[str]]:
-    return climb(digests, CLIMB if total > FANOUT**CLIMB else None)
+def _tree(digests: list[str], total: int, levels: int) -> list[list[str]]:
+    return climb(digests, levels if total > FANOUT**levels else None)
 
 
 def _sweep_up(nodes: DataFrame) -> DataFrame:
     """The roots of all blocks, as nodes of the next tier."""
     schema = pa.schema([("g", pa.string()), ("total", pa.int64()), ("pos", pa.int64()), ("digest", pa.string()), ("doc_id", pa.int64()), ("changed", pa.string())])
 
+    levels = CLIMB
+
     def run(batches):
         for (g, block), rows in _blocks(batches):
             total = rows[0][2]
-            root = _tree([row[3] for row in rows], total)[-1][0]
-            values = (g, -(-total // FANOUT**CLIMB), block, root, None, None)
+            root = _tree([row[3] for row in rows], total, levels)[-1][0]
+            values = (g, -(-total // FANOUT**levels), block, root, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
     return _in_blocks(nodes, "total", "digest").mapInArrow(run, NODE)
@@ -121,11 +123,12 @@ def _sweep_down(nodes: DataFrame, above: DataFrame) -> DataFrame:
     """The proofs of a tier's nodes from those of its blocks' roots."""
     fields = [("g", pa.string()), ("pos", pa.int64()), ("digest", pa.string()), ("doc_id", pa.int64()), ("changed", pa.string()), ("subroot", pa.string())]
     schema = pa.schema([*fields, ("before", STRINGS), ("after", STRINGS)])
+    levels = CLIMB
 
     def run(batches):
         for (g, _), (message, *rows) in _blocks(batches):
             subroot, before, after = message[7:]
-            tree = _tree([row[4] for row in rows], rows[0][2])
+            tree = _tree([row[4] for row in rows], rows[0][2], levels)
             out = [(g, *rows[i][3:7], subroot, left, right) for i, left, right in descend(tree, before, after)]
             for at in range(0, len(out), 2048):
                 columns = zip(*out[at : at + 2048], strict=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, packing, periodic_runs, pii, quality, suffix_dedup, suffix_shards, token_counts, topk
+from stopflow.llm import bpe, cap_filters, line_dedup, merkle, ngram_join, oracle, packing, periodic_runs, pii, quality, suffix_dedup, suffix_shards, token_counts, topk
 from stopflow.llm.common import table
 
 
@@ -99,4 +99,4 @@ QUERIES = {
     for name, query in sorted(globals().items(), key=lambda item: item[0])
     if name.startswith("op") and callable(query)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.QUERIES

@@ -218,13 +218,15 @@ def build_shards(docs: DataFrame, key: str) -> Stored:
 def _test_blocks(benchmark: DataFrame, key: str) -> Iterator[Tests]:
     """The benchmark's texts in pieces, a bounded block at a time."""
 
+    size = PIECE
+
     def start():
         def work(names, texts):
             out = []
             for name, text in zip(names, texts, strict=True):
                 words = words_of(text)
-                for at in range(0, max(len(words) - WINDOW + 1, min(len(words), 1)), PIECE):
-                    part = words[at : at + PIECE + WINDOW - 1]
+                for at in range(0, max(len(words) - WINDOW + 1, min(len(words), 1)), size):
+                    part = words[at : at + size + WINDOW - 1]
                     out.append((name, len(words) < WINDOW, len(part), b" ".join(part)))
             return [list(column) for column in zip(*out, strict=True)] or [[], [], [], []]
 

@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, FEATURES, Settings
 from stopflow.functions.numeric import half_even
 from stopflow.functions.quantiles import exact_quantiles
+from stopflow.operators.histogram_trees import BinnedTable, Boosting, Forest, TreeModel
 from stopflow.operators.lookups import rounded_prediction
-from stopflow.operators.trees import node_table, shapley_values, tree_spread
+from stopflow.operators.trees import Ensemble, mean_absolute_shapley, shapley_values, squared_errors, tree_spread
 
 TARGET = "n"
 
@@ -61,31 +59,42 @@ def impute(train: DataFrame, test: DataFrame, columns: list[str] = FEATURES) ->
     return numeric(train).fillna(known), numeric(test).fillna(known)
 
 
-def estimators(settings: Settings = DEFAULTS, forest_trees: int = 100, forest_depth: int = 15, rounds: int = 300, memory_mb: int = 1024) -> dict:
-    """The four candidate models. Sizes are parameters; the defaults are the published ones.
-
-    Spark samples columns per node where the published boosting samples per tree.
-    """
+def estimators(settings: Settings = DEFAULTS, forest_trees: int = 100, forest_depth: int = 15, rounds: int = 300) -> dict:
+    """The four candidate models. Sizes are parameters; the defaults are the published ones."""
     common = {"featuresCol": "vector", "labelCol": TARGET}
-    trees = {**common, "seed": settings.seed, "maxMemoryInMB": memory_mb, "cacheNodeIds": True, "checkpointInterval": 20}
     return {
         "linear": LinearRegression(solver="normal", regParam=0.0, **common),
-        "tree": DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=5, maxBins=128, **trees),
-        "forest": RandomForestRegressor(
-            numTrees=forest_trees, maxDepth=forest_depth, minInstancesPerNode=3, featureSubsetStrategy="all", maxBins=64, **trees
-        ),
-        "boosted": GBTRegressor(
-            maxIter=rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=64, **trees
-        ),
+        "tree": DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=5, maxBins=128, seed=settings.seed, maxMemoryInMB=1024, **common),
+        "forest": Forest(trees=forest_trees, depth=forest_depth, least=3, seed=settings.seed),
+        "boosted": Boosting(rounds=rounds, depth=6, rate=0.05, row_share=0.8, column_share=0.8, seed=settings.seed),
     }
 
 
-def fit_model(train: DataFrame, estimator, columns: list[str] = FEATURES) -> PipelineModel:
-    """Assembler and model in one pipeline that can be saved and reloaded as a unit."""
+def fit_model(train: DataFrame, estimator, columns: list[str] = FEATURES, table: BinnedTable | None = None) -> PipelineModel | TreeModel:
+    """Fit one model. Ensembles use the binned table, made for this fit if none is given;
+    others are put after an assembler, in one pipeline that can be saved and reloaded as a unit."""
+    if isinstance(estimator, (Forest, Boosting)):
+        own = table or BinnedTable(train, columns, TARGET)
+        try:
+            return estimator.fit(own)
+        finally:
+            if table is None:
+                own.release()
     assembler = VectorAssembler(inputCols=columns, outputCol="vector")
     return Pipeline(stages=[assembler, estimator]).fit(train)
 
 
+def fit_models(train: DataFrame, models: dict, columns: list[str] = FEATURES) -> dict[str, PipelineModel | TreeModel]:
+    """Fit several models side by side, ensembles from one binned table."""
+    table = BinnedTable(train, columns, TARGET) if any(isinstance(e, (Forest, Boosting)) for e in models.values()) else None
+    fit = inheritable_thread_target(lambda estimator: fit_model(train, estimator, columns, table))
+    with ThreadPoolExecutor(max(1, len(models))) as pool:
+        fitted = dict(zip(models, pool.map(fit, models.values()), strict=True))
+    if table is not None:
+        table.release()
+    return fitted
+
+
 def regression_metrics(predicted: DataFrame, label: str = TARGET) -> DataFrame:
     """RMSE, MAE and R² in one pass."""
     error = F.col(label) - F.col("prediction")
@@ -111,11 +120,15 @@ def compare_models(train: DataFrame, test: DataFrame, models: dict, settings: Se
     Returns (table, fitted models). `minimum_r2` adds the documented but unused
     floor on the test score.
     """
-    fitted, rows = {}, []
-    for name, estimator in models.items():
-        fitted[name] = fit_model(train, estimator)
-        a = regression_metrics(fitted[name].transform(train)).first()
-        b = regression_metrics(fitted[name].transform(test)).first()
+    fitted = fit_models(train, models)
+    return compare_fitted(train, test, fitted, settings, minimum_r2), fitted
+
+
+def compare_fitted(train: DataFrame, test: DataFrame, fitted: dict, settings: Settings = DEFAULTS, minimum_r2: float | None = None) -> DataFrame:
+    rows = []
+    for name, model in fitted.items():
+        a = regression_metrics(model.transform(train)).first()
+        b = regression_metrics(model.transform(test)).first()
         rows.append((name, a["rmse"], a["mae"], a["r2"], b["rmse"], b["mae"], b["r2"]))
     schema = "model string, rmse_train double, mae_train double, r2_train double, rmse_test double, mae_test double, r2_test double"
     table = train.sparkSession.createDataFrame(rows, schema).withColumns(
@@ -129,7 +142,7 @@ def compare_models(train: DataFrame, test: DataFrame, models: dict, settings: Se
         sound = sound & (F.col("r2_test") >= minimum_r2)
     best = F.max_by("model", F.when(sound, F.col("r2_test"))).over(Window.partitionBy())
     any_sound = F.max(F.when(sound, F.lit(1))).over(Window.partitionBy())
-    return table.withColumn("selected", F.coalesce((F.col("model") == best) & (any_sound == 1), F.lit(False))), fitted
+    return table.withColumn("selected", F.coalesce((F.col("model") == best) & (any_sound == 1), F.lit(False)))
 
 
 def linear_coefficients(model: PipelineModel, columns: list[str] = FEATURES) -> DataFrame:
@@ -140,7 +153,7 @@ def linear_coefficients(model: PipelineModel, columns: list[str] = FEATURES) ->
     return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
 
 
-def predict(model: PipelineModel, rows: DataFrame, nodes: DataFrame | None = None, columns: list[str] = FEATURES) -> DataFrame:
+def predict(model: PipelineModel | TreeModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     """Whole non-negative prediction and its confidence.
 
     For a forest the confidence falls with the spread of the single trees; other
@@ -148,34 +161,33 @@ def predict(model: PipelineModel, rows: DataFrame, nodes: DataFrame | None = Non
     """
     complete = rows.withColumns({c: F.col(c).cast("double") for c in columns})
     out = model.transform(complete).withColumn("predicted", rounded_prediction(F.col("prediction")))
-    if not hasattr(model.stages[-1], "trees") or "GBT" in type(model.stages[-1]).__name__:
+    if not isinstance(model, TreeModel) or not model.averaged:
         return out.withColumn("confidence", F.lit(0.85)).drop("vector")
-    nodes = node_table(model.stages[-1]) if nodes is None else nodes
-    spread = tree_spread(out, nodes, columns)
+    spread = tree_spread(out, model.ensemble, columns)
     confidence = half_even(1 / (1 + F.col("trees_std") / (F.col("predicted") + 1)), 4)
-    return spread.withColumn("confidence", confidence).drop("vector", "trees_mean", "trees_std")
+    return spread.withColumn("confidence", confidence).drop("trees_mean", "trees_std")
 
 
-def impurity_importance(models: dict[str, PipelineModel], columns: list[str] = FEATURES) -> DataFrame:
+def impurity_importance(models: dict[str, PipelineModel | TreeModel], columns: list[str] = FEATURES) -> DataFrame:
+    """Share of the fall in squared error by feature; models without trees have none."""
     from pyspark.sql import SparkSession
 
-    rows = [
-        (name, c, float(v))
-        for name, model in models.items()
-        if hasattr(model.stages[-1], "featureImportances")
-        for c, v in zip(columns, model.stages[-1].featureImportances.toArray())
-    ]
+    rows = []
+    for name, model in models.items():
+        if isinstance(model, TreeModel):
+            rows += [(name, c, v) for c, v in model.importances().items()]
+        elif hasattr(model.stages[-1], "featureImportances"):
+            rows += [(name, c, float(v)) for c, v in zip(columns, model.stages[-1].featureImportances.toArray(), strict=True)]
     return SparkSession.active().createDataFrame(rows, "model string, feature string, importance double")
 
 
-def shapley_importance(rows: DataFrame, nodes: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
+def shapley_importance(rows: DataFrame, nodes: DataFrame | Ensemble, columns: list[str] = FEATURES) -> DataFrame:
     """Mean absolute contribution of each feature over all given rows."""
-    long = shapley_values(rows, nodes, columns).select(F.posexplode("shapley").alias("i", "value"))
     names = F.array(*[F.lit(c) for c in columns])
-    return long.groupBy(F.element_at(names, F.col("i") + 1).alias("feature")).agg(F.avg(F.abs("value")).alias("importance"))
+    return mean_absolute_shapley(rows, nodes, columns).select(F.explode(F.arrays_zip(names.alias("feature"), F.col("shapley").alias("importance"))).alias("f")).select("f.*")
 
 
-def top_factors(rows: DataFrame, nodes: DataFrame, k: int = 3, columns: list[str] = FEATURES) -> DataFrame:
+def top_factors(rows: DataFrame, nodes: DataFrame | Ensemble, k: int = 3, columns: list[str] = FEATURES) -> DataFrame:
     """The k strongest contributions of each row, strongest first, with their direction.
 
     Twelve contributions are sorted inside the row; nothing is shuffled.
@@ -210,7 +222,7 @@ def paired_with_donors(rows: DataFrame, columns: list[str], bucket_rows: int = 1
     return base.join(donor, ["_bucket", "_position"]).drop("_bucket", "_position")
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
+def permutation_importance(model: PipelineModel | TreeModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     """Rise of the RMSE when one feature is replaced by another row's value."""
     paired = paired_with_donors(rows, columns).persist()
     before = regression_metrics(model.transform(paired)).first()["rmse"]
@@ -222,12 +234,13 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns: list[
     return rows.sparkSession.createDataFrame(out, "feature string, rmse_rise double")
 
 
-def learning_curve(model: PipelineModel, train: DataFrame, test: DataFrame) -> DataFrame:
-    """RMSE on both sides after every boosting round."""
-    assembler, boosted = model.stages
-    curves = [boosted.evaluateEachIteration(assembler.transform(df), "squared") for df in (train, test)]
-    rows = [(i + 1, float(a) ** 0.5, float(b) ** 0.5) for i, (a, b) in enumerate(zip(*curves))]
-    return train.sparkSession.createDataFrame(rows, "round int, rmse_train double, rmse_test double")
+def learning_curve(model: TreeModel, train: DataFrame, test: DataFrame) -> DataFrame:
+    """RMSE on both sides after every boosting round, each side in one pass."""
+    sides = [
+        squared_errors(df, model.ensemble, model.features, TARGET, model.base).select("round", F.sqrt(F.col("squares") / F.col("rows")).alias(f"rmse_{name}"))
+        for name, df in (("train", train), ("test", test))
+    ]
+    return sides[0].join(sides[1], "round")
 
 
 def residuals(predicted: DataFrame) -> DataFrame:

@@ -26,10 +26,10 @@ from stopflow.operators import (
     lookups,
     profiles,
     regression,
-    trees,
 )
+from stopflow.operators.histogram_trees import TreeModel
 from stopflow.plans import pipelines
-from stopflow.session import materialize, scratch_path
+from stopflow.session import materialize, scratch_path, spread
 from stopflow.sources import benchmark_tables as tables
 from stopflow.sources import readers, sinks
 from stopflow.streaming import refresh
@@ -732,9 +732,43 @@ def _train_test(spark: SparkSession, folder: str, leak_free: bool = False):
     return pipelines.training_sides(_stored_features(spark, folder, leak_free))
 
 
-def _fitted(spark: SparkSession, folder: str, name: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    train, test = _train_test(spark, folder)
-    return regression.fit_model(train, regression.estimators()[name]), train, test
+#: What one application has prepared, by (application, folder): queries over the same folder share it.
+_KEPT: dict[tuple, object] = {}
+
+
+def _kept(spark: SparkSession, folder: str, name: str, make: Callable):
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the stored features with gaps filled, through files, once per application and folder."""
+
+    def make():
+        sides = _train_test(spark, folder)
+        stored = materialize(sides[0], "train"), materialize(sides[1], "test")
+        for side in sides:
+            side.unpersist()
+        return stored
+
+    train, test = _kept(spark, folder, "sides", make)
+    return spread(train), spread(test)
+
+
+def _models(spark: SparkSession, folder: str, *names: str) -> dict[str, PipelineModel | TreeModel]:
+    """Models of the published sizes, each fitted once per application and folder."""
+    missing = [name for name in names if (spark.sparkContext.applicationId, folder, name) not in _KEPT]
+    if missing:
+        sized = regression.estimators()
+        for name, model in regression.fit_models(_sides(spark, folder)[0], {name: sized[name] for name in missing}).items():
+            _kept(spark, folder, name, lambda model=model: model)
+    return {name: _kept(spark, folder, name, lambda: None) for name in names}
+
+
+def _fitted(spark: SparkSession, folder: str, name: str) -> tuple[PipelineModel | TreeModel, DataFrame, DataFrame]:
+    return _models(spark, folder, name)[name], *_sides(spark, folder)
 
 
 @query
@@ -763,9 +797,7 @@ def boosted_trees(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    train, test = _train_test(spark, folder)
-    table, _ = regression.compare_models(train, test, regression.estimators())
-    return tidy(table)
+    return tidy(regression.compare_fitted(*_sides(spark, folder), _models(spark, folder, *regression.estimators())))
 
 
 @query
@@ -787,12 +819,10 @@ def predict_traffic(spark, folder):
 
 @query
 def feature_attribution(spark, folder):
-    train, _ = _train_test(spark, folder)
-    models = regression.estimators()
-    fitted = {name: regression.fit_model(train, models[name]) for name in ("forest", "boosted")}
+    train, _ = _sides(spark, folder)
+    fitted = _models(spark, folder, "forest", "boosted")
     impurity = regression.impurity_importance(fitted).withColumn("method", F.concat(F.lit("impurity "), F.col("model"))).drop("model")
-    nodes = trees.node_table(fitted["forest"].stages[-1])
-    shapley = regression.shapley_importance(train, nodes).withColumn("method", F.lit("shapley forest"))
+    shapley = regression.shapley_importance(train, fitted["forest"].ensemble).withColumn("method", F.lit("shapley forest"))
     permuted = regression.permutation_importance(fitted["forest"], train).select(
         "feature", F.col("rmse_rise").alias("importance"), F.lit("permutation forest").alias("method")
     )
@@ -801,9 +831,8 @@ def feature_attribution(spark, folder):
 
 @query
 def top_factors(spark, folder):
-    train, test = _train_test(spark, folder)
-    nodes = trees.node_table(regression.fit_model(train, regression.estimators()["forest"]).stages[-1])
-    return tidy(regression.top_factors(test, nodes))
+    model, _, test = _fitted(spark, folder, "forest")
+    return tidy(regression.top_factors(test, model.ensemble))
 
 
 @query

@@ -54,6 +54,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/stopflow/{uuid.uuid4().hex}/{name}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is not needed any more, wherever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage by writing to the shared folder, so lost executors cost no recomputation."""
     path = scratch_path(df.sparkSession, name)

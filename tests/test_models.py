@@ -1,14 +1,12 @@
-import contextlib
 import itertools
 import math
-from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stopflow.config import FEATURES
-from stopflow.operators import regression, trees
+from stopflow.operators import histogram_trees, regression, trees
 from stopflow.plans import catalog, pipelines
 
 
@@ -25,8 +23,8 @@ def table(spark):
 
 @pytest.fixture(scope="module")
 def forest(table):
-    model = regression.fit_model(table, regression.estimators(forest_trees=5, forest_depth=4, memory_mb=256)["forest"])
-    return model, trees.node_table(model.stages[-1]).persist()
+    model = regression.fit_model(table, regression.estimators(forest_trees=5, forest_depth=4)["forest"])
+    return model, model.ensemble
 
 
 def test_split_is_by_distinct_days(table):
@@ -58,7 +56,7 @@ def test_tree_outputs_average_to_the_prediction(table, forest):
     spread = trees.tree_spread(model.transform(table), nodes, FEATURES)
     worst = spread.agg(F.max(F.abs(F.col("trees_mean") - F.col("prediction")))).first()[0]
     assert worst < 1e-9
-    confidence = regression.predict(model, table, nodes).agg(F.min("confidence"), F.max("confidence")).first()
+    confidence = regression.predict(model, table).agg(F.min("confidence"), F.max("confidence")).first()
     assert 0 < confidence[0] <= confidence[1] <= 1
 
 
@@ -74,7 +72,7 @@ def test_contributions_add_up(table, forest):
 def test_contributions_equal_the_definition(table, forest):
     """Shapley values of the tree's conditional expectation, by all subsets."""
     _, nodes = forest
-    one = trees.Ensemble(nodes.where("tree = 0"))
+    one = trees.Ensemble(nodes.frame().query("tree == 0"))
     x = np.array([[r[c] for c in FEATURES] for r in table.select(*FEATURES).limit(3).collect()])
 
     def value(node, row, known):
@@ -102,7 +100,7 @@ def test_contributions_equal_the_definition(table, forest):
 def test_selection_follows_status_then_score(spark, table):
     train, test, _ = regression.temporal_split(table)
     train, test = regression.impute(train, test)
-    models = regression.estimators(forest_trees=5, forest_depth=4, rounds=5, memory_mb=256)
+    models = regression.estimators(forest_trees=5, forest_depth=4, rounds=5)
     result, fitted = regression.compare_models(train, test, models)
     rows = {r["model"]: r for r in result.collect()}
     assert set(fitted) == set(rows) == {"linear", "tree", "forest", "boosted"}
@@ -124,7 +122,7 @@ def test_linear_model_recovers_coefficients(spark):
 
 
 def test_model_store_round_trip(spark, table, forest, tmp_path):
-    model, _ = forest
+    model = regression.fit_model(table, regression.estimators()["tree"])
     codes = spark.createDataFrame([("100", 0)], "carrier string, carrier_index int")
     pipelines.save_model(model, codes, str(tmp_path))
     stored, stored_codes = pipelines.load_model(spark, str(tmp_path))
@@ -143,31 +141,100 @@ def test_donors_are_other_rows_and_each_gives_once(table):
 def test_a_feature_constant_within_a_day_has_importance(table):
     """The weekday decides the count: all rows of a day share it, yet losing it must cost."""
     by_day = table.withColumn("weekday", F.dayofweek("day").cast("double")).withColumn("n", 100 * F.col("weekday") + F.col("lag7"))
-    model = regression.fit_model(by_day, regression.estimators(forest_trees=5, forest_depth=5, memory_mb=256)["forest"])
+    model = regression.fit_model(by_day, regression.estimators(forest_trees=5, forest_depth=5)["forest"])
     rise = {r["feature"]: r["rmse_rise"] for r in regression.permutation_importance(model, by_day).collect()}
     assert rise["weekday"] > 50 and rise["weekday"] == max(rise.values())
 
 
-@pytest.mark.parametrize(
-    "name, kinds",
-    [
-        ("random_forest", {"forest"}),
-        ("boosted_trees", {"boosted"}),
-        ("model_comparison", {"linear", "tree", "forest", "boosted"}),
-        ("predict_traffic", {"forest"}),
-        ("learning_curve", {"boosted"}),
-        ("feature_attribution", {"forest", "boosted"}),
-        ("top_factors", {"forest"}),
-    ],
-)
-def test_queries_fit_the_published_sizes_once(spark, folder, monkeypatch, name, kinds):
-    """Nothing is fitted here: only the estimators that a query would fit are looked at."""
-    asked = []
-    monkeypatch.setattr(catalog, "_train_test", lambda *_: (MagicMock(), MagicMock()))
-    monkeypatch.setattr(regression, "fit_model", lambda train, estimator: asked.append(estimator) or MagicMock())
-    with contextlib.suppress(Exception):  # what follows the fits gets no model
-        catalog.QUERIES[name](spark, folder)
-    plain = lambda estimator: {p.name: v for p, v in estimator.extractParamMap().items()}
+def test_saved_ensembles_predict_alike(spark, table, forest, tmp_path):
+    boosted = regression.fit_model(table, regression.estimators(rounds=12)["boosted"])
+    for name, model in (("forest", forest[0]), ("boosted", boosted)):
+        model.save(spark, f"{tmp_path}/{name}")
+        again = histogram_trees.TreeModel.load(spark, f"{tmp_path}/{name}")
+        worst = model.transform(table).join(again.transform(table).select("stop", "day", F.col("prediction").alias("p")), ["stop", "day"])
+        assert worst.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
+        assert sum(model.importances().values()) == pytest.approx(1) and max(model.importances(), key=model.importances().get) == FEATURES[7]
+
+
+def plain_tree(bins, y, depth, least):
+    """(mean of the leaf) of each row of a tree grown by trying every split of every node."""
+    best = None
+    if depth and len(y) >= 2 * least:
+        for f in range(bins.shape[1]):
+            for cut in np.unique(bins[:, f])[:-1]:
+                left = bins[:, f] <= cut
+                if least <= left.sum() <= len(y) - least:
+                    gain = sum(part.sum() ** 2 / len(part) for part in (y[left], y[~left])) - y.sum() ** 2 / len(y)
+                    if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                        best = gain, left
+    if best is None:
+        return np.full(len(y), y.mean())
+    out = np.empty(len(y))
+    for side in (best[1], ~best[1]):
+        out[side] = plain_tree(bins[side], y[side], depth - 1, least)
+    return out
+
+
+@pytest.mark.parametrize("local", [1 << 16, 150, 1])
+def test_trees_equal_plain_ones_however_dealt(table, local):
+    """One tree of all rows: rows of a node in one task, some levels by histograms, all levels by histograms."""
+    binned = histogram_trees.BinnedTable(table, FEATURES, "n")
+    model = histogram_trees.Boosting(rounds=1, depth=4, rate=1.0, row_share=1.1, column_share=1.0, least=5, l2=0.0, local=local).fit(binned)
+    binned.release()
+    rows = table.select("n", *FEATURES).toPandas()
+    codes = np.column_stack([np.searchsorted(e, rows[c], "left") for c, e in zip(FEATURES, binned.edges, strict=True)])
+    y = rows["n"].to_numpy()
+    want = y.mean() + plain_tree(codes, y - y.mean(), 4, 5)
+    got = model.ensemble.outputs(rows[FEATURES].to_numpy())[:, 0] + model.base
+    assert np.allclose(got, want)
+
+
+def test_dealing_does_not_change_models(table, monkeypatch):
+    monkeypatch.setattr(histogram_trees, "STEP", 4)
+    monkeypatch.setattr(histogram_trees, "KEEP", 8)
+    x = table.select(*FEATURES).toPandas().to_numpy()
+    for make in (lambda local: histogram_trees.Forest(4, 6, 3, local=local), lambda local: histogram_trees.Boosting(rounds=10, depth=3, local=local)):
+        binned = histogram_trees.BinnedTable(table, FEATURES, "n")
+        whole, dealt = (make(local).fit(binned).ensemble.outputs(x) for local in (1 << 16, 100))
+        assert np.allclose(whole, dealt)
+        binned.release()
+
+
+def test_learning_curve_is_the_error_after_each_round(table):
+    train, test, _ = regression.temporal_split(table)
+    model = regression.fit_model(train, regression.estimators(rounds=7)["boosted"])
+    curve = regression.learning_curve(model, train, test).orderBy("round").collect()
+    rows = test.select("n", *FEATURES).toPandas()
+    so_far = model.base + model.ensemble.outputs(rows[FEATURES].to_numpy()).cumsum(axis=1)
+    want = np.sqrt(((so_far - rows[["n"]].to_numpy()) ** 2).mean(axis=0))
+    assert [r["round"] for r in curve] == list(range(1, 8))
+    assert np.allclose([r["rmse_test"] for r in curve], want)
+    assert [r["rmse_train"] for r in curve] == sorted((r["rmse_train"] for r in curve), reverse=True)
+
+
+def test_mean_contributions_count_repeated_rows(spark, table, forest):
+    twice = table.unionByName(table.where("stop = 'S1'"))
+    got = {r["feature"]: r["importance"] for r in regression.shapley_importance(twice, forest[1]).collect()}
+    x = twice.select(*FEATURES).toPandas().to_numpy()
+    assert np.allclose([got[c] for c in FEATURES], np.abs(forest[1].shapley(x)).mean(axis=0))
+
+
+def test_model_queries_run_at_published_sizes(spark, folder):
+    """All seven, without stand-ins; models are fitted once for all of them."""
+    rows = {name: catalog.QUERIES[name](spark, folder).collect() for name in ("model_comparison", "feature_attribution", "top_factors", "learning_curve")}
+    assert {r["model"] for r in rows["model_comparison"]} == {"linear", "tree", "forest", "boosted"}
+    assert all(r["r2_test"] > 0.5 for r in rows["model_comparison"] if r["model"] in ("forest", "boosted"))
+    shares = [r for r in rows["feature_attribution"] if r["method"].startswith("impurity")]
+    for method in {r["method"] for r in shares}:
+        assert sum(r["importance"] for r in shares if r["method"] == method) == pytest.approx(1, abs=1e-4)
+    assert len(rows["feature_attribution"]) == 4 * len(FEATURES)
+    assert len(rows["learning_curve"]) == 300
+    sizes = {}
+    for r in rows["top_factors"]:
+        sizes.setdefault((r["stop"], r["day"]), {})[r["rank"]] = abs(r["contribution"])
+    assert all(list(found) and found[1] >= found[2] >= found[3] for found in sizes.values())
+    kept = {key[2]: value for key, value in catalog._KEPT.items() if key[1] == folder}
+    assert len(kept["forest"].ensemble.roots) == 100 and len(kept["boosted"].ensemble.roots) == 300
     published = regression.estimators()
-    assert (published["forest"].getNumTrees(), published["forest"].getMaxDepth(), published["boosted"].getMaxIter()) == (100, 15, 300)
-    assert sorted(map(str, map(plain, asked))) == sorted(str(plain(published[kind])) for kind in kinds)
+    assert (published["forest"].depth, published["forest"].least) == (15, 3)
+    assert (published["boosted"].depth, published["boosted"].rate, published["boosted"].row_share, published["boosted"].column_share) == (6, 0.05, 0.8, 0.8)

@@ -1,91 +1,112 @@
-"""Density clusters (DBSCAN) without a point ever meeting all others.
-
-Space is cut twice. Cells of side eps / sqrt(d) are so small that all points of
-one lie within eps of each other, so the graph to connect is one of cells, not of
-points. Squares of side eps or more limit the search to 3^d neighbours; a crowded one is
-split into blocks of bounded size, and each pair of neighbouring blocks is one
-task that returns counts or cell links, never pairs of points.
+"""Density clusters (DBSCAN) over cells instead of pairs of points.
+
+Space is cut into cells of side eps / sqrt(d), so small that all points of a
+cell lie within eps of each other. A cell of `min_points` or more is core without
+a distance taken; only points of thinner cells count their neighbours, and stop
+when they have enough. Two core cells are joined by one linking pair, whichever.
+
+Both questions are asked of bounding boxes first: boxes whose farthest corners
+are within eps settle a pair, boxes farther apart than eps drop it, and only what
+is left is cut into smaller boxes, down to single points where few are left. So
+work grows with occupied cells and with what lies right at the distance eps, not
+with the points of a crowded place; nothing brings all points of a cell together.
+Cells find their neighbours through aligned squares of at least eps by joins on names.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS
-from stopflow.session import join_lookup, materialize, renewed
+from stopflow.functions.ranks import ranked
+from stopflow.session import join_lookup, materialize
 
-BLOCK = 2000
+#: Boxes with at most so many points are cut into their points, larger ones into CUT pieces a side.
+FEW, CUT = 32, 8
 
 
-def _place(columns: list[str], origin: dict[str, float], side: float):
-    """Name of the cell of a given side that a point lies in."""
-    return F.concat_ws(",", *[F.floor((F.col(c) - F.lit(origin[c])) / F.lit(side)).cast("string") for c in columns])
+def _numbers(origin: list[float], side: float) -> Column:
+    return F.array(*[F.floor((F.get("x", i) - F.lit(o)) / F.lit(side)) for i, o in enumerate(origin)])
 
 
-def _grid(points: DataFrame, columns: list[str], eps: float) -> DataFrame:
-    """Points with their small cell and their search square.
+def _name(numbers: Column) -> Column:
+    return F.array_join(F.transform(numbers, lambda v: v.cast("string")), ",")
 
-    Any square side from eps up is correct. The smallest multiple is taken that
-    does not scatter the points over very many nearly empty squares.
-    """
-    origin = points.agg(*[F.min(c).alias(c) for c in columns]).first().asDict()
-    sides = [eps * m for m in (1, 2, 4, 8, 16, 32)]
-    spread = points.agg(
-        F.count("*").alias("rows"),
-        *[F.approx_count_distinct(_place(columns, origin, side)).alias(f"s{i}") for i, side in enumerate(sides)],
-    ).first()
-    enough = max(1.0, 16.0 * spread["rows"] / BLOCK)
-    side = next((side for i, side in enumerate(sides) if spread[f"s{i}"] <= enough), sides[-1])
-    small = eps / math.sqrt(len(columns)) * (1 - 1e-12)
-    return points.select(
-        F.col("stop").alias("id"),
-        F.array(*columns).alias("x"),
-        _place(columns, origin, small).alias("cell"),
-        _place(columns, origin, side).alias("square"),
-    )
 
+def _boxes(points: DataFrame, dims: int, *keys: str) -> DataFrame:
+    """One row per key: number of points, least and greatest coordinates."""
+    sides = [F.array(*[f(F.get("x", i)) for i in range(dims)]).alias(name) for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    return points.groupBy(*keys).agg(F.count("*").alias("points"), *sides)
 
-def _blocks(grid: DataFrame, dims: int) -> tuple[DataFrame, DataFrame]:
-    """Points with their block, and the pairs of neighbouring blocks."""
-    squares = grid.groupBy("square").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    squares = materialize(squares, "squares")
-    salted = join_lookup(grid, squares, "square", "inner").withColumn(
-        "block", F.concat_ws("#", "square", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("string"))
-    )
-    numbers = F.transform(F.split("square", ","), lambda v: v.cast("bigint"))
-    around = squares.withColumn("at", numbers)
+
+def _apart(dims: int, a: str, b: str) -> tuple[Column, Column]:
+    """Squared distance of two boxes' nearest and of their farthest points."""
+    near, far = F.lit(0.0), F.lit(0.0)
     for i in range(dims):
-        around = around.withColumn(f"d{i}", F.explode(F.sequence(F.col("at")[i] - 1, F.col("at")[i] + 1)))
-    near = F.concat_ws(",", *[F.col(f"d{i}").cast("string") for i in range(dims)])
-    pairs = around.select(F.col("square").alias("a"), F.col("blocks").alias("na"), near.alias("b")).join(
-        squares.select(F.col("square").alias("b"), F.col("blocks").alias("nb")), "b"
-    )
-    index = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    pairs = pairs.withColumn("i", index("na")).withColumn("j", index("nb"))
-    return salted.drop("blocks", "square"), pairs.select(
-        F.concat_ws("#", "a", F.col("i").cast("string")).alias("own"),
-        F.concat_ws("#", "b", F.col("j").cast("string")).alias("other"),
+        up = F.get(f"{a}.hi", i) - F.get(f"{b}.lo", i)
+        down = F.get(f"{b}.hi", i) - F.get(f"{a}.lo", i)
+        gap, reach = F.greatest(-up, -down, F.lit(0.0)), F.greatest(up, down)
+        near, far = near + gap * gap, far + reach * reach
+    return near, far
+
+
+def _met(pairs: DataFrame, left: DataFrame, right: DataFrame, dims: int, eps: float) -> DataFrame:
+    """Pairs (tag, need, l, r) with their boxes, those farther apart than eps left out; `within` where all points are within eps."""
+    near, far = _apart(dims, "a", "b")
+    joined = pairs.alias("p").join(left.alias("a"), F.col("p.l") == F.col("a.key")).join(right.alias("b"), F.col("p.r") == F.col("b.key"))
+    kept = joined.where(near <= eps * eps)
+    return kept.select(
+        "p.tag", "p.need", "p.l", "p.r", F.col("a.points").alias("l_points"), F.col("b.points").alias("r_points"), (far <= eps * eps).alias("within")
     )
 
 
-def _within(left: pd.DataFrame, right: pd.DataFrame, eps: float) -> np.ndarray:
-    a, b = np.array(left["x"].tolist(), float), np.array(right["x"].tolist(), float)
-    squared = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        squared += (a[:, i, None] - b[None, :, i]) ** 2
-    return squared <= eps * eps
+def within_reach(pairs: DataFrame, left: DataFrame, right: DataFrame, dims: int, eps: float, origin: list[float], side: float) -> DataFrame:
+    """(tag, found) for pairs (tag, need, l, r) of boxes, named by the `key` of points (key, id, x) on either side.
 
-
-def _meet(left: DataFrame, right: DataFrame, pairs: DataFrame, function, schema: str) -> DataFrame:
-    """Bring each block together with each of its neighbours."""
-    own = renewed(left.join(pairs, F.col("block") == F.col("own")).drop("block"))
-    other = renewed(right.join(pairs, F.col("block") == F.col("other")).drop("block"))
-    return own.groupBy("own", "other").cogroup(other.groupBy("own", "other")).applyInPandas(function, schema)
+    `found` is the number of points on the right within eps of the left point, or, where the left is a box,
+    anything above 0 if some pair is within eps. Tags stop once they have what they need.
+    """
+    found = None
+    level = 0
+    opened = pairs
+    while True:
+        met = materialize(_met(opened, _boxes(left, dims, "key"), _boxes(right, dims, "key"), dims, eps), "pairs")
+        new = met.where("within").groupBy("tag").agg(F.sum("r_points").alias("found"))
+        found = materialize(new if found is None else found.unionByName(new).groupBy("tag").agg(F.sum("found").alias("found")), "found")
+        left_open = met.where(~F.col("within")).join(found, "tag", "left").where(F.coalesce("found", F.lit(0)) < F.col("need"))
+        left_open = materialize(left_open.drop("found", "within"), "open")
+        if left_open.isEmpty():
+            return found
+        level += 1
+
+        def cut(points: DataFrame, name: str, level: int = level, open_pairs: DataFrame = left_open) -> DataFrame:
+            kept = open_pairs.select(F.col(name).alias("key"), F.col(f"{name}_points").alias("points")).distinct()
+            piece = F.when(F.col("points") <= FEW, F.col("id")).otherwise(_name(_numbers(origin, side / CUT**level)))
+            inside = points.join(kept, "key").withColumn("parent", F.col("key"))
+            return materialize(inside.withColumn("key", F.concat_ws("/", "parent", piece)).drop("points"), "pieces")
+
+        left, right = cut(left, "l"), cut(right, "r")
+        of_left = left.select(F.col("parent").alias("l"), F.col("key").alias("l_new")).distinct()
+        of_right = right.select(F.col("parent").alias("r"), F.col("key").alias("r_new")).distinct()
+        opened = left_open.select("tag", "need", "l", "r").join(of_left, "l").join(of_right, "r")
+        opened = opened.select("tag", "need", F.col("l_new").alias("l"), F.col("r_new").alias("r"))
+
+
+def _neighbours(cells: DataFrame, dims: int, eps: float) -> DataFrame:
+    """(a, b): different occupied cells whose boxes are within eps, in both orders."""
+    squares = cells.select("square", "numbers").distinct()
+    around = squares.withColumn("at", F.col("numbers"))
+    for i in range(dims):
+        around = around.withColumn(f"d{i}", F.explode(F.sequence(F.get("at", i) - 1, F.get("at", i) + 1)))
+    near = around.select("square", _name(F.array(*[f"d{i}" for i in range(dims)])).alias("other"))
+    near = near.join(squares.select(F.col("square").alias("other")), "other")
+    here, there = cells.alias("a"), cells.alias("b")
+    both = near.join(here, F.col("a.square") == near["square"]).join(there, F.col("b.square") == near["other"])
+    distance, _ = _apart(dims, "a", "b")
+    return both.where((F.col("a.key") != F.col("b.key")) & (distance <= eps * eps)).select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))
 
 
 def connect(edges: DataFrame, nodes: DataFrame, name: str = "labels") -> DataFrame:
@@ -120,42 +141,64 @@ def density_clusters(
     """Add `cluster` to rows keyed by `stop`: 0, 1, ... or -1 for noise.
 
     A point with at least `min_points` points within eps (itself included) is a
-    core point. A border point reachable from several clusters takes the first.
+    core point. Clusters are numbered by their first core point; a border point
+    reachable from several clusters takes the first.
     """
-    grid = materialize(_grid(scaled, columns, eps), "grid")
-    points, pairs = _blocks(grid, len(columns))
-    points, pairs = materialize(points, "blocks"), materialize(pairs, "pairs")
-
-    def count_near(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"id": [], "near": []}).astype({"id": str, "near": "int64"})
-        return pd.DataFrame({"id": left["id"], "near": _within(left, right, eps).sum(axis=1)})
-
-    near = _meet(points, points, pairs, count_near, "id string, near bigint").groupBy("id").agg(F.sum("near").alias("near"))
-    marked = points.join(near.where(F.col("near") >= min_points).select("id", F.lit(True).alias("core")), "id", "left")
-    marked = materialize(marked.withColumn("core", F.coalesce("core", F.lit(False))), "core")
-    cores = marked.where("core")
-
-    def link(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Cell-to-cell links between core points, and the core cells near each border point."""
-        empty = pd.DataFrame({"core": [], "a": [], "b": []}).astype({"core": bool, "a": str, "b": str})
-        if left.empty or right.empty:
-            return empty
-        i, j = np.nonzero(_within(left, right, eps))
-        core = left["core"].to_numpy(bool)[i]
-        source = np.where(core, left["cell"].to_numpy(object)[i], left["id"].to_numpy(object)[i])
-        links = pd.DataFrame({"core": core, "a": source, "b": right["cell"].to_numpy(object)[j]})
-        return links.drop_duplicates() if len(links) else empty
-
-    links = materialize(_meet(marked, cores, pairs, link, "core boolean, a string, b string").distinct(), "links")
+    dims = len(columns)
+    least = scaled.agg(*[F.min(c).alias(c) for c in columns]).first()
+    origin = [float(least[c] or 0.0) for c in columns]
+    side = eps / math.sqrt(dims) * (1 - 1e-12)
+    # Squares are aligned with cells and at least eps wide, so all that is near is next door.
+    across = math.ceil(math.sqrt(dims)) + 1
+    points = scaled.select(F.col("stop").alias("id"), F.array(*columns).alias("x")).withColumn("numbers", _numbers(origin, side))
+    points = materialize(points.select("id", "x", _name(F.col("numbers")).alias("cell"), F.transform("numbers", lambda v: F.floor(v / across)).alias("numbers")), "points")
+    cells = points.withColumn("key", F.col("cell"))
+    cells = materialize(_boxes(cells, dims, "key", "numbers").withColumn("square", _name(F.col("numbers"))), "cells")
+    pairs = materialize(_neighbours(cells, dims, eps), "neighbours")
+
+    by_cell = points.select(F.col("cell").alias("key"), "id", "x")
+    thin = materialize(points.join(cells.where(F.col("points") < min_points).select(F.col("key").alias("cell"), "points"), "cell"), "thin")
+    asked = thin.join(pairs, thin["cell"] == pairs["a"]).select(
+        F.col("id").alias("tag"), (F.lit(min_points) - F.col("points")).alias("need"), F.col("id").alias("l"), F.col("b").alias("r")
+    )
+    alone = thin.select(F.col("id").alias("key"), "id", "x")
+    counted = within_reach(asked, alone, by_cell, dims, eps, origin, side)
+    thin = thin.join(counted.withColumnRenamed("tag", "id"), "id", "left")
+    thin = materialize(thin.withColumn("core", F.col("points") + F.coalesce("found", F.lit(0)) >= min_points), "counted")
+
+    thick = points.join(cells.where(F.col("points") >= min_points).select(F.col("key").alias("cell")), "cell", "left_semi")
+    cores = materialize(thick.select("id", "x", "cell").unionByName(thin.where("core").select("id", "x", "cell")), "cores")
+    core_points = cores.select(F.col("cell").alias("key"), "id", "x")
     nodes = cores.select(F.col("cell").alias("node")).distinct()
-    labels = connect(links.where("core"), nodes)
-    labels = labels.withColumnRenamed("node", "cell")
-    # Clusters are numbered by their first core point; one row per cluster is ranked.
+
+    # Cells settled by their boxes are joined first; pairs already in one group need no look at their points.
+    candidates = pairs.where("a < b").select(F.concat_ws("|", "a", "b").alias("tag"), F.lit(1).alias("need"), F.col("a").alias("l"), F.col("b").alias("r"))
+    boxes = _boxes(core_points, dims, "key")
+    met = materialize(_met(candidates, boxes, boxes, dims, eps), "core-pairs")
+    sure = met.where("within").select(F.col("l").alias("a"), F.col("r").alias("b"))
+    labels = connect(_both_ways(sure), nodes)
+    here, there = (labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in "lr")
+    unsettled = met.where(~F.col("within")).join(here, "l").join(there, "r").where("l_label <> r_label").select("tag", "need", "l", "r")
+    more = within_reach(materialize(unsettled, "unsettled"), core_points, core_points, dims, eps, origin, side)
+    more = more.where("found > 0").select(F.split("tag", r"\|")[0].alias("a"), F.split("tag", r"\|")[1].alias("b"))
+    labels = connect(_both_ways(sure.unionByName(more)), nodes).withColumnRenamed("node", "cell")
+
     first = join_lookup(cores.select("id", "cell"), labels, "cell").groupBy("label").agg(F.min("id").alias("first"))
-    numbers = first.select("label", (F.row_number().over(Window.orderBy("first")) - 1).alias("cluster"))
-    cells = materialize(join_lookup(labels, numbers, "label").select(F.col("cell").alias("b"), "cluster"), "cells")
-    core_cluster = join_lookup(cores.select("id", F.col("cell").alias("b")), cells, "b").select("id", "cluster")
-    border = links.where(~F.col("core")).join(cells, "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
+    numbers = ranked(first, ["first"], "cluster").select("label", "cluster")
+    clusters = materialize(join_lookup(labels, numbers, "label").select("cell", "cluster"), "clusters")
+
+    rest = thin.where(~F.col("core"))
+    reach = rest.join(pairs, rest["cell"] == pairs["a"]).select("id", F.col("b").alias("cell")).unionByName(rest.select("id", "cell"))
+    reach = reach.join(nodes, F.col("cell") == F.col("node"), "left_semi")
+    asked = reach.select(F.concat_ws("|", "cell", "id").alias("tag"), F.lit(1).alias("need"), F.col("id").alias("l"), F.col("cell").alias("r"))
+    alone = rest.select(F.col("id").alias("key"), "id", "x")
+    touched = within_reach(materialize(asked, "borders"), alone, core_points, dims, eps, origin, side).where("found > 0")
+    touched = touched.select(F.substring_index("tag", "|", 1).alias("cell"), F.expr("substring(tag, instr(tag, '|') + 1)").alias("id"))
+    border = touched.join(clusters, "cell").groupBy("id").agg(F.min("cluster").alias("cluster"))
+    core_cluster = join_lookup(cores.select("id", "cell"), clusters, "cell").select("id", "cluster")
     found = core_cluster.unionByName(border).withColumnRenamed("id", "stop")
-    return scaled.join(found, "stop", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1)))
+    return scaled.join(found, "stop", "left").withColumn("cluster", F.coalesce(F.col("cluster").cast("int"), F.lit(-1)))
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -93,10 +93,11 @@ def brute_density(points, eps, min_points):
     return core, label, border
 
 
-@pytest.mark.parametrize("block, dims", [(2000, 5), (7, 2)])
-def test_density_equals_brute_force(spark, monkeypatch, block, dims):
-    """The same partition of core points, borders and noise; blocks of 7 split a hot square many times."""
-    monkeypatch.setattr(density, "BLOCK", block)
+@pytest.mark.parametrize("few, cut, dims", [(32, 8, 5), (1, 2, 2)])
+def test_density_equals_brute_force(spark, monkeypatch, few, cut, dims):
+    """The same partition of core points, borders and noise; boxes of one point at a time are cut many times."""
+    monkeypatch.setattr(density, "FEW", few)
+    monkeypatch.setattr(density, "CUT", cut)
     rng = np.random.default_rng(3)
     # A third of all points in one tight spot, a long chain, a loose cloud.
     spot, chain = rng.normal(0, 0.05, (40, dims)), np.zeros((40, dims))

@@ -75,7 +75,7 @@ def within_reach(pairs: DataFrame, left: DataFrame, right: DataFrame, dims: int,
     while True:
         met = materialize(_met(opened, _boxes(left, dims, "key"), _boxes(right, dims, "key"), dims, eps), "pairs")
         new = met.where("within").groupBy("tag").agg(F.sum("r_points").alias("found"))
-        found = materialize(new if found is None else found.unionByName(new).groupBy("tag").agg(F.sum("found").alias("found")), "found")
+        found = new if found is None else found.unionByName(new).groupBy("tag").agg(F.sum("found").alias("found"))
         left_open = met.where(~F.col("within")).join(found, "tag", "left").where(F.coalesce("found", F.lit(0)) < F.col("need"))
         left_open = materialize(left_open.drop("found", "within"), "open")
         if left_open.isEmpty():
@@ -179,9 +179,12 @@ def density_clusters(
     labels = connect(_both_ways(sure), nodes)
     here, there = (labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in "lr")
     unsettled = met.where(~F.col("within")).join(here, "l").join(there, "r").where("l_label <> r_label").select("tag", "need", "l", "r")
-    more = within_reach(materialize(unsettled, "unsettled"), core_points, core_points, dims, eps, origin, side)
-    more = more.where("found > 0").select(F.split("tag", r"\|")[0].alias("a"), F.split("tag", r"\|")[1].alias("b"))
-    labels = connect(_both_ways(sure.unionByName(more)), nodes).withColumnRenamed("node", "cell")
+    unsettled = materialize(unsettled, "unsettled")
+    if not unsettled.isEmpty():
+        more = within_reach(unsettled, core_points, core_points, dims, eps, origin, side)
+        more = more.where("found > 0").select(F.split("tag", r"\|")[0].alias("a"), F.split("tag", r"\|")[1].alias("b"))
+        labels = connect(_both_ways(sure.unionByName(more)), nodes)
+    labels = labels.withColumnRenamed("node", "cell")
 
     first = join_lookup(cores.select("id", "cell"), labels, "cell").groupBy("label").agg(F.min("id").alias("first"))
     numbers = ranked(first, ["first"], "cluster").select("label", "cluster")

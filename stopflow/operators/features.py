@@ -123,7 +123,12 @@ def build_features(
     previous day's congestion instead.
     """
     codes = carrier_codes(filter_defined(rows)) if codes is None else codes
-    base = encode_carrier(add_calendar_flags(add_date_parts(stop_day(rows)), calendar), codes)
+    return features_of_days(stop_day(rows), calendar, codes, leak_free)
+
+
+def features_of_days(daily: DataFrame, calendar: DataFrame | None, codes: DataFrame, leak_free: bool = False) -> DataFrame:
+    """The feature table from one row per (stop, day)."""
+    base = encode_carrier(add_calendar_flags(add_date_parts(daily), calendar), codes)
     lagged = add_congestion(add_rolling(add_row_lags(base), PREVIOUS7 if leak_free else LAST7))
     if not leak_free:
         return lagged

@@ -198,16 +198,20 @@ def grow_in_task(bins: np.ndarray, weight: np.ndarray, target: np.ndarray, colum
         chosen = np.flatnonzero(gain > 1e-12 * scale + 1e-300)
         if not len(chosen):
             break
-        child = np.full(n, -1, dtype=np.int64)
+        # Rows of children that may be split again go on; the frontier holds nothing else.
+        child = np.full((n, 2), -1, dtype=np.int64)
         following = []
         for i in chosen.tolist():
             node = int(frontier[i])
             sides = [(float(w[i]), float(t[i])), (tree.weight[node] - float(w[i]), tree.total[node] - float(t[i]))]
-            child[i] = len(following)
-            following += tree.split(node, int(feature[i]), int(cut[i]), float(gain[i]), sides)
-        keep = child[at] >= 0
-        live, at = live[keep], at[keep]
-        at = child[at] + (bins[live, feature[at]] > cut[at])
+            for side, new in enumerate(tree.split(node, int(feature[i]), int(cut[i]), float(gain[i]), sides)):
+                if sides[side][0] >= 2 * shape.least:
+                    child[i, side] = len(following)
+                    following.append(new)
+        at = child[at, (bins[live, feature[at]] > cut[at]).astype(np.int64)]
+        live, at = live[at >= 0], at[at >= 0]
+        if not len(live):
+            break
         frontier = np.array(following)
     return tree
 

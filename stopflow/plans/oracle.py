@@ -537,6 +537,7 @@ QUERIES["dedup_report"] = sql(
 
 # -- modelling with an exact answer --------------------------------------------------------
 QUERIES["feature_pipeline"] = sql("feat", f"SELECT {FEATURE_COLUMNS} FROM feat")
+QUERIES["refreshed_features"] = QUERIES["feature_pipeline"].replace(CTES["v"], f"SELECT DISTINCT * FROM ({CTES['vq']})")
 QUERIES["temporal_split"] = sql(
     "feat",
     """SELECT CASE WHEN f.day < cut THEN 'train' ELSE 'test' END AS side, count(*) AS rows, count(DISTINCT f.day) AS days, min(f.day) AS first_day, max(f.day) AS last_day

@@ -63,8 +63,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage by writing to the shared folder, so lost executors cost no recomputation."""
     path = scratch_path(df.sparkSession, name)
+    schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.schema(schema).parquet(path)
+    stored._stopflow_path = path
+    return stored
+
+
+def remove_table(stored: DataFrame) -> None:
+    """Remove what `materialize` wrote, once nothing reads it any more."""
+    remove_path(stored.sparkSession, stored._stopflow_path)
 
 
 def spread(df: DataFrame) -> DataFrame:

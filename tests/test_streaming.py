@@ -1,8 +1,7 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
-from stopflow.operators.features import build_features, carrier_codes
+from stopflow.operators.features import build_features
 from stopflow.streaming import refresh
 
 SCHEMA = "seq bigint, ts timestamp, day date, carrier string, network string, stop_code string, zone_id bigint, stop string, category string, n bigint"
@@ -36,12 +35,31 @@ def test_refresh_takes_each_row_once_and_continues(spark, tmp_path):
     table = spark.read.parquet(places[0])
     assert sorted(r["seq"] for r in table.collect()) == [1, 2, 3, 5]
 
-    new = [r["batch"] for r in table.select("batch").distinct().collect() if r["batch"] not in before]
-    codes = carrier_codes(table)
-    part = refresh.refreshed_features(table, new, None, codes)
-    whole = build_features(table, None, codes).where("stop = 'A'")
-    assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.select(*part.columns).collect()))
-    assert {r["stop"] for r in part.collect()} == {"A"} and part.where(F.col("lag1") == 20.0).count() >= 1
+    plan = refresh._unseen(table.drop("batch").where("seq = 1"), places[0], 9, ["seq"], [dt.date(2025, 1, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan.split("PartitionFilters")[1] and "2025-01-01" in plan.replace("20089", "2025-01-01")
+
+
+def test_features_of_touched_stops_equal_a_rebuild(spark, tmp_path):
+    """Rows of a stop-day in several batches, replays and rejects; folders of other stops are not written again."""
+    schema = spark.createDataFrame([], SCHEMA).schema
+    places = [str(tmp_path / p) for p in ("table", "quarantine", "checkpoint")]
+    codes = spark.createDataFrame([("100", 0)], "carrier string, carrier_index int")
+    store = refresh.FeatureStore(str(tmp_path / "store"), None, codes, folders=8)
+
+    def deliver(rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        refresh.run_refresh(refresh.submitted_stream(spark, str(tmp_path / "in"), schema, 1), *places, ["seq"], store)
+
+    stamps = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "store/features").rglob("*.parquet")}
+    deliver([row(i, f"S{i % 6}", 1 + i % 20, i) for i in range(200)])
+    before = stamps()
+    deliver([row(i, "S3", 1 + i % 25, i) for i in range(300, 330)] + [row(3, "S3", 4, 3), row(999, "S4", 2, -1)])
+    after = stamps()
+    kept = set(before) & set(after)
+    assert kept and all(before[p] == after[p] for p in kept) and set(after) - set(before)
+    whole = build_features(spark.read.parquet(places[0]), None, codes)
+    got = store.read(spark).select(*whole.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.collect())) and got.count() > 60
 
 
 def test_late_rows_arrive_whatever_their_time(spark, tmp_path):

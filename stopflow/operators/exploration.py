@@ -183,7 +183,7 @@ def flag_effect(features: DataFrame) -> DataFrame:
 
 
 def lag_correlation(features: DataFrame) -> DataFrame:
-    """Pearson correlation of the count with each lag feature, in one pass."""
+    """Pearson correlation of the count with each lag feature, in one pass; a gap leaves out that pair only."""
     inputs = ["lag1", "lag7", "mean7", "std7"]
     wide = features.agg(*[F.corr("n", c).alias(c) for c in inputs])
     return wide.unpivot([], inputs, "feature", "correlation")

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFILE_NAMES_K5
 from stopflow.functions.dates import is_weekend
+from stopflow.functions.gram import gram
 from stopflow.functions.numeric import half_even, ratio_or_zero
 from stopflow.session import join_lookup
 
@@ -90,12 +89,9 @@ def hierarchical(vectors: DataFrame, k: int, seed: int = DEFAULTS.seed) -> DataF
 
 def pca2(vectors: DataFrame) -> tuple[DataFrame, list[float]]:
     """Two principal components and their shares of the variance; the largest loading is positive."""
-    model = PCA(k=2, inputCol="vector", outputCol="components").fit(vectors)
-    loadings = model.pc.toArray()
-    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), range(2)])
-    parts = vector_to_array("components")
-    out = model.transform(vectors).withColumns({f"pca{i + 1}": parts[i] * float(signs[i]) for i in range(2)})
-    return out.drop("components"), [float(v) for v in model.explainedVariance]
+    loadings, shares = gram(vectors, SCALED).components(2)
+    along = lambda i: sum((F.col(c) * F.lit(float(v)) for c, v in zip(SCALED, loadings[:, i], strict=True)), F.lit(0.0))
+    return vectors.withColumns({f"pca{i + 1}": along(i) for i in range(2)}), shares.tolist()
 
 
 # -- quality -----------------------------------------------------------------

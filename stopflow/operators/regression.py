@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, FEATURES, Settings
+from stopflow.functions.gram import gram
 from stopflow.functions.numeric import half_even
 from stopflow.functions.quantiles import exact_quantiles
 from stopflow.operators.histogram_trees import BinnedTable, Boosting, Forest, TreeModel
@@ -59,20 +61,40 @@ def impute(train: DataFrame, test: DataFrame, columns: list[str] = FEATURES) ->
     return numeric(train).fillna(known), numeric(test).fillna(known)
 
 
+@dataclass(frozen=True)
+class Linear:
+    """Least squares from sums of products; the fit itself has as many numbers as features."""
+
+    def fit(self, train: DataFrame, columns: list[str]) -> LinearModel:
+        coefficients, intercept = gram(train, [*columns, TARGET]).least_squares(TARGET)
+        return LinearModel(columns, coefficients.tolist(), intercept)
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    features: list[str]
+    coefficients: list[float]
+    intercept: float
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        terms = (F.col(c).cast("double") * F.lit(v) for c, v in zip(self.features, self.coefficients, strict=True))
+        return rows.withColumn("prediction", sum(terms, F.lit(self.intercept)))
+
+
 def estimators(settings: Settings = DEFAULTS, forest_trees: int = 100, forest_depth: int = 15, rounds: int = 300) -> dict:
     """The four candidate models. Sizes are parameters; the defaults are the published ones."""
     common = {"featuresCol": "vector", "labelCol": TARGET}
     return {
-        "linear": LinearRegression(solver="normal", regParam=0.0, **common),
+        "linear": Linear(),
         "tree": DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=5, maxBins=128, seed=settings.seed, maxMemoryInMB=1024, **common),
         "forest": Forest(trees=forest_trees, depth=forest_depth, least=3, seed=settings.seed),
         "boosted": Boosting(rounds=rounds, depth=6, rate=0.05, row_share=0.8, column_share=0.8, seed=settings.seed),
     }
 
 
-def fit_model(train: DataFrame, estimator, columns: list[str] = FEATURES, table: BinnedTable | None = None) -> PipelineModel | TreeModel:
+def fit_model(train: DataFrame, estimator, columns: list[str] = FEATURES, table: BinnedTable | None = None) -> PipelineModel | TreeModel | LinearModel:
     """Fit one model. Ensembles use the binned table, made for this fit if none is given;
-    others are put after an assembler, in one pipeline that can be saved and reloaded as a unit."""
+    Spark's own estimators are put after an assembler, in one pipeline that can be saved and reloaded as a unit."""
     if isinstance(estimator, (Forest, Boosting)):
         own = table or BinnedTable(train, columns, TARGET)
         try:
@@ -80,6 +102,8 @@ def fit_model(train: DataFrame, estimator, columns: list[str] = FEATURES, table:
         finally:
             if table is None:
                 own.release()
+    if isinstance(estimator, Linear):
+        return estimator.fit(train, columns)
     assembler = VectorAssembler(inputCols=columns, outputCol="vector")
     return Pipeline(stages=[assembler, estimator]).fit(train)
 
@@ -145,11 +169,10 @@ def compare_fitted(train: DataFrame, test: DataFrame, fitted: dict, settings: Se
     return table.withColumn("selected", F.coalesce((F.col("model") == best) & (any_sound == 1), F.lit(False)))
 
 
-def linear_coefficients(model: PipelineModel, columns: list[str] = FEATURES) -> DataFrame:
+def linear_coefficients(model: LinearModel) -> DataFrame:
     from pyspark.sql import SparkSession
 
-    linear = model.stages[-1]
-    rows = [(c, float(v)) for c, v in zip(columns, linear.coefficients)] + [("intercept", float(linear.intercept))]
+    rows = [*zip(model.features, model.coefficients, strict=True), ("intercept", model.intercept)]
     return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
 
 
@@ -176,7 +199,7 @@ def impurity_importance(models: dict[str, PipelineModel | TreeModel], columns: l
     for name, model in models.items():
         if isinstance(model, TreeModel):
             rows += [(name, c, v) for c, v in model.importances().items()]
-        elif hasattr(model.stages[-1], "featureImportances"):
+        elif isinstance(model, PipelineModel) and hasattr(model.stages[-1], "featureImportances"):
             rows += [(name, c, float(v)) for c, v in zip(columns, model.stages[-1].featureImportances.toArray(), strict=True)]
     return SparkSession.active().createDataFrame(rows, "model string, feature string, importance double")
 

@@ -554,6 +554,59 @@ QUERIES["impute_train_median"] = sql(
     + """]) AS median FROM feat WHERE day < (SELECT day FROM (SELECT day, row_number() OVER (ORDER BY day) AS p, count(*) OVER () AS c
     FROM (SELECT DISTINCT day FROM feat)) WHERE p = floor(c * 0.8) + 1))""",
 )
+def _products(columns: list[str], source: str) -> str:
+    """Rows of the matrix of sums of products of columns, as a list of lists."""
+    return "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in columns) + "]" for a in columns) + f"]::DOUBLE[][] AS m FROM {source}"
+
+
+#: Least squares: centred sums of products, then elimination, a column a round.
+_X = [f"x{i}" for i in range(len(_F))]
+QUERIES["linear_model"] = sql(
+    "feat",
+    "SELECT 1",
+).removesuffix("\nSELECT 1").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+cut AS (SELECT day AS cut FROM (SELECT day, row_number() OVER (ORDER BY day) AS p, count(*) OVER () AS c FROM (SELECT DISTINCT day FROM feat)) WHERE p = floor(c * 0.8) + 1),
+filled AS (SELECT {", ".join(f"coalesce(CAST({c} AS DOUBLE), CAST(median(CAST({c} AS DOUBLE)) OVER () AS DOUBLE)) AS {x}" for x, c in zip(_X, _F))}, CAST(n AS DOUBLE) AS y
+  FROM feat, cut WHERE day < cut),
+centred AS (SELECT {", ".join(f"{x} - avg({x}) OVER () AS {x}" for x in [*_X, "y"])} FROM filled),
+gram AS (SELECT {_products([*_X, "y"], "centred")}),
+solved AS (
+  SELECT 1 AS k, m FROM gram
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda a, i: CASE WHEN i = k THEN list_transform(a, lambda v: v / a[k])
+    ELSE list_transform(a, lambda v, j: v - a[k] / m[k][k] * m[k][j]) END)
+  FROM solved WHERE k <= {len(_F)}
+),
+answer AS (SELECT list_transform(m[1:{len(_F)}], lambda a: a[{len(_F) + 1}]) AS b FROM solved WHERE k = {len(_F) + 1}),
+means AS (SELECT [{", ".join(f"avg({x})" for x in _X)}] AS x, avg(y) AS y FROM filled)
+SELECT feature, round(coefficient, 6) + 0.0 AS coefficient FROM (
+  SELECT unnest([{", ".join(f"'{c}'" for c in _F)}, 'intercept']) AS feature, unnest(list_append(b, y - list_inner_product(b, x))) AS coefficient FROM answer, means)"""
+
+#: Two components: squaring the matrix leaves the direction of greatest variance; taken out, squaring gives the next.
+_S = [f"{c}_scaled" for c in PROFILE_MEASURES]
+
+
+def _squared(name: str, start: str) -> str:
+    entry = "list_transform(m, lambda q: list_inner_product(p, q) / size)"
+    size = "list_sum(list_transform(m, lambda p: list_inner_product(p, p)))"
+    return f"""{name}_powers AS (
+  SELECT 1 AS k, m FROM {start}
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda p: {entry}) FROM (SELECT k, m, {size} AS size FROM {name}_powers WHERE k <= 30)
+),
+{name} AS (SELECT list_transform(a, lambda x: x / sqrt(list_inner_product(a, a))) AS v FROM (
+  SELECT m[list_position(d, list_max(d))] AS a FROM (SELECT m, list_transform(m, lambda p, i: p[i]) AS d FROM {name}_powers WHERE k = 31)))"""
+
+
+QUERIES["pca2"] = sql("scaled", "SELECT 1").removesuffix("\nSELECT 1").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+gram AS (SELECT {_products([f"({c} - mean_{c})" for c in _S], "scaled, (SELECT " + ", ".join(f"avg({c}) AS mean_{c}" for c in _S) + " FROM scaled)")}),
+{_squared("first", "gram")},
+one AS (SELECT v, list_inner_product(v, list_transform(m, lambda p: list_inner_product(p, v))) AS l, list_sum(list_transform(m, lambda p, i: p[i])) AS total FROM first, gram),
+rest AS (SELECT list_transform(m, lambda p, i: list_transform(p, lambda x, j: x - l * v[i] * v[j])) AS m FROM gram, one),
+{_squared("second", "rest")},
+two AS (SELECT v, list_inner_product(v, list_transform(m, lambda p: list_inner_product(p, v))) AS l FROM second, gram)
+SELECT stop, {r("list_inner_product(x, one.v)")} AS pca1, {r("list_inner_product(x, two.v)")} AS pca2, {r("one.l / total")} AS share1, {r("two.l / total")} AS share2
+FROM (SELECT stop, [{", ".join(_S)}] AS x FROM scaled), one, two"""
 QUERIES["short_term_features"] = sql(
     "looked cal codes",
     f"""SELECT l.stop, l.day, CAST(isodow(l.day) - 1 AS INTEGER) AS weekday, isodow(l.day) >= 6 AS is_weekend, CAST(month(l.day) AS INTEGER) AS month,

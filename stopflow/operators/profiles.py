@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -14,6 +12,7 @@ from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFIL
 from stopflow.functions.dates import is_weekend
 from stopflow.functions.gram import gram
 from stopflow.functions.numeric import half_even, ratio_or_zero
+from stopflow.operators.centres import Centres, best_centres
 from stopflow.session import join_lookup
 
 SCALED = [f"{c}_scaled" for c in PROFILE_MEASURES]
@@ -64,15 +63,9 @@ def with_vector(scaled: DataFrame) -> DataFrame:
 # -- k-means -----------------------------------------------------------------
 
 
-def best_kmeans(vectors: DataFrame, k: int, restarts: int = DEFAULTS.kmeans_restarts, seed: int = DEFAULTS.seed) -> KMeansModel:
-    """The cheapest of several k-means runs, fitted side by side."""
-
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol="vector", predictionCol="cluster", maxIter=50).fit(vectors)
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        models = list(pool.map(fit, range(restarts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def best_kmeans(vectors: DataFrame, k: int, restarts: int = DEFAULTS.kmeans_restarts, seed: int = DEFAULTS.seed) -> Centres:
+    """The cheapest of several k-means runs."""
+    return best_centres(vectors, SCALED, [k], restarts, seed)[k]
 
 
 def hierarchical(vectors: DataFrame, k: int, seed: int = DEFAULTS.seed) -> DataFrame:
@@ -176,10 +169,12 @@ def choose_k(vectors: DataFrame, ks=range(2, 11), restarts: int = DEFAULTS.kmean
     """Quality for each k, with the best k by each criterion marked."""
     vectors = vectors.persist()
     spark = vectors.sparkSession
+    best = best_centres(vectors, SCALED, list(ks), restarts, DEFAULTS.seed)
     rows = []
     for k in ks:
-        quality = cluster_quality(best_kmeans(vectors, k, restarts).transform(vectors)).first()
+        quality = cluster_quality(best[k].transform(vectors)).first()
         rows.append((k, quality["inertia"], quality["silhouette"], quality["davies_bouldin"], quality["calinski_harabasz"]))
+    vectors.unpersist()
     table = spark.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")
     everything = Window.partitionBy()
     return table.withColumns(
@@ -276,11 +271,11 @@ def similar_stops(labelled: DataFrame, k: int = 5) -> DataFrame:
     return joined.select("stop", "cluster", F.posexplode(others).alias("rank", "similar_stop")).withColumn("rank", F.col("rank") + 1)
 
 
-def assign_cluster(requests: DataFrame, labelled: DataFrame, new_profiles: DataFrame, scale: DataFrame, model: KMeansModel) -> DataFrame:
+def assign_cluster(requests: DataFrame, labelled: DataFrame, new_profiles: DataFrame, scale: DataFrame, model: Centres) -> DataFrame:
     """Stored label for a known stop; for another, its scaled profile's nearest centre."""
     known = labelled.select("stop", "cluster", "profile")
     fresh = new_profiles.join(known, "stop", "left_anti")
-    predicted = model.transform(with_vector(standardize(fresh, scale))).select(
+    predicted = model.transform(standardize(fresh, scale)).select(
         "stop", "cluster", F.concat(F.lit("Cluster "), F.col("cluster")).alias("profile")
     )
     return join_lookup(requests, known.unionByName(predicted), "stop")

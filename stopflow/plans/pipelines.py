@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, Settings
 from stopflow.operators import anomaly, cleaning, density, features, profiles, regression
+from stopflow.operators.centres import best_centres
 from stopflow.session import materialize, spread
 from stopflow.sources import readers, sinks
 
@@ -37,9 +38,9 @@ def isolation_labels(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[D
 def segment_stops(vectors: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Two- and five-way segmentation with named clusters."""
     out = vectors.persist()
+    best = best_centres(vectors, profiles.SCALED, [2, 5], settings.kmeans_restarts, settings.seed)
     for k, name in ((2, profiles.name_two), (5, profiles.name_five)):
-        model = profiles.best_kmeans(vectors, k, settings.kmeans_restarts, settings.seed)
-        labelled = model.transform(vectors)
+        labelled = best[k].transform(vectors)
         named = profiles.map_labels(labelled, name(labelled)).select(
             "stop", F.col("cluster").alias(f"cluster_k{k}"), F.col("profile").alias(f"profile_k{k}")
         )

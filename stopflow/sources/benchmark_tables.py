@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopflow.config import RAW_HEADER, UNDEFINED
-from stopflow.session import materialize
 from stopflow.sources.sinks import write_raw
 
 
@@ -162,11 +161,9 @@ def write_quarter_files(spark: SparkSession, folder: str, target: str) -> dict[s
     quarter = F.quarter(F.coalesce(F.try_to_date("day", "yyyy-MM-dd"), F.lit("1999-12-31").cast("date")))
     names = list(RAW_HEADER)
     swapped = [*names[:4], "LIBELLE_ARRET", "ID_ZDC", *names[6:]]
-    renamed = rows.select("seq", quarter.alias("quarter"), *[F.col(b).alias(a) for a, b in RAW_HEADER.items()])
-    renamed = materialize(renamed, "submissions")
+    renamed = rows.select(quarter.alias("quarter"), *[F.col(b).alias(a) for a, b in RAW_HEADER.items()])
     paths = {}
-    for number in range(1, 5):
-        order = names if number % 2 else swapped
-        paths[f"T{number}"] = f"{target}/T{number}"
-        write_raw(renamed.where(F.col("quarter") == number).select(*order), paths[f"T{number}"])
-    return paths
+    for kind, numbers, order in (("plain", (1, 3), names), ("swapped", (2, 4), swapped)):
+        write_raw(renamed.where(F.col("quarter").isin(*numbers)).select("quarter", *order), f"{target}/{kind}", "quarter")
+        paths.update({f"T{number}": f"{target}/{kind}/quarter={number}" for number in numbers})
+    return dict(sorted(paths.items()))

@@ -27,9 +27,9 @@ def publish_features(features: DataFrame, path: str) -> None:
     features.select(*write_columns).write.mode("overwrite").parquet(path)
 
 
-def write_raw(rows: DataFrame, path: str) -> None:
-    """Semicolon text with a header, spaces kept as they are."""
-    rows.write.csv(path, sep=";", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+def write_raw(rows: DataFrame, path: str, *folders: str) -> None:
+    """Semicolon text with a header, spaces kept as they are, in folders by the given columns."""
+    rows.write.partitionBy(*folders).csv(path, sep=";", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def append_rows(rows: DataFrame, path: str) -> None:

@@ -57,6 +57,20 @@ def test_missing_column_is_refused(spark, tmp_path):
     path.write_text("JOUR;NB_VALD\n2025-01-01;3\n", encoding="utf-8")
     with pytest.raises(readers.MissingColumns):
         readers.read_raw_file(spark, str(path))
+    with pytest.raises(readers.MissingColumns):
+        readers.read_raw_files(spark, {"T1": str(path)})
+
+
+def test_files_of_one_order_are_one_scan(spark, quarters, tmp_path):
+    """Four files in two orders; folders of several files and names with blanks belong to their source."""
+    folder = tmp_path / "a b" / "T5"
+    folder.mkdir(parents=True)
+    for i in range(3):
+        (folder / f"part {i}.csv").write_text(f"{RIGHT}\n2025-01-0{i + 1};100;110;1;71;X{i};Imagine R;5\n", encoding="utf-8")
+    df = readers.read_raw_files(spark, {**quarters, "T5": str(folder)})
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    assert rows(df.where("source = 'T5'"), "stop") == [("X0",), ("X1",), ("X2",)]
+    assert df.where("source IS NULL").count() == 0 and df.count() == 10
 
 
 def test_strict_dates_raise(spark):

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stopflow.config import PROFILE_MEASURES, PROFILE_NAMES_K5
+from stopflow.operators import centres as centres_module
 from stopflow.operators import density, profiles
+from stopflow.operators.centres import best_centres
 from tests.test_features import days, validations
 
 from stopflow.operators.features import daily_counts
@@ -124,8 +126,25 @@ def test_hierarchy_reaches_k(spark):
 
 def test_more_clusters_never_cost_more(spark):
     df = profiles.with_vector(random_profiles(spark).drop("cluster")).persist()
-    costs = [profiles.best_kmeans(df, k, restarts=4).summary.trainingCost for k in (2, 3, 4)]
-    assert costs[0] >= costs[1] >= costs[2]
+    best = best_centres(df, profiles.SCALED, [2, 3, 4], 4, 1)
+    assert best[2].cost >= best[3].cost >= best[4].cost
+    for k, centres in best.items():
+        rows = centres.transform(df).collect()
+        x, label = np.array([[r[c] for c in profiles.SCALED] for r in rows]), np.array([r["cluster"] for r in rows])
+        distances = ((x[:, None] - centres.points[None]) ** 2).sum(axis=2)
+        assert (label == distances.argmin(axis=1)).all() and set(label) == set(range(k))
+        assert centres.cost == pytest.approx(distances.min(axis=1).sum())
+        # Every centre is the mean of its rows: no set stopped before it came to rest.
+        assert np.allclose(centres.points, [x[label == i].mean(axis=0) for i in range(k)], atol=1e-3)
+
+
+def test_starts_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(centres_module, "SAMPLE", 20)
+    df = random_profiles(spark, 200).drop("cluster")
+    a, b = (best_centres(df.repartition(n), profiles.SCALED, [3], 2, 7)[3] for n in (1, 5))
+    assert np.allclose(a.points, b.points)
+    same = best_centres(df.limit(1).unionByName(df.limit(1)), profiles.SCALED, [2], 1, 0)[2]
+    assert same.cost == 0
 
 
 def test_standardized_columns_have_unit_population_variance(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopflow.session import scratch_path
@@ -49,6 +49,12 @@ def map_batches(df: DataFrame, schema: list[tuple[str, str]], start: Callable) -
     return df.mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in schema))
 
 
+def hidden(docs: DataFrame, *used: str) -> tuple[DataFrame, dict[str, Column]]:
+    """docs with all columns but those used under names that clash with nothing, and by name what gives them back."""
+    inner = [c if c in used else f"_caller_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*inner), {c: F.col(name).alias(c) for c, name in zip(docs.columns, inner, strict=True)}
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

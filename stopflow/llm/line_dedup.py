@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.llm.common import Stored, map_batches
+from stopflow.llm.common import Stored, hidden, map_batches
 
 LEAST_DOCUMENTS, LEAST_CHARS = 10, 1
 SLOTS = 4
@@ -253,19 +253,29 @@ class LineIndex:
     def apply(self, docs: DataFrame) -> DataFrame:
         """Each row of docs with n_lines, n_dropped and `kept`, its text without the frequent lines.
 
-        All columns of docs stay; a null text is one empty line and stays empty.
+        All columns of docs stay, but those called like one of the three; a null text is one empty line and stays empty.
         """
-        keyed = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+        worked, own = self._worked(docs)
+        outputs = {
+            "n_lines": F.size("_all").cast("long"),
+            "n_dropped": F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long"),
+            "kept": F.col("_kept"),
+        }
+        return worked.select(*[c for name, c in own.items() if name not in outputs], *[c.alias(name) for name, c in outputs.items()])
+
+    def replaced(self, docs: DataFrame) -> DataFrame:
+        """docs, all columns whatever their names, with the frequent lines taken out of `text`."""
+        worked, own = self._worked(docs)
+        return worked.select(*[F.col("_kept").alias("text") if name == "text" else c for name, c in own.items()])
+
+    def _worked(self, docs: DataFrame) -> tuple[DataFrame, dict]:
+        plain, own = hidden(docs, "text")
+        keyed = plain.withColumn("_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
         dropped = self.dropped_lines(docs).select(F.col("digest").alias("_digest"), F.col("lines").alias("_lines"))
-        lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-        joined = keyed.join(dropped, "_digest", "left").withColumn("_all", lines)
+        joined = keyed.join(dropped, "_digest", "left").withColumn("_all", F.split(F.coalesce("text", F.lit("")), "\n", -1))
         kept = F.filter("_all", lambda line, i: ~F.array_contains("_lines", i))
-        return joined.select(
-            *docs.columns,
-            F.size("_all").cast("long").alias("n_lines"),
-            F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_dropped"),
-            F.when(F.col("_lines").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept"),
-        )
+        text = F.when(F.col("_lines").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
+        return joined.withColumn("_kept", text), own
 
 
 def text_digest(text: str | None) -> bytes:
@@ -275,3 +285,8 @@ def text_digest(text: str | None) -> bytes:
 def drop_frequent_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """Index these documents and take out the lines that at least `least` of them have; see LineIndex."""
     return LineIndex.build(docs, least, least_chars).apply(docs)
+
+
+def without_frequent_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """docs with the lines that at least `least` of them have taken out of their texts; all other columns stay as they are."""
+    return LineIndex.build(docs, least, least_chars).replaced(docs)

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.llm.common import Stored
+from stopflow.llm.common import Stored, hidden
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, written so that a run of characters is scanned once: possessive, and never begun inside a run.
@@ -280,12 +280,16 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every span of the text replaced by its kind in brackets; overlapping spans become one."""
+    """docs with every span of `text` replaced by its kind in brackets; overlapping spans become one.
+
+    All other columns stay as they are, whatever their names; a null text stays null.
+    """
     plain = docs.select("doc_id", "text")
     found = Stored(with_candidates(plain).drop("text"), "pii")
     model = train(found.df)
     found.remove()
-    marked = with_spans(with_candidates(docs), model)
+    inner, own = hidden(docs, "doc_id", "text")
+    marked = with_spans(with_candidates(inner), model)
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -294,4 +298,5 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(state["pos"], span["end"]).alias("pos"), F.when(begins, more).otherwise(state["out"]).alias("out"))
 
     done = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["pos"] + 1, F.length("text"))))
-    return marked.withColumn("_redacted", F.when(F.size("_spans") > 0, done).otherwise(F.col("text"))).drop("_base", "_candidates", "_spans")
+    text = F.when(F.size("_spans") > 0, done).otherwise(F.col("text")).alias("text")
+    return marked.select(*[text if name == "text" else column for name, column in own.items()])

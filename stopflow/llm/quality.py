@@ -206,10 +206,14 @@ def train(described: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     Labels other than 0 and 1, and repeated ids with both labels, are left out.
     """
     clean = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("_m")).where("y = _m")
-    chosen = (
-        described.where(~held_out()).join(clean.select("doc_id", "y"), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("x", "y").collect()
-    )
+    usable = described.where(~held_out()).join(clean.select("doc_id", "y"), "doc_id").withColumn("_hash", F.xxhash64("doc_id"))
+    total, share, chosen = usable.count(), 0.0, []
+    # Hashes below a bound are asked for, so that no more than about `rows` leave all tasks together.
+    while len(chosen) < min(rows, total):
+        share = min(1.0, max(2 * share, (rows + 6 * rows**0.5) / total))
+        bound = min(int(share * 2**64) - 2**63, 2**63 - 1)
+        chosen = usable.where(F.col("_hash") <= bound).select("_hash", "doc_id", "x", "y").collect()
+    chosen = sorted(chosen, key=lambda row: (row["_hash"], row["doc_id"]))[:rows]
     return fit(np.array([row["x"] for row in chosen]).reshape(-1, len(FEATURES)), np.array([float(row["y"]) for row in chosen]))
 
 

@@ -1,7 +1,10 @@
 """A training-data pipeline over `documents`: classify, deduplicate, redact, pack.
 
 Each stage reads what its predecessor kept and writes it as Parquet; all but the
-last return the columns of `documents`.
+last return the columns of `documents`, whatever else is among them. A null text
+scores like an empty one, becomes empty where lines are taken out, and is packed
+as one piece of one token; repeated rows stay until near copies go, of which the
+row of the smallest id stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,11 +16,9 @@ from stopflow.llm import line_dedup, ngram_join, packing, pii, quality
 from stopflow.llm.common import Stored, table
 
 
-def _renewed(docs: DataFrame, text: str) -> DataFrame:
-    """docs with the column `text` replaced and n_chars following it."""
-    columns = [c for c in docs.columns if c != text]
-    new = docs.select(*[F.col(text).alias("text") if c == "text" else F.col(c) for c in columns])
-    return new.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else new
+def _counted(docs: DataFrame) -> DataFrame:
+    """docs with n_chars, where there is such a column, following the text."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +28,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share go from all of them."""
-    done = line_dedup.drop_frequent_lines(docs)
-    return _renewed(done.drop("n_lines", "n_dropped"), "kept")
+    return _counted(line_dedup.without_frequent_lines(docs))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to the names of their kinds."""
-    return _renewed(pii.redact(docs), "_redacted")
+    return _counted(pii.redact(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +54,16 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: SQL can express neither the classifier nor the packing; tests compare with brute force.
+#: SQL can express neither the classifier nor the packing; tests compare every stage with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = Stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower()).df
-    return STAGES[-1][1](spark, docs, sf_dir)
+    before = None
+    for name, stage in STAGES:
+        stored = Stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        if before is not None:
+            before.remove()
+        docs, before = stored.df, stored
+    return docs

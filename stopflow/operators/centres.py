@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows from which starting centres are drawn, and the parts of the hash range that choose them.
 SAMPLE, PARTS = 4096, 1 << 20
+#: Rows worth a task of their own, and the tasks whose sums the driver adds up without a shuffle.
+TASK, FEW = 1 << 16, 16
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,24 @@ def _spread_out(sample: np.ndarray, k: int, random: np.random.Generator) -> np.n
     return np.array(chosen)
 
 
-def _sums(rows: DataFrame, columns: list[str], sets: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+def _moved(points: np.ndarray, sizes: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The means of the centres' rows; a centre without rows stays."""
+    return np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], points)
+
+
+def _settled(sample: np.ndarray, points: np.ndarray, iterations: int) -> np.ndarray:
+    """Centres moved on the sample until they rest, to begin near where they will end."""
+    for _ in range(iterations):
+        nearest = _distances(sample, points).argmin(axis=1)
+        sizes = np.bincount(nearest, minlength=len(points)).astype(float)
+        sums = np.column_stack([np.bincount(nearest, weights=v, minlength=len(points)) for v in sample.T])
+        before, points = points, _moved(points, sizes, sums)
+        if np.array_equal(before, points):
+            break
+    return points
+
+
+def _sums(rows: DataFrame, columns: list[str], tasks: int, sets: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """For each set the rows and coordinate sums by centre, and the cost."""
     names = ["set", "centre", "rows", "cost", *[f"s{i}" for i in range(len(columns))]]
 
@@ -70,12 +89,14 @@ def _sums(rows: DataFrame, columns: list[str], sets: dict[int, np.ndarray]) -> d
         out = np.array([(number, centre, *line) for number, lines in held.items() for centre, line in enumerate(lines)]).reshape(-1, len(names))
         yield pa.RecordBatch.from_arrays([pa.array(column) for column in out.T], names=names)
 
-    parts = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(run, ", ".join(f"`{n}` double" for n in names))
-    lines = parts.groupBy("set", "centre").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect()
+    parts = rows.mapInArrow(run, ", ".join(f"`{n}` double" for n in names))
+    if tasks > FEW:
+        parts = parts.groupBy("set", "centre").agg(*[F.sum(n).alias(n) for n in names[2:]])
     found = {number: (np.zeros(len(p)), np.zeros(p.shape), 0.0) for number, p in sets.items()}
-    for number, centre, count, cost, *coordinates in lines:
+    for number, centre, count, cost, *coordinates in parts.collect():
         sizes, sums, before = found[int(number)]
-        sizes[int(centre)], sums[int(centre)] = count, coordinates
+        sizes[int(centre)] += count
+        sums[int(centre)] += coordinates
         found[int(number)] = sizes, sums, before + cost
     return found
 
@@ -83,27 +104,30 @@ def _sums(rows: DataFrame, columns: list[str], sets: dict[int, np.ndarray]) -> d
 def best_centres(rows: DataFrame, columns: list[str], ks: list[int], restarts: int, seed: int, key: str = "stop", iterations: int = 50, still: float = 1e-4) -> dict[int, Centres]:
     """For each k the cheapest of `restarts` runs.
 
-    Starts are drawn from rows chosen by a hash of the key, about SAMPLE of them; everything after looks at all rows.
+    Starts are drawn from rows chosen by a hash of the key, about SAMPLE of them, and settled among these; everything after looks at all rows.
     """
     total = max(rows.count(), 1)
     chosen = F.pmod(F.xxhash64(key), F.lit(PARTS)) < min(PARTS, -(-SAMPLE * PARTS // total))
     sample = np.array([list(r) for r in rows.where(chosen).orderBy(key).select(*columns).collect()], dtype=float).reshape(-1, len(columns))
     if not len(sample):
         raise ValueError("no rows to cluster")
+    tasks = -(-total // TASK)
+    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).coalesce(tasks).persist()
     plan = [(k, restart) for k in ks for restart in range(restarts)]
-    sets = {i: _spread_out(sample, k, np.random.default_rng([seed, k, restart])) for i, (k, restart) in enumerate(plan)}
+    sets = {i: _settled(sample, _spread_out(sample, k, np.random.default_rng([seed, k, restart])), iterations) for i, (k, restart) in enumerate(plan)}
     moving = set(sets)
     for _ in range(iterations):
         if not moving:
             break
-        for number, (sizes, sums, _) in _sums(rows, columns, {i: sets[i] for i in sorted(moving)}).items():
-            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], sets[number])
+        for number, (sizes, sums, _) in _sums(rows, columns, tasks, {i: sets[i] for i in sorted(moving)}).items():
+            new = _moved(sets[number], sizes, sums)
             if np.square(new - sets[number]).sum(axis=1).max() <= still**2:
                 moving.discard(number)
             sets[number] = new
     best: dict[int, Centres] = {}
-    for number, (_, _, cost) in _sums(rows, columns, sets).items():
+    for number, (_, _, cost) in _sums(rows, columns, tasks, sets).items():
         k = plan[number][0]
         if k not in best or cost < best[k].cost:
             best[k] = Centres(columns, sets[number], cost)
+    rows.unpersist()
     return best

@@ -244,6 +244,15 @@ def backtest_metrics(predicted: DataFrame) -> DataFrame:
     )
 
 
+def backtest_verdict(metrics: DataFrame, limit: float = 20.0) -> DataFrame:
+    """One row: stops measured, exact median MAPE over them, and whether it is under the limit (percent)."""
+    measured = metrics.where(F.col("mape").isNotNull())
+    median = exact_quantile(measured, "mape", 0.5)
+    return measured.agg(
+        F.count("*").alias("stops"), F.lit(median).cast("double").alias("median_mape"), (F.lit(median).cast("double") < limit).alias("good")
+    )
+
+
 def hold_out(history: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Everything but the last rows of each stop, and those rows."""
     newest = Window.partitionBy("stop").orderBy(F.desc("day"))

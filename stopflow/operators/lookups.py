@@ -119,6 +119,12 @@ def answer(requests: DataFrame, features: DataFrame) -> DataFrame:
     return join_lookup(requests, features, ["stop", "day"])
 
 
+def with_status(answered: DataFrame, figure: str) -> DataFrame:
+    """Requests with their answers and why there is none: every request keeps its row."""
+    reason = F.when(F.col("stop").isNull(), F.lit("stop missing")).when(F.col("day").isNull(), F.lit("day missing"))
+    return answered.withColumn("status", F.coalesce(reason, F.when(F.col(figure).isNull(), F.lit("unknown stop")), F.lit("ok")))
+
+
 def score_against_history(observed: DataFrame, moments: DataFrame) -> DataFrame:
     """Observed counts with the stop's mean, z-score, share of its maximum and a status.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from stopflow.operators import (
     regression,
 )
 from stopflow.operators.histogram_trees import TreeModel
-from stopflow.plans import pipelines
+from stopflow.operators.centres import Centres
+from stopflow.plans import artefacts, pipelines
 from stopflow.session import materialize, scratch_path, spread
 from stopflow.sources import benchmark_tables as tables
 from stopflow.sources import readers, sinks
@@ -215,6 +217,17 @@ def run_metrics_table(spark, folder):
     return tidy(spark.read.parquet(path).select("run", "model", "kind", "name", metric.alias("metric"), param.alias("param")))
 
 
+@query
+def training_runs(spark, folder):
+    """The runs that all trainings leave: four models, two segmentations, the forest."""
+    path = scratch_path(spark, "runs")
+    pipelines.record_comparison(regression.compare_fitted(*_sides(spark, folder), _models(spark, folder, *regression.estimators())), path, {"share": DEFAULTS.train_share})
+    vectors = _vectors(spark, folder)
+    pipelines.segment_stops(vectors, runs=path).count()
+    pipelines.isolation_labels(_features(spark, folder), runs=path)
+    return tidy(spark.read.parquet(path).select("run", "model", "kind", "name", F.col("value").try_cast("double").alias("number"), "value"))
+
+
 @query
 def dataset_inventory(spark, folder):
     daily = _daily(spark, folder)
@@ -828,7 +841,7 @@ def predict_traffic(spark, folder):
     pairs = lookups.distinct_pairs(wanted)
     inputs = lookups.request_features(pairs, _daily(spark, folder), _calendar(spark, folder), _codes(spark, folder))
     answers = regression.predict(model, inputs).select("stop", "day", "predicted", "confidence")
-    return lookups.answer(wanted, answers)
+    return lookups.with_status(lookups.answer(wanted, answers), "predicted")
 
 
 @query
@@ -849,6 +862,13 @@ def top_factors(spark, folder):
     return tidy(regression.top_factors(test, model.ensemble))
 
 
+@query
+def residuals(spark, folder):
+    """What the naive model, the count of seven rows earlier, leaves on the test side."""
+    _, test = _sides(spark, folder)
+    return tidy(regression.residuals(test.withColumn("prediction", F.col("lag7"))))
+
+
 @query
 def learning_curve(spark, folder):
     model, train, test = _fitted(spark, folder, "boosted")
@@ -861,6 +881,43 @@ def isolation_forest(spark, folder):
     return tidy(labelled.select("stop", "day", "n", "z", "norm", "gap", "score", "is_isolated"))
 
 
+#: A forest small enough to be written down; each node: input, threshold, left, right, path length.
+LITERAL_TREES = [
+    [(2, 1.5, 1, 2, 0.0), (-1, 0.0, -1, -1, 2.0), (0, 0.8, 3, 4, 0.0), (-1, 0.0, -1, -1, 1.5), (-1, 0.0, -1, -1, 1.0)],
+    [(1, 10.0, 1, 2, 0.0), (2, -1.0, 3, 4, 0.0), (-1, 0.0, -1, -1, 1.1), (-1, 0.0, -1, -1, 1.2), (-1, 0.0, -1, -1, 2.4)],
+]
+
+
+def _literal_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows labelled by the literal forest after it was stored and read back."""
+    table = anomaly.with_inputs(_features(spark, folder))
+    path = scratch_path(spark, "detector")
+    forest = artefacts.literal_forest(spark, LITERAL_TREES, 4, -0.55)
+    artefacts.Detector(forest, exploration.stop_moments(table)).save(path)
+    detector = artefacts.Detector.load(spark, path)
+    return detector.forest.label(detector.forest.score(table))
+
+
+@query
+def stored_detector(spark, folder):
+    return tidy(_literal_labels(spark, folder).select("stop", "day", "n", "score", "is_isolated"))
+
+
+@query
+def literal_detector_agreement(spark, folder):
+    return anomaly.detector_agreement(_literal_labels(spark, folder), 1.8)
+
+
+@query
+def literal_anomaly_summary(spark, folder):
+    return tidy(anomaly.anomaly_summary(_literal_labels(spark, folder), 1.8))
+
+
+@query
+def literal_lowest_scores(spark, folder):
+    return tidy(anomaly.lowest_scores(_literal_labels(spark, folder)).select("stop", "day", "score"))
+
+
 @query
 def detect_anomaly(spark, folder):
     table, forest = pipelines.isolation_labels(_features(spark, folder))
@@ -921,6 +978,24 @@ def assign_cluster(spark, folder):
     return profiles.assign_cluster(asked, named, fresh, profiles.scale_of(labelled), model)
 
 
+#: Two centres in scaled measures.
+LITERAL_CENTRES = [[0.5, 0.4, -0.2, 0.6, -0.3], [-0.6, -0.5, 0.3, -0.7, 0.2]]
+
+
+@query
+def stored_segments(spark, folder):
+    """Scaler, centres and labels stored and read back; all suppliers labelled anew by the nearest centre."""
+    known = profiles.stop_profile(_supplier_daily(spark, folder))
+    scale = profiles.scale_of(known)
+    centres = Centres(profiles.SCALED, np.array(LITERAL_CENTRES), 0.0)
+    labelled = centres.transform(profiles.standardize(known, scale)).withColumn("profile", F.concat(F.lit("Cluster "), F.col("cluster")))
+    path = scratch_path(spark, "segments")
+    artefacts.Segmentation(scale, centres, labelled).save(path)
+    again = artefacts.Segmentation.load(spark, path)
+    fresh = again.label(known).select("stop", "cluster")
+    return again.assign(known.select("stop"), known).select("stop", F.col("cluster").alias("stored_cluster"), "profile").join(fresh, "stop")
+
+
 @query
 def density_clusters(spark, folder):
     vectors = _vectors(spark, folder).drop("vector")
@@ -977,6 +1052,18 @@ def backtest_metrics(spark, folder):
     return tidy(forecast.backtest_metrics(test.join(last, "stop")))
 
 
+@query
+def backtest_verdict(spark, folder):
+    return tidy(forecast.backtest_verdict(backtest_metrics(spark, folder)))
+
+
+@query
+def forecast_refusals(spark, folder):
+    """Asked stops without a long-term forecast, and why; the bound on traffic lies amid these series."""
+    asked = _requests(spark, folder).select("stop").distinct()
+    return forecast.refusals(asked, _daily(spark, folder), replace(DEFAULTS, forecast_min_mean=37.0)).select("stop", "reason")
+
+
 @query
 def projection_check(spark, folder):
     daily = materialize(_daily(spark, folder), "daily")

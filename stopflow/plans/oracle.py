@@ -671,6 +671,47 @@ QUERIES["backtest_metrics"] = sql(
     SELECT stop, n, age, max(CASE WHEN age = 31 THEN n END) OVER (PARTITION BY stop) AS yhat
     FROM (SELECT *, row_number() OVER (PARTITION BY stop ORDER BY day DESC) AS age FROM sd)) WHERE age <= 30 GROUP BY stop""",
 )
+QUERIES["backtest_verdict"] = (
+    f"SELECT count(*) AS stops, {r('median(mape)')} AS median_mape, median(mape) < 20 AS good FROM ({QUERIES['backtest_metrics']}) WHERE mape IS NOT NULL"
+)
+QUERIES["forecast_refusals"] = sql(
+    "req per_stop",
+    """SELECT * FROM (SELECT stop, CASE WHEN days IS NULL THEN 'unknown stop' WHEN days < 180 THEN 'history too short' WHEN mean < 37 THEN 'traffic too low' END AS reason
+    FROM (SELECT DISTINCT stop FROM req) LEFT JOIN per_stop USING (stop)) WHERE reason IS NOT NULL""",
+)
+QUERIES["residuals"] = sql(
+    "feat",
+    f"""SELECT stop, day, CAST(n AS BIGINT) AS n, {r('lag7')} AS prediction, {r('n - lag7')} AS residual FROM feat
+    WHERE day >= (SELECT day FROM (SELECT day, row_number() OVER (ORDER BY day) AS p, count(*) OVER () AS c FROM (SELECT DISTINCT day FROM feat)) WHERE p = floor(c * 0.8) + 1)""",
+)
+
+#: The literal forest: lengths of both paths, their mean against that of an unsuccessful search among four.
+CTES["labelled"] = """SELECT *, score < -0.55 AS is_isolated FROM (SELECT *, -power(2, -((first_path + second_path) / 2) / (2 * (ln(3) + 0.5772156649015329) - 1.5)) AS score FROM (
+    SELECT *, CASE WHEN z <= 1.5 THEN 2.0 WHEN norm <= 0.8 THEN 1.5 ELSE 1.0 END::DOUBLE AS first_path,
+      CASE WHEN gap > 10 THEN 1.1 WHEN z <= -1 THEN 1.2 ELSE 2.4 END::DOUBLE AS second_path
+    FROM (SELECT *, CASE WHEN max(n) OVER (PARTITION BY stop) > 0 THEN n / max(n) OVER (PARTITION BY stop) ELSE 0 END AS norm, coalesce(n - mean7, 0) AS gap FROM z)))"""
+NEEDS["labelled"] = ["z"]
+QUERIES["stored_detector"] = sql("labelled", f"SELECT stop, day, n, {r('score')} AS score, is_isolated FROM labelled")
+QUERIES["literal_detector_agreement"] = sql(
+    "labelled",
+    """SELECT detector, count(*) AS rows FROM (SELECT CASE WHEN abs(z) > 1.8 AND is_isolated THEN 'both' WHEN abs(z) > 1.8 THEN 'z-score only'
+    WHEN is_isolated THEN 'forest only' END AS detector FROM labelled) WHERE detector IS NOT NULL GROUP BY detector""",
+)
+QUERIES["literal_anomaly_summary"] = sql(
+    "labelled",
+    f"""SELECT count(*) AS rows, count_if(is_isolated)::BIGINT AS isolated, count_if(abs(z) > 1.8)::BIGINT AS beyond_z, count_if(is_isolated AND abs(z) > 1.8)::BIGINT AS consensus,
+    {r('avg(is_weekend::INTEGER) FILTER (is_isolated) * 100')} AS weekend_pct, {r('avg(is_holiday::INTEGER) FILTER (is_isolated) * 100')} AS holiday_pct FROM labelled""",
+)
+QUERIES["literal_lowest_scores"] = sql("labelled", f"SELECT stop, day, {r('score')} AS score FROM labelled ORDER BY labelled.score, stop, day LIMIT 10")
+QUERIES["stored_segments"] = sql(
+    "scaled",
+    "SELECT stop, nearest AS stored_cluster, 'Cluster ' || nearest AS profile, nearest AS cluster FROM (SELECT stop, CASE WHEN "
+    + " <= ".join(
+        "(" + " + ".join(f"power({c}_scaled - ({x}), 2)" for c, x in zip(PROFILE_MEASURES, centre)) + ")"
+        for centre in ([0.5, 0.4, -0.2, 0.6, -0.3], [-0.6, -0.5, 0.3, -0.7, 0.2])
+    )
+    + " THEN 0 ELSE 1 END AS nearest FROM scaled)",
+)
 
 
 def _long(relation: str, columns: list[str], side: str, digits: int = 9) -> str:

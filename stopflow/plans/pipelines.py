@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, Settings
@@ -26,21 +26,33 @@ def prepare_features(spark: SparkSession, rows: DataFrame, calendar_path: str |
     return readers.read_features(spark, target)
 
 
-def isolation_labels(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, anomaly.IsolationForest]:
-    """Grow a forest on a feature table, score every row once, cut at the exact quantile."""
+def isolation_labels(table: DataFrame, settings: Settings = DEFAULTS, runs: str | None = None) -> tuple[DataFrame, anomaly.IsolationForest]:
+    """Grow a forest on a feature table, score every row once, cut at the exact quantile.
+
+    With `runs`, the training's run is added to that table; its figures are observed while the scores are written.
+    """
     inputs = materialize(anomaly.with_inputs(table), "inputs")
     forest = anomaly.grow_forest(inputs, ["stop", "day"], settings)
-    scored = materialize(forest.score(inputs), "scores")
+    seen = Observation("isolation")
+    beyond = F.count_if(F.abs("z") > settings.z_threshold)
+    scored = forest.score(inputs).observe(seen, F.count("*").alias("rows"), F.min("score").alias("lowest"), F.avg("score").alias("mean"), beyond.alias("beyond_z"))
+    scored = materialize(scored, "scores")
     anomaly.fit_threshold(forest, scored, settings.contamination)
+    if runs:
+        params = {"trees": settings.forest_trees, "sample": settings.forest_sample, "contamination": settings.contamination}
+        sinks.append_run(sinks.run_metrics(table.sparkSession, "isolation", "isolation forest", params, {**seen.get, "threshold": forest.threshold}), runs)
     return forest.label(scored), forest
 
 
-def segment_stops(vectors: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Two- and five-way segmentation with named clusters."""
+def segment_stops(vectors: DataFrame, settings: Settings = DEFAULTS, runs: str | None = None) -> DataFrame:
+    """Two- and five-way segmentation with named clusters; with `runs`, a run for each goes to that table."""
     out = vectors.persist()
     best = best_centres(vectors, profiles.SCALED, [2, 5], settings.kmeans_restarts, settings.seed)
     for k, name in ((2, profiles.name_two), (5, profiles.name_five)):
         labelled = best[k].transform(vectors)
+        if runs:
+            params = {"k": k, "restarts": settings.kmeans_restarts}
+            sinks.append_run(sinks.run_metrics(vectors.sparkSession, f"k-means-{k}", "k-means", params, {"cost": best[k].cost}), runs)
         named = profiles.map_labels(labelled, name(labelled)).select(
             "stop", F.col("cluster").alias(f"cluster_k{k}"), F.col("profile").alias(f"profile_k{k}")
         )
@@ -75,10 +87,23 @@ def training_sides(table: DataFrame, settings: Settings = DEFAULTS) -> tuple[Dat
     return train.persist(), test.persist()
 
 
-def train_traffic(table: DataFrame, settings: Settings = DEFAULTS, **sizes) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Split, impute, fit and compare the four short-term models."""
+def train_traffic(table: DataFrame, settings: Settings = DEFAULTS, runs: str | None = None, **sizes) -> tuple[DataFrame, dict]:
+    """Split, impute, fit and compare the four short-term models; with `runs`, a run for each goes to that table."""
     train, test = training_sides(table, settings)
-    return regression.compare_models(train, test, regression.estimators(settings, **sizes), settings)
+    comparison, fitted = regression.compare_models(train, test, regression.estimators(settings, **sizes), settings)
+    if runs:
+        record_comparison(comparison, runs, {"share": settings.train_share, **sizes})
+    train.unpersist()
+    test.unpersist()
+    return comparison, fitted
+
+
+def record_comparison(comparison: DataFrame, runs: str, params: dict) -> None:
+    """A run for each compared model, from the figures that were compared."""
+    for row in comparison.collect():  # four models
+        values = {name: row[name] for name in row.asDict() if isinstance(row[name], float)}
+        about = {**params, "status": row["status"], "selected": row["selected"]}
+        sinks.append_run(sinks.run_metrics(comparison.sparkSession, row["model"], row["model"], about, values), runs)
 
 
 def save_model(model: PipelineModel, codes: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from stopflow.functions import text
 from stopflow.functions.dates import date_parts, is_weekend, weekday_name
 from stopflow.functions.numeric import half_even, ratio_or_zero
 from stopflow.operators.cleaning import filter_defined
-from stopflow.session import join_lookup
+from stopflow.session import join_lookup, materialize
 
 CODES = ["carrier", "network", "stop_code", "zone_id"]
 COLUMNS = list(PUBLISHED_FEATURE_NAMES)
@@ -122,8 +122,12 @@ def build_features(
     are used to predict. `leak_free` uses the seven preceding rows and the
     previous day's congestion instead.
     """
-    codes = carrier_codes(filter_defined(rows)) if codes is None else codes
-    return features_of_days(stop_day(rows), calendar, codes, leak_free)
+    daily = stop_day(rows)
+    if codes is None:
+        # Stored, so that codes and features come from one scan of the raw rows.
+        daily = materialize(daily, "stop-day")
+        codes = carrier_codes(daily)
+    return features_of_days(daily, calendar, codes, leak_free)
 
 
 def features_of_days(daily: DataFrame, calendar: DataFrame | None, codes: DataFrame, leak_free: bool = False) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -12,8 +16,9 @@ from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFIL
 from stopflow.functions.dates import is_weekend
 from stopflow.functions.gram import gram
 from stopflow.functions.numeric import half_even, ratio_or_zero
+from stopflow.functions.ranks import ranked
 from stopflow.operators.centres import Centres, best_centres
-from stopflow.session import join_lookup
+from stopflow.session import join_lookup, materialize
 
 SCALED = [f"{c}_scaled" for c in PROFILE_MEASURES]
 QUALITY = "silhouette double, davies_bouldin double, calinski_harabasz double, inertia double"
@@ -120,25 +125,58 @@ def calinski_harabasz(labelled: DataFrame) -> DataFrame:
     return sums.select(value.alias("calinski_harabasz"))
 
 
+#: Centres that meet each other in one go.
+TILE = 512
+
+
 def davies_bouldin(labelled: DataFrame) -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / distance between centres.
 
-    The pairs are pairs of cluster centres, one row per cluster.
+    Centres are dealt to tiles of at most TILE; every pair of tiles is one row,
+    worked out in blocks, and only the worst value of each cluster goes on, so
+    no list of all clusters is ever formed. A pair of tiles whose boxes are so far
+    apart that it cannot beat what each cluster meets in its own tile is left out.
     """
     centers = _centers(labelled)
     spread = join_lookup(labelled, centers, "cluster", "inner").groupBy("cluster").agg(
         F.avg(F.sqrt(_squared_distance())).alias("spread"),
         *[F.first(f"{c}_center").alias(f"{c}_center") for c in SCALED],
     )
-    packed = spread.select(
-        "cluster", "spread", F.array(*[f"{c}_center" for c in SCALED]).alias("center")
-    )
-    other = F.collect_list(F.struct("cluster", "spread", "center")).over(Window.partitionBy())
-    worst = F.expr(
-        """array_max(transform(filter(others, o -> o.cluster <> cluster), o ->
-             (spread + o.spread) / sqrt(aggregate(zip_with(center, o.center, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v))))"""
+    # Neighbours in the first measure share a tile.
+    placed = ranked(spread, [f"{SCALED[0]}_center", "cluster"], "place").withColumn("tile", F.floor(F.col("place") / TILE))
+    center = F.array(*[f"{c}_center" for c in SCALED])
+    tiles = placed.groupBy("tile").agg(
+        F.collect_list(F.struct("cluster", "spread", center.alias("center"))).alias("members"),
+        F.max("spread").alias("widest"),
+        F.min(f"{SCALED[0]}_center").alias("low"),
+        F.max(f"{SCALED[0]}_center").alias("high"),
     )
-    return packed.withColumn("others", other).select(worst.alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+    tiles = materialize(tiles, "tiles")
+
+    def worst(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for here, there in zip(frame["members"], frame["others"], strict=True):
+                (i, s, x), (j, t, y) = ([np.array([m[k] for m in side]) for k in ("cluster", "spread", "center")] for side in (here, there))
+                x, y = np.stack(list(x)), np.stack(list(y))
+                distance = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    ratio = np.where(i[:, None] == j[None], -np.inf, (s[:, None] + t[None]) / distance)
+                yield pd.DataFrame({"cluster": i, "worst": ratio.max(axis=1)})
+
+    found = "cluster long, worst double"
+    own = materialize(tiles.select("tile", "members", F.col("members").alias("others")).mapInPandas(worst, found), "own-tile")
+    least = placed.select("cluster", "tile").join(own, "cluster").groupBy("tile").agg(F.min("worst").alias("least"))
+    here, there = tiles.join(least, "tile").alias("a"), tiles.alias("b")
+    count = tiles.count()
+    gap = F.greatest(F.col("b.low") - F.col("a.high"), F.col("a.low") - F.col("b.high"), F.lit(0.0))
+    hopeful = (gap == 0) | (F.col("a.widest") + F.col("b.widest") > F.col("a.least") * gap)
+    bounds = here.select("tile", "widest", "low", "high", "least", F.explode(F.sequence(F.lit(0), F.lit(max(count - 1, 0)))).alias("other"))
+    pairs = bounds.alias("a").join(there.drop("members"), F.col("a.other") == F.col("b.tile")).where((F.col("a.tile") != F.col("b.tile")) & hopeful)
+    pairs = pairs.select(F.col("a.tile").alias("tile"), "other")
+    met = pairs.join(tiles.select("tile", "members"), "tile").join(tiles.select(F.col("tile").alias("other"), F.col("members").alias("others")), "other")
+    every = own.unionByName(met.select("tile", "members", "others").mapInPandas(worst, found))
+    worst_of_all = every.groupBy("cluster").agg(F.max("worst").alias("worst"))
+    return worst_of_all.where(F.col("worst") >= 0).agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def silhouette(labelled: DataFrame) -> DataFrame:

@@ -78,6 +78,22 @@ def test_similar_stops_never_include_the_stop_itself(spark):
         assert [got[stop][k] for k in sorted(got[stop])] == [s for _, s in others]
 
 
+@pytest.mark.parametrize("tile", [3, 512])
+def test_davies_bouldin_in_tiles(spark, monkeypatch, tile):
+    """Forty clusters, some far from all others; no tile holds them all."""
+    monkeypatch.setattr(profiles, "TILE", tile)
+    rng = np.random.default_rng(4)
+    centres = rng.uniform(-4, 4, (40, 5)) * np.where(np.arange(40) % 7 == 0, 10, 1)[:, None]
+    rows = [(f"S{i}", i % 40, *map(float, centres[i % 40] + rng.normal(0, 0.3 + i % 3, 5))) for i in range(400)]
+    df = spark.createDataFrame(rows, "stop string, cluster int, " + ", ".join(f"{c} double" for c in profiles.SCALED))
+    x, label = np.array([r[2:] for r in rows]), np.array([r[1] for r in rows])
+    means = np.array([x[label == k].mean(axis=0) for k in range(40)])
+    spread = np.array([np.linalg.norm(x[label == k] - means[k], axis=1).mean() for k in range(40)])
+    worst = [max((spread[i] + spread[j]) / np.linalg.norm(means[i] - means[j]) for j in range(40) if j != i) for i in range(40)]
+    assert profiles.davies_bouldin(df).first()[0] == pytest.approx(np.mean(worst))
+    assert profiles.davies_bouldin(df.where("cluster = 1")).first()[0] is None
+
+
 def brute_density(points, eps, min_points):
     near = {a: {b for b in points if math.dist(points[a], points[b]) <= eps} for a in points}
     core = {a for a in points if len(near[a]) >= min_points}

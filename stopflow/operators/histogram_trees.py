@@ -396,7 +396,12 @@ class Boosting:
         kept_columns = max(1, int(self.column_share * len(table.features)))
         blocks = table.blocks(table.table).persist()
         n, y = blocks.map(lambda b: np.array([len(b[2]), b[2].sum()])).fold(np.zeros(2), np.add)
-        base = float(y / n) if n else 0.0
+        if not n:  # nothing to learn from: one leaf of 0
+            blocks.unpersist()
+            leaf = Nodes()
+            leaf.add(0.0, 0.0)
+            return TreeModel(_ensemble([leaf], table.edges, lambda w, s: s), table.features, averaged=False)
+        base = float(y / n)
         done: list[Nodes] = []
 
         def columns(number: int) -> np.ndarray:

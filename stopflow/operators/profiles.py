@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.config import DEFAULTS, PROFILE_MEASURES, PROFILE_NAMES_K2, PROFILE_NAMES_K5
@@ -142,16 +143,10 @@ def davies_bouldin(labelled: DataFrame) -> DataFrame:
         F.avg(F.sqrt(_squared_distance())).alias("spread"),
         *[F.first(f"{c}_center").alias(f"{c}_center") for c in SCALED],
     )
-    # Neighbours in the first measure share a tile.
-    placed = ranked(spread, [f"{SCALED[0]}_center", "cluster"], "place").withColumn("tile", F.floor(F.col("place") / TILE))
+    spread = spread.persist()
+    clusters = spread.count()
     center = F.array(*[f"{c}_center" for c in SCALED])
-    tiles = placed.groupBy("tile").agg(
-        F.collect_list(F.struct("cluster", "spread", center.alias("center"))).alias("members"),
-        F.max("spread").alias("widest"),
-        F.min(f"{SCALED[0]}_center").alias("low"),
-        F.max(f"{SCALED[0]}_center").alias("high"),
-    )
-    tiles = materialize(tiles, "tiles")
+    members = F.collect_list(F.struct("cluster", "spread", center.alias("center"))).alias("members")
 
     def worst(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -164,19 +159,30 @@ def davies_bouldin(labelled: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"cluster": i, "worst": ratio.max(axis=1)})
 
     found = "cluster long, worst double"
-    own = materialize(tiles.select("tile", "members", F.col("members").alias("others")).mapInPandas(worst, found), "own-tile")
+    if clusters <= TILE:
+        every = spread.groupBy().agg(members).select("members", F.col("members").alias("others")).where(F.size("members") > 0).mapInPandas(worst, found)
+    else:
+        every = _worst_by_tiles(spread, members, lambda pairs: pairs.mapInPandas(worst, found))
+    value = every.groupBy("cluster").agg(F.max("worst").alias("worst")).where(F.col("worst") >= 0).agg(F.avg("worst")).first()[0]
+    spread.unpersist()
+    return labelled.sparkSession.createDataFrame([(value,)], "davies_bouldin double")
+
+
+def _worst_by_tiles(spread: DataFrame, members: Column, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(cluster, worst) from every hopeful pair of tiles; neighbours in the first measure share a tile."""
+    placed = ranked(spread, [f"{SCALED[0]}_center", "cluster"], "place").withColumn("tile", F.floor(F.col("place") / TILE))
+    low, high = (f(f"{SCALED[0]}_center").alias(name) for f, name in ((F.min, "low"), (F.max, "high")))
+    tiles = materialize(placed.groupBy("tile").agg(members, F.max("spread").alias("widest"), low, high), "tiles")
+    own = materialize(work(tiles.select("members", F.col("members").alias("others"))), "own-tile")
     least = placed.select("cluster", "tile").join(own, "cluster").groupBy("tile").agg(F.min("worst").alias("least"))
-    here, there = tiles.join(least, "tile").alias("a"), tiles.alias("b")
-    count = tiles.count()
     gap = F.greatest(F.col("b.low") - F.col("a.high"), F.col("a.low") - F.col("b.high"), F.lit(0.0))
     hopeful = (gap == 0) | (F.col("a.widest") + F.col("b.widest") > F.col("a.least") * gap)
-    bounds = here.select("tile", "widest", "low", "high", "least", F.explode(F.sequence(F.lit(0), F.lit(max(count - 1, 0)))).alias("other"))
-    pairs = bounds.alias("a").join(there.drop("members"), F.col("a.other") == F.col("b.tile")).where((F.col("a.tile") != F.col("b.tile")) & hopeful)
+    others = F.explode(F.sequence(F.lit(0), F.lit(tiles.count() - 1))).alias("other")
+    bounds = tiles.join(least, "tile").select("tile", "widest", "low", "high", "least", others).alias("a")
+    pairs = bounds.join(tiles.drop("members").alias("b"), F.col("a.other") == F.col("b.tile")).where((F.col("a.tile") != F.col("b.tile")) & hopeful)
     pairs = pairs.select(F.col("a.tile").alias("tile"), "other")
     met = pairs.join(tiles.select("tile", "members"), "tile").join(tiles.select(F.col("tile").alias("other"), F.col("members").alias("others")), "other")
-    every = own.unionByName(met.select("tile", "members", "others").mapInPandas(worst, found))
-    worst_of_all = every.groupBy("cluster").agg(F.max("worst").alias("worst"))
-    return worst_of_all.where(F.col("worst") >= 0).agg(F.avg("worst").alias("davies_bouldin"))
+    return own.unionByName(work(met.select("members", "others")))
 
 
 def silhouette(labelled: DataFrame) -> DataFrame:
@@ -209,8 +215,9 @@ def choose_k(vectors: DataFrame, ks=range(2, 11), restarts: int = DEFAULTS.kmean
     spark = vectors.sparkSession
     best = best_centres(vectors, SCALED, list(ks), restarts, DEFAULTS.seed)
     rows = []
-    for k in ks:
-        quality = cluster_quality(best[k].transform(vectors)).first()
+    with ThreadPoolExecutor(4) as pool:
+        qualities = list(pool.map(lambda k: cluster_quality(best[k].transform(vectors)).first(), ks))
+    for k, quality in zip(ks, qualities, strict=True):
         rows.append((k, quality["inertia"], quality["silhouette"], quality["davies_bouldin"], quality["calinski_harabasz"]))
     vectors.unpersist()
     table = spark.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")

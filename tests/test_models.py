@@ -200,6 +200,13 @@ def test_dealing_does_not_change_models(table, monkeypatch):
         binned.release()
 
 
+def test_nothing_to_learn_from(table):
+    binned = histogram_trees.BinnedTable(table.limit(0), FEATURES, "n")
+    for estimator in (histogram_trees.Forest(2, 3), histogram_trees.Boosting(2)):
+        assert {r["prediction"] for r in estimator.fit(binned).transform(table).select("prediction").distinct().collect()} == {0.0}
+    binned.release()
+
+
 def test_learning_curve_is_the_error_after_each_round(table):
     train, test, _ = regression.temporal_split(table)
     model = regression.fit_model(train, regression.estimators(rounds=7)["boosted"])

@@ -196,6 +196,14 @@ def long_term_forecast(daily: DataFrame, targets: DataFrame, holidays: DataFrame
     )
 
 
+def forecast_answers(daily: DataFrame, targets: DataFrame, holidays: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """A row for every asked (stop, day): the forecast, or why there is none."""
+    given = long_term_forecast(daily, targets, holidays, settings).withColumn("status", F.lit("ok"))
+    refused = refusals(targets.where(F.col("stop").isNotNull()), daily, settings).select("stop", "day", F.col("reason").alias("status"))
+    nameless = targets.where(F.col("stop").isNull()).select("stop", "day", F.lit("stop missing").alias("status"))
+    return given.unionByName(refused.unionByName(nameless), allowMissingColumns=True)
+
+
 def refusals(targets: DataFrame, daily: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Why a stop gets no long-term forecast."""
     long, busy = _enough(settings)

@@ -371,6 +371,16 @@ def calendar_lag_lookup(spark, folder):
     return tidy(lookups.calendar_lags(pairs, _daily(spark, folder)))
 
 
+@query
+def short_term_answers(spark, folder):
+    """Every request keeps its row: both lookups, or why there are none."""
+    wanted = _requests(spark, folder).select("request_id", "stop", "day")
+    pairs = lookups.distinct_pairs(wanted)
+    daily = materialize(_daily(spark, folder), "daily")
+    found = lookups.calendar_lags(pairs, daily).join(lookups.asof_last7(pairs, daily), ["stop", "day"])
+    return tidy(lookups.with_status(lookups.answer(wanted, found), "lag1"), std7=4)
+
+
 @query
 def asof_last7(spark, folder):
     pairs = lookups.distinct_pairs(_requests(spark, folder))
@@ -1029,7 +1039,8 @@ def _far_targets(daily: DataFrame) -> DataFrame:
 @query
 def long_term_forecast(spark, folder):
     daily = materialize(_daily(spark, folder), "daily")
-    return forecast.long_term_forecast(daily, _far_targets(daily), _holidays(spark, folder), TEST_SETTINGS)
+    unknown = spark.createDataFrame([("NO SUCH STOP", "2000-01-01")], "stop string, day string").withColumn("day", F.to_date("day"))
+    return forecast.forecast_answers(daily, _far_targets(daily).unionByName(unknown), _holidays(spark, folder), TEST_SETTINGS)
 
 
 @query

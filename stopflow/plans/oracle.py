@@ -281,6 +281,12 @@ QUERIES["rate_by_aligned_division"] = sql(
 )
 QUERIES["map_labels"] = sql("prof names5", "SELECT p.stop, p.cluster, n.profile FROM prof p LEFT JOIN names5 n ON p.cluster = n.cluster")
 QUERIES["calendar_lag_lookup"] = sql("looked", f"SELECT stop, day, {r('lag1')} AS lag1, {r('lag7')} AS lag7 FROM looked")
+QUERIES["short_term_answers"] = sql(
+    "looked",
+    f"""SELECT request_id, req.stop, req.day, {r('lag1')} AS lag1, {r('lag7')} AS lag7, {r('mean7')} AS mean7, {r('std7', 4)} AS std7,
+    CASE WHEN req.stop IS NULL THEN 'stop missing' WHEN req.day IS NULL THEN 'day missing' WHEN l.stop IS NULL THEN 'unknown stop' ELSE 'ok' END AS status
+    FROM req LEFT JOIN looked l ON req.stop = l.stop AND req.day = l.day""",
+)
 QUERIES["asof_last7"] = sql("recent", f"SELECT stop, day, {r('mean7')} AS mean7, {r('std7', 4)} AS std7 FROM recent")
 QUERIES["similar_stops"] = sql(
     "prof",

@@ -32,7 +32,8 @@ CHECKS = {
     "top_factors": lambda df: df.agg(F.max("rank")).first()[0] == 3,
     "learning_curve": lambda df: df.orderBy("round").first()["rmse_train"] >= df.orderBy(F.desc("round")).first()["rmse_train"],
     "linear_model": lambda df: df.count() == 13,
-    "long_term_forecast": lambda df: df.where("lower > predicted OR predicted > upper").count() == 0,
+    "long_term_forecast": lambda df: df.where("lower > predicted OR predicted > upper OR (status = 'ok') <> (predicted IS NOT NULL)").count() == 0
+    and [r["status"] for r in df.where("stop = 'NO SUCH STOP'").collect()] == ["unknown stop"],
     "forecast_curve": lambda df: {r["kind"] for r in df.select("kind").distinct().collect()} == {"history", "projection"},
     "forecast_backtest": lambda df: df.where("held_out <> 30 OR mae < 0").count() == 0,
     "projection_check": lambda df: df.where("suspect <> (ratio < 0.5)").count() == 0,

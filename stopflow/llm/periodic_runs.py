@@ -41,6 +41,8 @@ from stopflow.llm.common import map_batches
 SHORTEST, REPEATS = 6, 4
 #: Periods that are looked for one by one, and the words compared for the longer ones.
 SMALL, GRAM = 7, 8
+#: Words that are looked at together; a longer text is looked at alone.
+CHUNK = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -197,16 +199,26 @@ def find_runs(docs: DataFrame, key: str = "doc_id", alter: Callable[[int | None,
     """
 
     def start():
+        def chunks(keys, texts):
+            """Words of consecutive texts, so many at a time that a batch's words are never held together."""
+            held, size = [], 0
+            for k, text in zip(keys, texts, strict=True):
+                words = (text or b"").split()  # bytes are split at [\x20\x09-\x0D]
+                held.append(alter(k, words) if alter else words)
+                size += len(words)
+                if size >= CHUNK:
+                    yield held
+                    held, size = [], 0
+            yield held
+
         def work(keys, texts):
-            lists = [(text or b"").split() for text in texts]  # bytes are split at [\x20\x09-\x0D]
-            if alter:
-                lists = [alter(k, words) for k, words in zip(keys, lists, strict=True)]
             starts, lengths, periods, collapsed = [], [], [], []
-            for words, parts in zip(lists, stretches(lists), strict=True):
-                runs = [(a + s, n, q) for a, b in parts for s, n, q in squares(words[a:b])]
-                for values, k in ((starts, 0), (lengths, 1), (periods, 2)):
-                    values.append([run[k] for run in runs])
-                collapsed.append(collapse(words, runs))
+            for lists in chunks(keys, texts):
+                for words, parts in zip(lists, stretches(lists), strict=True):
+                    runs = [(a + s, n, q) for a, b in parts for s, n, q in squares(words[a:b])]
+                    for values, k in ((starts, 0), (lengths, 1), (periods, 2)):
+                        values.append([run[k] for run in runs])
+                    collapsed.append(collapse(words, runs))
             return keys, starts, lengths, periods, collapsed
 
         return work

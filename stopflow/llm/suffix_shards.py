@@ -36,7 +36,7 @@ from stopflow.llm.common import Stored, map_batches
 
 WINDOW = 10
 #: Words of a shard, at most 2 ** 21 - 2 with the breaks between documents, and of a block of benchmark texts.
-SHARD, BLOCK = 1 << 20, 1 << 20
+SHARD, BLOCK = 1 << 19, 1 << 20
 PIECE = 1 << 12
 
 #: Bytes of words stay, with A-Z as a-z; all others are blanks.

@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 # also takes Java suffixes ("100D"), so the pattern is checked first.
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
+#: Unicode white space.
+WHITE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def strip(c: Column) -> Column:
     """Trim all Unicode white space, including non-breaking spaces."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE))
 
 
 def number(c: Column) -> Column:
     """Text to double, NULL when it is not a plain decimal number."""
-    trimmed = strip(c)
-    return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
+    return F.regexp_extract(strip(c), NUMBER, 0).try_cast("double")
 
 
 def count_or_zero(c: Column) -> Column:

@@ -16,8 +16,9 @@ KEY = ["day", "stop", "category"]
 
 def parse_day(c: Column, strict: bool = False) -> Column:
     """ISO dates only. Strict parsing raises; otherwise a bad date is NULL and can be set aside."""
-    iso = F.when(text.strip(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), text.strip(c))
-    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(iso, "yyyy-MM-dd")
+    if strict:
+        return F.to_date(c, "yyyy-MM-dd")
+    return F.regexp_extract(text.strip(c), r"^\d{4}-\d{2}-\d{2}$", 0).try_cast("date")
 
 
 def fix_category(c: Column) -> Column:
@@ -56,8 +57,8 @@ def with_reason(rows: DataFrame) -> DataFrame:
     return rows.withColumn(
         "reason",
         F.when(F.col("day").isNull(), F.lit("day missing or malformed"))
-        .when(F.col("stop").isNull() | (F.col("stop") == ""), F.lit("stop missing"))
-        .when(F.col("category").isNull() | (F.col("category") == ""), F.lit("category missing"))
+        .when(F.coalesce("stop", F.lit("")) == "", F.lit("stop missing"))
+        .when(F.coalesce("category", F.lit("")) == "", F.lit("category missing"))
         .when(F.col("n").isNull(), F.lit("count missing or not a number"))
         .when(F.col("n") < 0, F.lit("count negative")),
     )

@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a generated method beyond which HotSpot interprets it; Spark's own bound is eight times as high.
+COMPILED = "8000"
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
 def build_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -29,7 +34,12 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application.
+
+    Stages whose generated code would never be compiled run operator by operator, unless the session says otherwise.
+    """
+    if spark.conf.get(HUGE_METHOD, "65535") == "65535":
+        spark.conf.set(HUGE_METHOD, COMPILED)
     context = spark.sparkContext
     if not getattr(context, "_stopflow_shipped", False):
         package = Path(__file__).resolve().parent

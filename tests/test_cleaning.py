@@ -158,3 +158,32 @@ def test_reload_leaves_the_previous_version_readable(spark, tmp_path):
     first = sinks.reload_table(spark.range(3).toDF("n"), str(tmp_path / "t"))
     second = sinks.reload_table(spark.range(5).toDF("n"), str(tmp_path / "t"))
     assert spark.read.parquet(first).count() == 3 and spark.read.parquet(second).count() == 5
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cleaning_reads_texts_as_the_published_patterns_do(spark):
+    white = [chr(i) for i in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    odd = ["", " ", "​", "﻿7", "\x1c7", "007", "7.", ".5", ".", "+7", "-7.9", "1e3", "1E+2", "e", "+", "1e", "100D", "1f", "NaN", "Infinity", "0x1p3", "1 2", "7\n", "٧", "1e400", "99999999999999999999"]
+    days = ["1997-02-28", "1997-02-30", "1997-2-28", "0000-01-01", "0001-01-01", "9999-12-31", "+1997-01-01", "1997-01-1T", "1997-01-01T00", "31/12/1999", "٠1997-01-01", " 1997-01-01 \n"]
+    texts = [*odd, *days, None, *[f"{w}7{w}" for w in white], *[f"{w}{w} a{w}b {w}" for w in white]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    trimmed = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    number = F.when(trimmed.rlike(text.NUMBER), trimmed.try_cast("double"))
+    day = F.try_to_date(F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), trimmed), "yyyy-MM-dd")
+    got = df.select("i", text.strip(F.col("t")).alias("s"), text.number(F.col("t")).alias("n"), cleaning.parse_day(F.col("t")).cast("string").alias("d"))
+    want = df.select("i", trimmed.alias("s"), number.alias("n"), day.cast("string").alias("d"))
+    assert got.orderBy("i").collect() == want.orderBy("i").collect()
+
+
+def test_a_text_is_trimmed_without_a_pattern_and_read_once(spark):
+    raw = spark.createDataFrame([("1", " a")], "n string, stop string").repartition(2)
+    assert "regexp_replace" not in plan_of(raw.select(text.strip(F.col("stop"))))
+    assert plan_of(raw.select(text.number(F.col("n")))).count("trim(") == 1
+    assert plan_of(raw.select(cleaning.parse_day(F.col("n")))).count("trim(") == 1
+
+
+def test_no_stage_is_left_to_the_interpreter(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000

@@ -38,6 +38,11 @@ def daily_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("stop", "day").agg(F.sum("n").alias("n"))
 
 
+def counted_rows(rows: DataFrame) -> DataFrame:
+    """Rows that enter the table: a defined category, a stop and a day."""
+    return filter_defined(rows).where(F.col("stop").isNotNull() & F.col("day").isNotNull())
+
+
 def stop_day(rows: DataFrame) -> DataFrame:
     """(stop, day, n and codes) over defined categories; rows without stop or day are left out.
 
@@ -45,8 +50,7 @@ def stop_day(rows: DataFrame) -> DataFrame:
     row order. Minima of text need a sort, so the raw rows are first summed per
     stop, day and codes by a hash aggregation; only what is left is sorted.
     """
-    defined = filter_defined(rows).where(F.col("stop").isNotNull() & F.col("day").isNotNull())
-    summed = defined.groupBy("stop", "day", *CODES).agg(F.sum("n").alias("n"))
+    summed = counted_rows(rows).groupBy("stop", "day", *CODES).agg(F.sum("n").alias("n"))
     return summed.groupBy("stop", "day").agg(F.sum("n").alias("n"), *[F.min(c).alias(c) for c in CODES])
 
 

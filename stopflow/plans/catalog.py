@@ -69,6 +69,11 @@ def _supplier_daily(spark: SparkSession, folder: str) -> DataFrame:
     return features.stop_day(tables.supplier_validations(spark, folder))
 
 
+def _supplier_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Supplier counts by day without codes: profiles look at nothing else, and codes would have to be grouped by."""
+    return features.daily_counts(features.counted_rows(tables.supplier_validations(spark, folder)))
+
+
 def _features(spark: SparkSession, folder: str, leak_free: bool = False) -> DataFrame:
     return features.build_features(tables.validations(spark, folder), _calendar(spark, folder), leak_free=leak_free)
 
@@ -94,7 +99,7 @@ def _labelled_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
-    stored = materialize(profiles.stop_profile(_supplier_daily(spark, folder)), "profiles")
+    stored = materialize(profiles.stop_profile(_supplier_counts(spark, folder)), "profiles")
     return profiles.with_vector(profiles.standardize(stored)).persist()
 
 
@@ -524,7 +529,7 @@ def stop_moments(spark, folder):
 
 @query
 def stop_profile(spark, folder):
-    return tidy(profiles.stop_profile(_supplier_daily(spark, folder)))
+    return tidy(profiles.stop_profile(_supplier_counts(spark, folder)))
 
 
 @query
@@ -948,7 +953,7 @@ def detect_zscore(spark, folder):
 
 @query
 def standardize(spark, folder):
-    scaled = profiles.standardize(profiles.stop_profile(_supplier_daily(spark, folder)))
+    scaled = profiles.standardize(profiles.stop_profile(_supplier_counts(spark, folder)))
     return tidy(scaled.select("stop", *profiles.SCALED))
 
 
@@ -995,7 +1000,7 @@ LITERAL_CENTRES = [[0.5, 0.4, -0.2, 0.6, -0.3], [-0.6, -0.5, 0.3, -0.7, 0.2]]
 @query
 def stored_segments(spark, folder):
     """Scaler, centres and labels stored and read back; all suppliers labelled anew by the nearest centre."""
-    known = profiles.stop_profile(_supplier_daily(spark, folder))
+    known = profiles.stop_profile(_supplier_counts(spark, folder))
     scale = profiles.scale_of(known)
     centres = Centres(profiles.SCALED, np.array(LITERAL_CENTRES), 0.0)
     labelled = centres.transform(profiles.standardize(known, scale)).withColumn("profile", F.concat(F.lit("Cluster "), F.col("cluster")))
@@ -1096,7 +1101,7 @@ def drift_distances(spark, folder):
 @query
 def drift_report(spark, folder):
     before, after = _snapshots(_stored_features(spark, folder))
-    old, new = (profiles.stop_profile(part) for part in _snapshots(_supplier_daily(spark, folder)))
+    old, new = (profiles.stop_profile(part) for part in _snapshots(_supplier_counts(spark, folder)))
     sides = {"traffic": (before, after), "anomaly": (before, after), "clustering": (old, new)}
     sets = {name: (*pair, DRIFT_SETS[name], DRIFT_TESTS[name]) for name, pair in sides.items()}
     sets["missing"] = (None, new, DRIFT_SETS["clustering"], DRIFT_TESTS["clustering"])

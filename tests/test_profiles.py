@@ -9,6 +9,7 @@ from stopflow.config import PROFILE_MEASURES, PROFILE_NAMES_K5
 from stopflow.operators import centres as centres_module
 from stopflow.operators import density, profiles
 from stopflow.operators.centres import best_centres
+from stopflow.plans import catalog
 from tests.test_features import days, validations
 
 from stopflow.operators.features import daily_counts
@@ -170,3 +171,16 @@ def test_standardized_columns_have_unit_population_variance(spark):
     out = profiles.standardize(df).agg(*[F.stddev_pop(c).alias(c) for c in profiles.SCALED]).first()
     assert [out[c] for c in profiles.SCALED[:4]] == pytest.approx([1.0] * 4)
     assert out[profiles.SCALED[4]] == 0.0
+
+
+def test_profiles_are_built_from_counts_alone(spark, folder):
+    counts, daily = catalog._supplier_counts(spark, folder), catalog._supplier_daily(spark, folder)
+    assert sorted(counts.collect()) == sorted(daily.select("stop", "day", "n").collect())
+    seen = []
+    profiles_of = profiles.stop_profile
+    try:
+        profiles.stop_profile = lambda df: seen.append(df.columns) or profiles_of(df)
+        catalog._vectors(spark, folder)
+    finally:
+        profiles.stop_profile = profiles_of
+    assert seen == [["stop", "day", "n"]]

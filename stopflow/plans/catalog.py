@@ -737,8 +737,9 @@ def refreshed_features(spark, folder):
     arriving = tables.sequenced_validations(spark, folder)
     part = F.pmod(F.xxhash64("seq"), F.lit(3))
     for number in (0, 1, 1, 2):
-        arriving.where(part == number).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = refresh.submitted_stream(spark, f"{root}/in", arriving.schema, files_per_batch=2)
+        arriving.where(part == number).write.mode("append").parquet(f"{root}/in")
+    files = len(spark.read.schema(arriving.schema).parquet(f"{root}/in").inputFiles())
+    stream = refresh.submitted_stream(spark, f"{root}/in", arriving.schema, files_per_batch=max(1, -(-files // 2)))
     store = refresh.FeatureStore(root, _calendar(spark, folder), _codes(spark, folder), folders=8)
     refresh.run_refresh(stream, f"{root}/table", f"{root}/quarantine", f"{root}/checkpoint", arriving.columns, store)
     return tidy(store.read(spark), std7=4).select(*features.COLUMNS)

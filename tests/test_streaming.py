@@ -2,6 +2,8 @@ import datetime as dt
 
 
 from stopflow.operators.features import build_features
+from stopflow.plans import catalog
+from stopflow.sources import benchmark_tables as tables
 from stopflow.streaming import refresh
 
 SCHEMA = "seq bigint, ts timestamp, day date, carrier string, network string, stop_code string, zone_id bigint, stop string, category string, n bigint"
@@ -78,3 +80,17 @@ def test_late_rows_arrive_whatever_their_time(spark, tmp_path):
     taken = [r["seq"] for r in spark.read.parquet(places[0]).collect()]
     aside = [r["seq"] for r in spark.read.parquet(places[1]).collect()]
     assert sorted(taken + aside) == list(range(1000)) and len(aside) == 20
+
+
+def test_arriving_parts_are_written_by_all_tasks(spark, folder, monkeypatch):
+    rows, stream, seen = tables.sequenced_validations, refresh.submitted_stream, []
+
+    def counted(spark, path, schema, files_per_batch):
+        seen.append((len(spark.read.schema(schema).parquet(path).inputFiles()), files_per_batch))
+        return stream(spark, path, schema, files_per_batch)
+
+    monkeypatch.setattr(tables, "sequenced_validations", lambda spark, folder: rows(spark, folder).repartition(3))
+    monkeypatch.setattr(refresh, "submitted_stream", counted)
+    got = catalog.refreshed_features(spark, folder)
+    assert seen == [(12, 6)]
+    assert sorted(got.collect()) == sorted(catalog.feature_pipeline(spark, folder).collect())

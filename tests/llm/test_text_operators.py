@@ -8,7 +8,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 import tokenizers
 from hypothesis import given, settings
@@ -95,6 +97,22 @@ def test_token_counts_by_plain_dynamic_programming(docs, texts, empty):
     assert token_counts.count_tokens(empty).count() == 0
 
 
+def test_token_counts_of_a_batch_look_repeated_chunks_up_once():
+    trie = token_counts.UnigramTrie(token_counts.load_scores(public_tokenizers.path(bpe.VOCABULARY)))
+    white = [chr(c) for c in range(0x3100) if regex.match(r"\s", chr(c))]
+    source = random.Random(6)
+    odd = ["", " ", "  ", "a ", " a", "'s don't I'LL 12 333 4444", "a\x1c b", "q" * 500 + " z", "é" * 300, *[f"a{w} b" for w in white]]
+    odd += ["".join(source.choices("ab é1,.\n\t ’'", k=source.randint(0, 60))) for _ in range(500)]
+    batch = pa.array(odd + ["fresh words, " * 400] * 20, pa.large_string())
+    looked, places = [], trie._places
+    trie._places = lambda parts: looked.extend(parts) or places(parts)
+    found = list(zip(*(column.tolist() for column in trie.count_batch(batch))))
+    assert looked.count(" words,") < 30
+    alone = token_counts.UnigramTrie(token_counts.load_scores(public_tokenizers.path(bpe.VOCABULARY)))
+    assert found == [alone.count(text) for text in batch.to_pylist()]
+    assert [row[0] for row in found] == [len(bpe.pieces(text)) for text in batch.to_pylist()]
+
+
 def test_packing_places_every_token_once(docs, texts, empty):
     from tokenizers import Tokenizer
 

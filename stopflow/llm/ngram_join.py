@@ -35,6 +35,8 @@ WORDS, PERCENT = 4, 85
 EXTRA = 4
 #: A token is frequent from so many documents; at most MOST tokens are, as the bound rises with the table.
 FREQUENT, MOST = 24, 1_000_000
+#: Tokens that a task counts before it sends them on.
+COUNTED = 1 << 20
 #: Members compared with one leader in one run.
 RUN = 256
 
@@ -70,11 +72,10 @@ def _among(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
 
 
-def leading(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The leading tokens of a sorted set; `frequent` is sorted."""
+def leading(tokens: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """The leading tokens of a sorted set; `last` marks the frequent ones."""
     least = needed(len(tokens), percent)
     many = len(tokens) - least + min(EXTRA, least)
-    last = _among(tokens, frequent)
     return np.concatenate([tokens[~last], tokens[last]])[:many]
 
 
@@ -82,14 +83,67 @@ def _signed(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
 
-def _frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
-    """Tokens of many documents: at most MOST, since each needs its share of all their occurrences."""
+def _summed(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens, ascending, and the sums of their counts."""
+    order = np.argsort(tokens)
+    tokens, counts = tokens[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
+    return tokens[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _dealt(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """(bucket, once, often, counts): tokens by their highest bits, as blocks: those found once in a run of texts, and those found more often."""
 
     def start():
-        return lambda texts: (np.concatenate([shingles(text, words) for text in texts]).view(np.int64),)
+        bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
+        def cut(tokens: np.ndarray) -> np.ndarray:
+            return np.concatenate([[0], np.searchsorted(tokens, bounds), [len(tokens)]])
+
+        def work(texts):
+            out = [[] for _ in range(4)]
+            held, size = [], 0
+            for i, text in enumerate(texts):
+                held.append(shingles(text, words))
+                size += len(held[-1])
+                if size < COUNTED and i + 1 < len(texts):
+                    continue
+                tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+                once, often, counts = tokens[counts == 1], tokens[counts > 1], counts[counts > 1]
+                a, b = cut(once), cut(often)
+                for bucket in np.flatnonzero((a[1:] > a[:-1]) | (b[1:] > b[:-1])).tolist():
+                    mine, more = slice(a[bucket], a[bucket + 1]), slice(b[bucket], b[bucket + 1])
+                    row = bucket, once[mine].tobytes(), often[more].tobytes(), counts[more].tobytes()
+                    for column, value in zip(out, row):
+                        column.append(value)
+                held, size = [], 0
+            return out
+
+        return work
+
+    return map_batches(docs.select("text"), [("bucket", "int"), ("once", "binary"), ("often", "binary"), ("counts", "binary")], start)
+
 
-    counts = map_batches(docs.select("text"), [("token", "long")], start).groupBy("token").agg(F.count("*").alias("n"))
-    counts = Stored(counts.where(F.col("n") >= FREQUENT), "token-counts")
+def _token_counts(docs: DataFrame, words: int) -> DataFrame:
+    """(token, n) of the tokens of FREQUENT documents or more.
+
+    Hardly any two tokens are equal, so they travel in blocks, a bucket of
+    the hash range to a group; buckets grow in number with the table.
+    """
+    bits = max(10, (16 * docs.rdd.getNumPartitions() - 1).bit_length())
+
+    def total(blocks: pa.Table) -> pa.Table:
+        once, often, counts = (np.frombuffer(b"".join(blocks[c].to_pylist()), kind) for c, kind in (("once", np.uint64), ("often", np.uint64), ("counts", np.int64)))
+        tokens, n = _summed(np.concatenate([once, often]), np.concatenate([np.ones(len(once), np.int64), counts]))
+        many = n >= FREQUENT
+        return pa.table({"token": tokens[many].view(np.int64), "n": n[many]})
+
+    return _dealt(docs, words, bits).groupBy("bucket").applyInArrow(total, "token long, n long")
+
+
+def _frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
+    """Tokens of many documents: at most MOST, since each needs its share of all their occurrences."""
+    counts = Stored(_token_counts(docs, words), "token-counts")
     total = counts.df.agg(F.sum("n")).first()[0] or 0
     rows = counts.df.where(F.col("n") >= max(FREQUENT, total // MOST)).select("token").toLocalIterator()
     out = np.sort(np.fromiter((row["token"] for row in rows), dtype=np.int64).view(np.uint64))
@@ -108,10 +162,11 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             out = [[] for _ in range(7)]
             for doc, text in zip(ids, texts):
                 tokens = shingles(text, words)
-                rare = int((~_among(tokens, frequent)).sum())
+                last = _among(tokens, frequent)
+                rare = len(tokens) - int(last.sum())
                 typical = 1000 - 1000 * rare // max(1, len(tokens))
                 minima = [int((tokens * np.uint64(turn)).view(np.int64).min()) for turn in _TURNS] if len(tokens) else []
-                row = (doc, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), typical, rare, minima, _signed(leading(tokens, frequent, percent)))
+                row = (doc, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), typical, rare, minima, _signed(leading(tokens, last, percent)))
                 for column, value in zip(out, row):
                     column.append(value)
             return out

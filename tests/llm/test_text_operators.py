@@ -248,6 +248,20 @@ def test_ngram_join_of_frequent_shingles_and_unequal_sizes(spark):
     assert [rows[i]["component_id"] for i in range(len(sets))] == least
 
 
+def test_ngram_token_counts_travel_in_blocks(spark):
+    source = random.Random(8)
+    texts = [None, "", "one two", *[" ".join(source.choices(WORDS[:40], k=source.randint(1, 400))) for _ in range(400)]]
+    texts += ["all of these words are in many texts " + str(i % 3) for i in range(90)]
+    expected = Counter(int(token) for text in texts for token in ngram_join.shingles(text, 2).view(np.int64))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = ngram_join._token_counts(docs, 2).collect()
+    assert {r["token"]: r["n"] for r in rows} == {t: n for t, n in expected.items() if n >= ngram_join.FREQUENT}
+    assert len(rows) == len({r["token"] for r in rows}) > 100
+    sent = ngram_join._dealt(docs, 2, 4)
+    assert sent.count() <= 3 * 2**4 < len(expected)
+    assert ngram_join._token_counts(docs.limit(0), 2).count() == 0
+
+
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

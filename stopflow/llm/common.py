@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from stopflow.session import scratch_path
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of rows that a Python worker is handed at a time; by default 10,000 rows are, whatever they hold.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = 4 << 20
 
 ARROW = {
     "long": pa.int64(),
@@ -60,20 +64,35 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def small_batches(spark: SparkSession) -> str:
+    """Python workers are handed at most SMALL_BATCH bytes at a time from now on, or what the session allows if that is less; gives the old bound."""
+    before = spark.conf.get(BATCH_BYTES)
+    size, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", before.lower()).groups()
+    if int(size) << 10 * "_kmgtp".find(unit or "_") > SMALL_BATCH:
+        spark.conf.set(BATCH_BYTES, str(SMALL_BATCH))
+    return before
+
+
 class Stored:
-    """A table written to the shared folder, with a way to remove it once it is not needed."""
+    """A table written to the shared folder, with a way to remove it once it is not needed.
+
+    `small`: Python workers are handed small batches while it is written.
+    """
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, small: bool = False):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
         schema = df.schema
         # The shuffle files that only this write needed go when it ends, not when the driver collects its garbage.
-        before = self.spark.conf.get(CLEAN_UP, "false")
+        before = {CLEAN_UP: self.spark.conf.get(CLEAN_UP, "false")}
         self.spark.conf.set(CLEAN_UP, "true")
+        if small:
+            before[BATCH_BYTES] = small_batches(self.spark)
         try:
             df.write.parquet(self.path)
         finally:
-            self.spark.conf.set(CLEAN_UP, before)
+            for setting, value in before.items():
+                self.spark.conf.set(setting, value)
         self.df = self.spark.read.schema(schema).parquet(self.path)
 
     def remove(self) -> None:

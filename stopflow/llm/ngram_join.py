@@ -143,7 +143,7 @@ def _token_counts(docs: DataFrame, words: int) -> DataFrame:
 
 def _frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
     """Tokens of many documents: at most MOST, since each needs its share of all their occurrences."""
-    counts = Stored(_token_counts(docs, words), "token-counts")
+    counts = Stored(_token_counts(docs, words), "token-counts", small=True)
     total = counts.df.agg(F.sum("n")).first()[0] or 0
     rows = counts.df.where(F.col("n") >= max(FREQUENT, total // MOST)).select("token").toLocalIterator()
     out = np.sort(np.fromiter((row["token"] for row in rows), dtype=np.int64).view(np.uint64))
@@ -259,7 +259,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     rows with a null id link with nothing and have a null component; rows that
     share an id count as one document. Other columns are not read.
     """
-    index = Stored(_index(docs, words, percent), "ngram-index").df
+    index = Stored(_index(docs, words, percent), "ngram-index", small=True).df
     classes = Stored(
         index.where("n > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "ngram-classes"
     ).df
@@ -269,7 +269,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     first_of = F.min(F.struct((-F.col("typical")).alias("t"), "doc_id")).alias("one")
     leaders = keys.groupBy("turn", "key").agg(first_of, F.count("*").alias("c")).where("c > 1").select("turn", "key", F.col("one.doc_id").alias("leader"))
     close = keys.join(leaders, ["turn", "key"]).where("doc_id <> leader").select("leader", F.col("doc_id").alias("member")).distinct()
-    first = Stored(_linked(docs, close, words, percent), "ngram-links").df
+    first = Stored(_linked(docs, close, words, percent), "ngram-links", small=True).df
     stars = connected_components(first.select(F.col("leader").alias("a"), F.col("member").alias("b")))
 
     grouped = reps.join(stars.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -285,7 +285,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     shared = entries.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("token")
     entries = Stored(entries.join(shared, "token", "left_semi"), "ngram-shared").df
     pairs = _opened(entries.where("not frequent"), percent, False).unionByName(_opened(entries.where("frequent"), percent, True)).distinct()
-    second = Stored(_linked(docs, Stored(pairs, "ngram-pairs").df, words, percent), "ngram-links").df
+    second = Stored(_linked(docs, Stored(pairs, "ngram-pairs").df, words, percent), "ngram-links", small=True).df
     links = first.unionByName(second).select(F.col("leader").alias("a"), F.col("member").alias("b"))
     components = connected_components(links)
     final = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("component", "rep").alias("c"))

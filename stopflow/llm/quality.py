@@ -238,14 +238,14 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, thre
     Null and empty texts get a score like any other; repeated rows give their
     rows; other columns are not read. Without usable labels every score is 0.5.
     """
-    described = Stored(document_features(docs), "features").df
+    described = Stored(document_features(docs), "features", small=True).df
     scored = score_documents(described, train(described, labels, rows))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs whose text scores at least `threshold`, all columns; texts are described where they lie, without a join."""
-    described = Stored(document_features(docs), "features")
+    described = Stored(document_features(docs), "features", small=True)
     data = train(described.df, labels, rows).to_json()
     described.remove()
     own: dict[str, AdditiveModel] = {}

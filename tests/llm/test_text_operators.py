@@ -17,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stopflow.llm import bpe, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, token_counts
+from stopflow.llm import bpe, common, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, token_counts
 
 SCHEMA = "doc_id long, text string, lang string, sequence_id string, n string, key string"
 RANDOM = random.Random(11)
@@ -262,6 +262,40 @@ def test_ngram_token_counts_travel_in_blocks(spark):
     assert ngram_join._token_counts(docs.limit(0), 2).count() == 0
 
 
+def test_python_workers_are_handed_small_batches(spark, monkeypatch):
+    """In the n-gram join and the classifier, however many rows of a partition would go into a batch."""
+    before, bound = spark.conf.get(common.BATCH_BYTES), common.SMALL_BATCH + 100_000
+    rows = [(i, f"{i} {'x' * 3_000}") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def checked(df, schema, start):
+        def begin():
+            work = start()
+
+            def run(*columns):
+                held = sum(len(value) for value in columns[-1])
+                if held > bound:
+                    raise ValueError(f"a batch of {held} characters")
+                return work(*columns)
+
+            return run
+
+        return common.map_batches(df, schema, begin)
+
+    monkeypatch.setattr(ngram_join, "map_batches", checked)
+    monkeypatch.setattr(quality, "map_batches", checked)
+    try:
+        assert ngram_join.similar_documents(docs).count() == len(rows)
+        quality.keep_good(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+        assert spark.conf.get(common.BATCH_BYTES) == before
+        for given, then in (("1m", "1m"), ("2147483647", str(common.SMALL_BATCH)), ("5mb", str(common.SMALL_BATCH))):
+            spark.conf.set(common.BATCH_BYTES, given)
+            assert common.small_batches(spark) == given
+            assert spark.conf.get(common.BATCH_BYTES) == then
+    finally:
+        spark.conf.set(common.BATCH_BYTES, before)
+
+
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -4,7 +4,8 @@ Candidates are dealt into blocks. A block's task sorts its rows once along each
 dimension. A query walks all lists at once, from the end its component's sign
 favours, scores every row it meets for the first time in full, and stops when
 the sum of the list values at its depth, a bound for all rows not yet met, is
-below the k-th score found. Per-block results are merged per query. The work
+below the k-th score found, or no row is left to meet. TOGETHER queries walk
+side by side, so that rows are scored by products of matrices. Per-block results are merged per query. The work
 is cut in blocks on both sides; only k rows a query and block are kept.
 """
 
@@ -16,40 +17,58 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, QUERIES, SCALE, K = 16_384, 2_048, 1024, 10
+#: Queries of a task that walk the lists side by side and share the scoring of the rows they meet.
+TOGETHER = 64
 
 
 def _block_topk(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
     """(query, candidate, score) of the k best of one block for each query."""
     by_id = np.argsort(ids, kind="stable")
     ids, rows = ids[by_id], rows[by_id]
-    n, d = rows.shape
-    upward = np.argsort(rows, axis=0, kind="stable")
-    downward = np.argsort(-rows, axis=0, kind="stable")
-    dims = np.arange(d)
+    upward = np.argsort(rows.T, axis=1, kind="stable")
+    lists = np.stack([upward, upward[:, ::-1]])
     out = []
-    for own, q in zip(query_ids, queries):
-        met = np.zeros(n, dtype=bool)
-        best_score, best_id = np.zeros(0, dtype=rows.dtype), np.zeros(0, dtype=ids.dtype)
-        lists = np.where(q > 0, downward, upward)[:, q != 0] if (q != 0).any() else np.arange(n)[:, None]
-        used = dims[q != 0]
-        depth, width = 0, 2
-        while depth < n:
-            part = lists[depth : depth + width]
-            new = np.unique(part)
-            new = new[~met[new]]
-            met[new] = True
-            new = new[ids[new] != own]
-            best_score = np.concatenate([best_score, rows[new] @ q])
-            best_id = np.concatenate([best_id, ids[new]])
-            keep = np.lexsort((best_id, -best_score))[:k]
-            best_score, best_id = best_score[keep], best_id[keep]
-            depth, width = depth + width, width * 2
-            if len(used) and depth < n and len(keep) == k and best_score[-1] > (rows[part[-1], used] * q[used]).sum():
-                break
-        out += [(int(own), int(i), int(s)) for i, s in zip(best_id, best_score)]
+    for first in range(0, len(queries), TOGETHER):
+        group = slice(first, first + TOGETHER)
+        out += _walk(ids, rows, lists, query_ids[group], queries[group], k)
     return out
 
 
+def _walk(ids: np.ndarray, rows: np.ndarray, lists: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
+    """The threshold algorithm for a few queries; `lists` has each dimension's rows, ascending and descending."""
+    many, n = len(queries), len(rows)
+    met, before = np.zeros((many, n), dtype=bool), np.zeros((many, n), dtype=bool)
+    scored, scores = np.zeros(n, dtype=bool), np.empty((many, n))
+    used = [np.flatnonzero(q) for q in queries]
+    ends = [(q[dims] > 0).astype(np.intp) for q, dims in zip(queries, used)]
+    best = [np.zeros(0, dtype=np.intp)] * many
+    walking = list(range(many))
+    depth, width = 0, 2
+    while walking and depth < n:
+        last = min(depth + width, n) - 1
+        for g in walking:
+            # A query without a component to walk along meets all rows at once.
+            met[g, lists[ends[g], used[g], depth : last + 1] if len(used[g]) else slice(None)] = True
+        # A row is scored for all queries of the group when the first of them meets it.
+        new = np.flatnonzero(met[walking].any(axis=0) & ~scored)
+        scored[new] = True
+        scores[:, new] = queries @ rows[new].T
+        following = []
+        for g in walking:
+            fresh = np.flatnonzero(met[g] & ~before[g])
+            before[g] = met[g]
+            if len(best[g]) == k:
+                fresh = fresh[scores[g, fresh] >= scores[g, best[g][-1]]]
+            fresh = np.concatenate([best[g], fresh[ids[fresh] != query_ids[g]]])
+            best[g] = fresh[np.lexsort((ids[fresh], -scores[g, fresh]))[:k]]
+            bound = rows[lists[ends[g], used[g], last], used[g]] @ queries[g, used[g]]
+            if not met[g].all() and not (len(best[g]) == k and scores[g, best[g][-1]] > bound):
+                following.append(g)
+        walking = following
+        depth, width = depth + width, width * 2
+    return [(int(query_ids[g]), int(ids[i]), int(scores[g, i])) for g in range(many) for i in best[g]]
+
+
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, q array<long>): floor(scale * x) of rows without null or non-finite components."""
     sound = F.col("embedding").isNotNull() & F.forall(

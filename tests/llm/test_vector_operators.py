@@ -1,5 +1,7 @@
 """Operators over embeddings against brute force."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -65,6 +67,42 @@ def test_topk(spark, table, vectors, monkeypatch):
     assert topk.exact_topk(rows.limit(0), rows).count() == 0
 
 
+@pytest.mark.parametrize("together", [1, 3, 64])
+def test_topk_of_a_block_with_ties_zeros_and_repeated_ids(monkeypatch, together):
+    monkeypatch.setattr(topk, "TOGETHER", together)
+    random = np.random.default_rng(1)
+    for _ in range(100):
+        n, d, asked, k = random.integers(1, [60, 5, 9, 12])
+        ids, query_ids = random.integers(0, 70, n), random.integers(0, 70, asked)
+        rows, queries = random.integers(-3, 4, (n, d)).astype(float), random.integers(-2, 3, (asked, d)).astype(float)
+        want = []
+        for own, q in zip(query_ids, queries):
+            found = sorted((-int(r @ q), int(i)) for r, i in zip(rows, ids) if i != own)[:k]
+            want += [(int(own), i, -s) for s, i in found]
+        assert topk._block_topk(ids, rows, query_ids, queries, int(k)) == want
+
+
+def test_topk_of_a_block_costs_about_a_sort_of_its_scores():
+    """Lists of 64 unrelated dimensions end no walk early: all rows are met, which must not cost far more than ordering them."""
+    random = np.random.default_rng(2)
+    rows = np.floor(128 * random.standard_normal((8192, 64)))
+    ids, queries = np.arange(len(rows)), rows[:128]
+    walks, sorts = [], []
+    for _ in range(3):
+        began = time.thread_time()
+        found = topk._block_topk(ids, rows, ids[:128], queries, 10)
+        walks.append(time.thread_time() - began)
+        began = time.thread_time()
+        want = []
+        for own, q in enumerate(queries):
+            scores = rows @ q
+            order = [i for i in np.lexsort((ids, -scores))[:11] if i != own][:10]
+            want += [(own, int(i), int(scores[i])) for i in order]
+        sorts.append(time.thread_time() - began)
+        assert found == want
+    assert min(walks) < 5 * min(sorts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (300, 200), (200, 250)]
     rows = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -168,18 +168,18 @@ def _sides(docs: DataFrame) -> DataFrame:
 
     def start():
         def work(keys, texts):
-            h, key, at = [], [], []
-            for own, text in zip(keys, texts):
+            h, at, many = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], []
+            for text in texts:
                 found = triggers((text or "").encode())
-                if found is None:
-                    continue
-                position, _, _, after, before = found
-                for side, hashes in enumerate((after, before)):
-                    there = hashes != 0
-                    h += hashes[there].tolist()
-                    at += (position[there] * 2 + side).tolist()
-                    key += [own] * int(there.sum())
-            return h, key, at
+                before = len(h)
+                if found is not None:
+                    position, _, _, after, preceding = found
+                    for side, hashes in enumerate((after, preceding)):
+                        there = hashes != 0
+                        h.append(hashes[there])
+                        at.append(position[there] * 2 + side)
+                many.append(sum(map(len, h[before:])))
+            return np.concatenate(h), pa.array(keys, pa.int64()).take(np.repeat(np.arange(len(keys)), np.array(many, dtype=np.int64))), np.concatenate(at)
 
         return work
 
@@ -284,10 +284,11 @@ def repeated_ranges(docs: DataFrame, largest: int = GROUP) -> DataFrame:
 
     `docs` has (key, print, text); equal rows are occurrences of their own.
     """
-    sides = _sides(docs.select("key", "text"))
-    often = sides.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    listed = Stored(sides.join(often, "h", "left_semi").groupBy("key").agg(F.collect_set("at").alias("at")), "passage-sides")
-    found = Stored(_candidates(docs.join(listed.df, "key")), "passage-triggers")
+    sides = Stored(_sides(docs.select("key", "text")), "passage-hashes", small=True)
+    often = sides.df.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    listed = Stored(sides.df.join(often, "h", "left_semi").groupBy("key").agg(F.collect_set("at").alias("at")), "passage-sides")
+    sides.remove()
+    found = Stored(_candidates(docs.join(listed.df, "key")), "passage-triggers", small=True)
     listed.remove()
     one = F.min(F.struct("key", "print", "pos", "low", "high", "after", "before")).alias("one")
     classes = Stored(found.df.groupBy("class").agg(F.count("*").alias("n"), one).select("class", "n", "one.*"), "passage-classes")
@@ -299,7 +300,7 @@ def repeated_ranges(docs: DataFrame, largest: int = GROUP) -> DataFrame:
     fields = ["pos", "class", "n", "low", "high", "after", "before", "n_after", "n_before"]
     lists = Stored(edges.groupBy("key", "print").agg(F.collect_list(F.struct(*fields)).alias("edges")), "passage-edges")
     # A context comes once even where equal rows of docs share key and print.
-    contexts = Stored(_contexts(docs.join(lists.df, ["key", "print"]).dropDuplicates(["key", "print"]), largest), "passage-contexts")
+    contexts = Stored(_contexts(docs.join(lists.df, ["key", "print"]).dropDuplicates(["key", "print"]), largest), "passage-contexts", small=True)
     windows = contexts.df.where(F.col("window").isNotNull())
     twice = windows.groupBy("window").agg(F.count("*").alias("c")).where("c > 1").select("window")
     counted = windows.where("n = 1").join(twice, "window", "left_semi").select(
@@ -309,7 +310,7 @@ def repeated_ranges(docs: DataFrame, largest: int = GROUP) -> DataFrame:
         "key", "print", (F.col("pos") - F.col("high")).alias("begin"), (F.col("pos") - F.col("low") + LENGTH).alias("end")
     )
     ranges = _edge_ranges(contexts.df.where(F.col("window").isNull())).unionByName(counted).unionByName(whole)
-    out = Stored(ranges.groupBy("key", "print").agg(F.collect_set(F.struct("begin", "end")).alias("ranges")), "passage-ranges")
+    out = Stored(ranges.groupBy("key", "print").agg(F.collect_set(F.struct("begin", "end")).alias("ranges")), "passage-ranges", small=True)
     for step in (found, classes, lists, contexts):
         step.remove()
     return out.df
@@ -347,4 +348,5 @@ def remove_repeated(docs: DataFrame, keep_bytes: bool = True, largest: int = GRO
     schema = [("doc_id", "long"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")]
     joined = rows.join(ranges, ["key", "print"], "left").select("doc_id", "text", "ranges")
     done = map_batches(joined, schema, start)
-    return done if keep_bytes else done.drop("kept")
+    # Digests are stored, as only so their workers are handed small batches without a change of the caller's session.
+    return done if keep_bytes else Stored(done.drop("kept"), "passage-digests", small=True).df

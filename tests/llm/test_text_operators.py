@@ -296,6 +296,39 @@ def test_python_workers_are_handed_small_batches(spark, monkeypatch):
         spark.conf.set(common.BATCH_BYTES, before)
 
 
+def test_python_workers_of_passages_are_handed_small_batches(spark, monkeypatch):
+    """In every step of the passage removal, whose session keeps its bound; batches of no rows are no fault."""
+    before, bound = spark.conf.get(common.BATCH_BYTES), common.SMALL_BATCH + 100_000
+    random = np.random.default_rng(3)
+    letters = lambda n: random.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    shared = [letters(250) for _ in range(2_000)]
+    rows = [(i, letters(2_750) + shared[i // 2]) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def checked(df, schema, start):
+        width = len(df.columns)
+
+        def begin():
+            work = start()
+            work(*[[]] * width)
+
+            def run(*columns):
+                held = sum(len(value) for column in columns for value in column if isinstance(value, str))
+                if held > bound:
+                    raise ValueError(f"a batch of {held} characters")
+                return work(*columns)
+
+            return run
+
+        return common.map_batches(df, schema, begin)
+
+    monkeypatch.setattr(suffix_dedup, "map_batches", checked)
+    found = suffix_dedup.remove_repeated(docs, keep_bytes=False)
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert Counter(r["n_removed"] >= 250 for r in found.collect()) == {True: len(rows)}
+    assert spark.conf.get(common.BATCH_BYTES) == before
+
+
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

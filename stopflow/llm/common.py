@@ -15,6 +15,9 @@ CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of rows that a Python worker is handed at a time; by default 10,000 rows are, whatever they hold.
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 SMALL_BATCH = 4 << 20
+#: For rows of megabytes: Parquet's writer otherwise gathers 100 of them in a page before it looks at their bytes, and 128 MB in a row group.
+WIDE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
+VECTORED = "parquet.hadoop.vectored.io.enabled"
 
 ARROW = {
     "long": pa.int64(),
@@ -29,8 +32,9 @@ ARROW = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, in_parts: bool = False) -> DataFrame:
+    """`in_parts`: a column of a row group comes in buffers of 8 MB, by default in one as long as it is, and as much outside the heap."""
+    return spark.read.options(**({VECTORED: "false"} if in_parts else {})).parquet(f"{folder}/{name}.parquet")
 
 
 def map_batches(df: DataFrame, schema: list[tuple[str, str]], start: Callable) -> DataFrame:
@@ -77,9 +81,10 @@ class Stored:
     """A table written to the shared folder, with a way to remove it once it is not needed.
 
     `small`: Python workers are handed small batches while it is written.
+    `wide`: its rows hold megabytes, so bytes of pages and row groups are looked at after every row.
     """
 
-    def __init__(self, df: DataFrame, name: str, small: bool = False):
+    def __init__(self, df: DataFrame, name: str, small: bool = False, wide: bool = False):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
         schema = df.schema
@@ -89,7 +94,7 @@ class Stored:
         if small:
             before[BATCH_BYTES] = small_batches(self.spark)
         try:
-            df.write.parquet(self.path)
+            df.write.options(**(WIDE_ROWS if wide else {})).parquet(self.path)
         finally:
             for setting, value in before.items():
                 self.spark.conf.set(setting, value)

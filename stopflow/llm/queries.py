@@ -82,7 +82,7 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = suffix_shards.find_benchmark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = suffix_shards.find_benchmark(table(spark, folder, "documents", in_parts=True), table(spark, folder, "benchmark"))
     hit = suffix_shards.hit_words(F.col("spans"))
     return found.select(
         "doc_id",

@@ -13,6 +13,9 @@ to blocks in pieces that share WINDOW - 1 words. Likewise a document longer than
 a shard is stored in pieces that share WINDOW - 1 words (a longest match is told
 within a piece). What is found are stretches of word numbers, united per document.
 
+Shards are read, written and handed on one or two at a time (a row group, an Arrow
+batch), so a task's memory does not grow with the rows that its part of the input holds.
+
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z have become a-z. A window is
 WINDOW words in a row of one benchmark text, or the whole of a shorter one. Null
 or wordless texts have no windows and no words. Documents that are alike in all
@@ -212,7 +215,7 @@ def build_shards(docs: DataFrame, key: str) -> Stored:
 
     number = F.monotonically_increasing_id()  # stored with the shards, so it stays
     rows = docs.select(number.alias("doc"), F.col(key).cast("long"), F.xxhash64("text"), F.col("text").cast("binary"))
-    return Stored(rows.toDF("doc", "name", "mark", "text").mapInArrow(run, _ddl(SHARDS)), "shards")
+    return Stored(rows.toDF("doc", "name", "mark", "text").mapInArrow(run, _ddl(SHARDS)), "shards", small=True, wide=True)
 
 
 def _test_blocks(benchmark: DataFrame, key: str) -> Iterator[Tests]:
@@ -233,7 +236,7 @@ def _test_blocks(benchmark: DataFrame, key: str) -> Iterator[Tests]:
         return work
 
     texts = benchmark.select(F.col(key).cast("string"), F.col("text").cast("binary"))
-    pieces = Stored(map_batches(texts, [("name", "string"), ("whole", "boolean"), ("size", "long"), ("part", "binary")], start), "tests")
+    pieces = Stored(map_batches(texts, [("name", "string"), ("whole", "boolean"), ("size", "long"), ("part", "binary")], start), "tests", small=True)
     words = pieces.df.agg(F.sum("size")).first()[0] or 0
     blocks = -(-words // BLOCK)
     block = F.pmod(F.xxhash64("name", "part"), F.lit(max(blocks, 1)))
@@ -320,7 +323,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", i
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    out = Stored(whole.drop("doc"), "found")
+    out = Stored(whole.drop("doc"), "found", small=True)
     shards.remove()
     return out.df
 
@@ -351,7 +354,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     if not parts:
         parts = [docs.sparkSession.createDataFrame([], _ddl(fields))]
     best = F.max_by(F.struct("length", "doc_id", "position"), F.struct("length", -F.col("doc_id"), -F.col("position"))).alias("best")
-    out = Stored(reduce(DataFrame.unionByName, parts).groupBy("item", "suffix").agg(best).select("item", "suffix", "best.*"), "longest")
+    out = Stored(reduce(DataFrame.unionByName, parts).groupBy("item", "suffix").agg(best).select("item", "suffix", "best.*"), "longest", small=True)
     shards.remove()
     return out.df
 

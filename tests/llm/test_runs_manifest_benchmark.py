@@ -5,14 +5,17 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from stopflow.llm import merkle, oracle, periodic_runs, queries, suffix_shards
+from stopflow.llm import common, merkle, oracle, periodic_runs, queries, suffix_shards
 from tests.comparison import differences, duck
 
 SCHEMA = "doc_id long, source string, lang string, n_chars int, text string, runs int, total string, mark string, spans string"
@@ -211,6 +214,27 @@ def test_decontamination_query(spark, rows, benchmark_rows, folder_of_rows, monk
     assert 40 < sum(r[-1] for r in want) < len(want)
 
 
+def test_shards_are_met_few_at_a_time(spark, monkeypatch):
+    """However many shards a task makes, its row groups and the batches of Python workers hold few."""
+    bounds, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: bounds.append(spark.conf.get(common.BATCH_BYTES)) or write(self, path))
+    monkeypatch.setattr(suffix_shards, "SHARD", 2000)
+    monkeypatch.setattr(common, "WIDE_ROWS", {**getattr(common, "WIDE_ROWS", {}), "parquet.block.size": str(1 << 14)})
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.hash("id", i).cast("string")))
+    docs = spark.range(300).coalesce(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    shards = suffix_shards.build_shards(docs, "doc_id")
+    (file,) = Path(shards.path.removeprefix("file:")).glob("*.parquet")
+    kept = pq.ParquetFile(file).metadata
+    groups = [kept.row_group(i).num_rows for i in range(kept.num_row_groups)]
+    assert sum(groups) > 30 and max(groups) <= 2
+    shards.remove()
+    items = docs.where("doc_id % 100 = 7").withColumnRenamed("doc_id", "item_id")
+    hit = suffix_shards.find_benchmark(docs, items).where(F.size("items") > 0)
+    assert sorted(r["doc_id"] for r in hit.collect()) == [7, 107, 207]
+    suffix_shards.longest_matches(docs.limit(20), items)
+    assert bounds and set(bounds) == {str(common.SMALL_BATCH)}
+
+
 def test_affected_documents_go(spark, docs, rows, benchmark_rows):
     items = spark.createDataFrame([b for b in benchmark_rows if b[1] and len(b[1].split()) > 9], "item_id long, text string")
     left = suffix_shards.remove_contaminated(docs, items)
